@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import quality
+from arpent.llm import licenses, mixing, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,46 @@ def registered(name: str, sql: str | None = None):
     return add
 
 
+# --- 4. Mixing sources to target weights --------------------------------------------------------------------------
+
+
+def _due_sql(schedule) -> str:
+    whole, area, out = mixing.integral(schedule), 0.0, ""
+    for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+        need, slope = f"(share * {whole!r}::DOUBLE - {area!r}::DOUBLE)", (w1 - w0) / (t1 - t0)
+        area += (t1 - t0) * (w0 + w1) / 2
+        x = f"2 * {need} / ({w0!r}::DOUBLE + sqrt(greatest({w0 * w0!r}::DOUBLE + 2 * {slope!r}::DOUBLE * {need}, 0)))"
+        out += f" WHEN share * {whole!r}::DOUBLE <= {area!r}::DOUBLE THEN {t0!r}::DOUBLE + {x}"
+    return f"CASE{out} ELSE {schedule[-1][0]!r}::DOUBLE END"
+
+
+_MIX_SQL = f"""
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS o FROM documents),
+s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.SCHEDULES)} + 1)::DOUBLE AS weight FROM d GROUP BY source),
+c AS (SELECT *, {mixing.MAX_REPEATS}::DOUBLE * source_size AS cap FROM s),
+f AS (
+  SELECT *, (sum(source_size) OVER ())::DOUBLE AS total,
+    coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS full_before,
+    sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS rest
+  FROM c),
+l AS (SELECT full_before AS lf, rest AS lr FROM f WHERE (total - full_before) / rest <= cap / weight ORDER BY full_before, rest LIMIT 1),
+g AS (SELECT source, source_size, weight, least(cap, (total - lf) * weight / lr) AS target, floor(least(cap, (total - lf) * weight / lr) + 0.5)::BIGINT AS goal FROM f, l),
+p AS (
+  SELECT d.*, source_size, weight, target, goal, CASE WHEN source_size > 0 THEN goal // source_size ELSE 0 END AS rounds,
+    coalesce(sum(size) OVER (PARTITION BY d.source ORDER BY o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pos
+  FROM d JOIN g ON d.source IS NOT DISTINCT FROM g.source),
+t AS (SELECT *, least(greatest(goal - rounds * source_size - pos, 0), size) AS extra, least(pos::DOUBLE / nullif(goal, 0)::DOUBLE, 1) AS share FROM p)
+SELECT doc_id, size, source_size, target, (rounds * size + extra)::BIGINT AS taken,
+  CASE WHEN size > 0 THEN rounds + (extra > 0)::INT ELSE 0 END::INT AS copies,
+  CASE WHEN rounds * size + extra > 0 THEN round(CASE weight {' '.join(f'WHEN {k} THEN {_due_sql(x)}' for k, x in enumerate(mixing.SCHEDULES, 1))} END, 9) END AS position
+FROM t"""
+
+
+@registered("op4_mix_curriculum", _MIX_SQL)
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.in_order(mixing.mix(table(spark, sf_dir, "documents")))
+
+
 # --- 9. Quality rules ---------------------------------------------------------------------------------------------
 
 
@@ -75,3 +115,36 @@ FROM v"""
 @registered("op9_quality_rules", _quality_sql())
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_rules(table(spark, sf_dir, "documents"))
+
+
+# --- 10. License scans --------------------------------------------------------------------------------------------
+
+
+def _license_sql() -> str:
+    low = lambda x: f"translate({x}, '{licenses.UPPER}', '{licenses.LOWER}')"
+    phrases = " UNION ALL ".join(
+        f"SELECT doc_id, i - 1 AS pos, '{label}' AS label FROM d, unnest(range(1, len(w) + 1)) AS u(i) WHERE "
+        + " AND ".join(f"w[i + {k}] = '{x}'" if k else f"w[i] = '{x}'" for k, x in enumerate(p.split()))
+        for p, label in licenses.PHRASES.items()
+    )
+    rows = ", ".join(
+        f"('{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])" for label, texts in licenses.TEMPLATES.items() for t in texts
+    )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all({low("coalesce(text, '')")}, '{licenses.WORD}') AS w FROM documents),
+b AS ({phrases}),
+bl AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels FROM b GROUP BY doc_id),
+tm(label, words) AS (VALUES {rows}),
+ln AS (SELECT doc_id, list_distinct(regexp_extract_all({low('line')}, '{licenses.WORD}')) AS ws FROM d, unnest(string_split(t, chr(10))) AS u(line)),
+mt AS (SELECT doc_id, label, round(len(list_intersect(ws, words)) / len(words), 6) AS score FROM ln, tm WHERE len(list_intersect(ws, words)) >= ceil({licenses.CONTAINMENT} * len(words) - 1e-9)),
+ml AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(score) AS score FROM mt GROUP BY doc_id)
+SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  array_to_string(list_sort(coalesce(bl.labels, [])), ',') AS base_labels,
+  array_to_string(list_sort(list_distinct(list_concat(coalesce(bl.labels, []), coalesce(ml.labels, [])))), ',') AS labels,
+  CASE WHEN n_base > 0 THEN 1.0 ELSE coalesce(ml.score, 0) END::DOUBLE AS score
+FROM d LEFT JOIN bl USING (doc_id) LEFT JOIN ml USING (doc_id)"""
+
+
+@registered("op10_license_scan", _license_sql())
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
