@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import licenses, mixing, quality
+from arpent.llm import licenses, mixing, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +66,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+# --- 6. Personal data: fitted by iteration, so SQL has no form of it ----------------------------------------------
+
+
+@registered("op6_personal_data")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 # --- 9. Quality rules ---------------------------------------------------------------------------------------------
 
 
