@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import licenses, mixing, pii, quality
+from arpent.llm import licenses, mixing, pieces, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,21 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+# --- 8. SentencePiece: merge rounds, tested against the library ---------------------------------------------------
+
+
+def piece_model() -> str:
+    """The public vocabulary file; other files of the kind can be given to ``pieces.encoded``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
+@registered("op8_sentencepiece")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(table(spark, sf_dir, "documents"), piece_model())
+
+
 # --- 9. Quality rules ---------------------------------------------------------------------------------------------
 
 
