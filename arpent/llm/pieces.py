@@ -23,6 +23,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from arpent.plans.shipping import ship
+
 BLANK = "▁"
 #: Words longer than this are merged one by one; the number of encoded words a task remembers.
 LONG, REMEMBERED = 400, 300_000
@@ -298,4 +300,5 @@ def encoded(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...
                     columns += [pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())), pa.array(decoded)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*fields, *(f.split()[0] for f in SCHEMA.split(", ")), *(["ids", "decoded"] * with_ids)])
 
+    ship(docs.sparkSession)
     return docs.select(*keep, F.coalesce(F.col(text), F.lit("")).alias("_t")).mapInArrow(run, schema)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import licenses, mixing, pieces, pii, quality
+from arpent.llm import language, licenses, mixing, pieces, pii, quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,14 @@ def registered(name: str, sql: str | None = None):
     return add
 
 
+# --- 2. Language identification: random vectors, tested by held-out accuracy --------------------------------------
+
+
+@registered("op2_language_id")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
 # --- 4. Mixing sources to target weights --------------------------------------------------------------------------
 
 
