@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import language, licenses, mixing, pieces, pii, quality
+from arpent.llm import language, licenses, mixing, pieces, pii, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -82,6 +82,14 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
 
 
+# --- 7. Sharding: a map edited by a greedy loop, tested by its law ------------------------------------------------
+
+
+@registered("op7_virtual_slots")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(table(spark, sf_dir, "documents"))
+
+
 # --- 8. SentencePiece: merge rounds, tested against the library ---------------------------------------------------
 
 
