@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import language, licenses, mixing, pieces, pii, quality, sharding
+from arpent.llm import ann, language, licenses, mixing, pieces, pii, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,6 +74,14 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.in_order(mixing.mix(table(spark, sf_dir, "documents")))
 
 
+# --- 5. Approximate nearest neighbours: fitted, tested by recall against brute force ------------------------------
+
+
+@registered("op5_ivf_pq")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.search(table(spark, sf_dir, "embeddings"))
+
+
 # --- 6. Personal data: fitted by iteration, so SQL has no form of it ----------------------------------------------
 
 
