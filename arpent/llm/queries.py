@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import ann, language, licenses, mixing, pieces, pii, quality, sharding
+from arpent.llm import ann, language, licenses, mixing, neardup, pieces, pii, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -34,6 +34,14 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(table(spark, sf_dir, "documents"))
 
 
+# --- 3. Near duplicates: hashed samples and alignment, tested against all pairs of a small table ------------------
+
+
+@registered("op3_order_minhash")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
 # --- 4. Mixing sources to target weights --------------------------------------------------------------------------
 
 
