@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import ann, language, licenses, mixing, neardup, pieces, pii, quality, sharding
+from arpent.llm import ann, chat, language, licenses, mixing, neardup, pieces, pii, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +26,37 @@ def registered(name: str, sql: str | None = None):
     return add
 
 
+# --- 1. Chat formatting -------------------------------------------------------------------------------------------
+
+_CHAT_SQL = f"""
+WITH s AS (
+  SELECT conv_id, turn::BIGINT AS turn, role, text, count(*) AS n, coalesce(floor(turn / {chat.BLOCK}), -1)::BIGINT AS block,
+    replace(coalesce(text, ''), '<|', '< |') AS body
+  FROM conversations GROUP BY conv_id, turn, role, text),
+p AS (SELECT DISTINCT conv_id, role AS participant FROM s WHERE role IS NOT NULL),
+r AS (
+  SELECT s.conv_id, block, participant, turn, role, body, n, coalesce(role = participant, false) AS own,
+    CASE WHEN coalesce(role = participant, false) THEN '{chat.OPEN}assistant' || chr(10)
+      ELSE '{chat.OPEN}user name=' || coalesce(replace(regexp_replace(role, '[\r\n]', ' ', 'g'), '<|', '< |'), 'unknown') || chr(10) END AS head
+  FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
+l AS (SELECT *, length(head) + length(body) + {len(chat.CLOSE) + 1} AS whole FROM r),
+c AS (
+  SELECT *, coalesce(sum(whole) OVER (PARTITION BY conv_id, block, participant ORDER BY turn NULLS LAST, coalesce(role, ''), body, role IS NULL, n
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS first_char,
+    row_number() OVER (PARTITION BY conv_id, block, participant ORDER BY turn NULLS LAST, coalesce(role, ''), body, role IS NULL, n) AS k
+  FROM l)
+SELECT conv_id, block, participant, string_agg(head || body || '{chat.CLOSE}' || chr(10), '' ORDER BY k) AS rendered,
+  coalesce(string_agg(first_char || ':' || (first_char + length(body)), ',' ORDER BY k) FILTER (WHERE own), '') AS mask,
+  count(*)::BIGINT AS n_turns, (count(*) FILTER (WHERE own))::BIGINT AS n_own_turns,
+  coalesce(sum(length(body)) FILTER (WHERE own), 0)::BIGINT AS n_learned_chars, sum(n)::BIGINT AS n_copies
+FROM c GROUP BY conv_id, block, participant"""
+
+
+@registered("op1_perspective_rotation", _CHAT_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
 # --- 2. Language identification: random vectors, tested by held-out accuracy --------------------------------------
 
 
