@@ -83,10 +83,12 @@ def targets(sizes: DataFrame, classes: int, max_repeats: int = MAX_REPEATS) -> D
 def mix(
     docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ("doc_id",),
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES, max_repeats: int = MAX_REPEATS, whole: bool = False,
+    every_copy: bool = False,
 ) -> DataFrame:
     """Each document with ``taken`` words, ``copies`` and the ``position`` of its first word.
 
-    With ``whole``, the last round over a source takes whole documents only: those whose middle lies before its end.
+    With ``whole``, the last round over a source takes whole documents only: those whose middle lies before its end. With
+    ``every_copy``, ``positions`` has the position of each copy.
     """
     rows = staged(sized(docs, text, source, keep), "sizes")
     blocks = rows.groupBy("_source", "_block").agg(F.sum("size").alias("_sum"))
@@ -106,14 +108,19 @@ def mix(
     else:
         last = F.least(F.greatest(F.col("_left") - F.col("_at"), F.lit(0)), F.col("size"))
     placed = placed.withColumn("taken", F.col("_rounds") * F.col("size") + last)
-    share = F.least(F.try_divide(F.col("_at").cast("double"), F.col("_goal").cast("double")), F.lit(1.0))
-    due = F.lit(None).cast("double")
-    for k, schedule in enumerate(schedules, 1):
-        due = F.when(F.col("weight") == k, when_due(share, schedule)).otherwise(due)
+
+    def due(word: Column) -> Column:
+        """When a word of the source's repeated stream is due."""
+        share, out = F.least(F.try_divide(word.cast("double"), F.col("_goal").cast("double")), F.lit(1.0)), F.lit(None).cast("double")
+        for k, schedule in enumerate(schedules, 1):
+            out = F.when(F.col("weight") == k, when_due(share, schedule)).otherwise(out)
+        return F.round(out, 9)
+
+    copies = F.when(F.col("size") > 0, F.col("_rounds") + F.when(last > 0, 1).otherwise(0)).otherwise(0).cast("int")
+    later = F.transform(F.sequence(F.lit(0), copies - 1), lambda c: due(c * F.col("source_size") + F.col("_at")))
     return placed.select(
-        *keep, "size", "source_size", "target", F.col("taken").cast("long").alias("taken"),
-        F.when(F.col("size") > 0, (F.col("_rounds") + F.when(last > 0, 1).otherwise(0))).otherwise(0).cast("int").alias("copies"),
-        F.when(F.col("taken") > 0, F.round(due, 9)).alias("position"),
+        *keep, "size", "source_size", "target", F.col("taken").cast("long").alias("taken"), copies.alias("copies"),
+        F.when(F.col("taken") > 0, due(F.col("_at"))).alias("position"), *([F.when(copies > 0, later).alias("positions")] * every_copy),
     )
 
 

@@ -4,18 +4,63 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from arpent.llm import quality
+from arpent.llm import mixing, neardup, pieces, pii, quality, queries
 from arpent.plans.staging import staged
 
 
+def _whole(docs: DataFrame) -> DataFrame:
+    """A document as one column, beside what an operator reads."""
+    return docs.select(F.struct(*docs.columns).alias("_doc"), "doc_id", "text", "lang", "source")
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules keep. The verdict is computed beside the text and then filters it."""
-    names = docs.columns
-    carried = docs.select(F.struct(*names).alias("_doc"), "text", "lang")
-    return quality.quality_rules(carried, keep=("_doc",)).where("kept").select("_doc.*")
+    return quality.quality_rules(_whole(docs), keep=("_doc",)).where("kept").select("_doc.*")
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class; of rows that repeat an id, one. Rows without id all stay, since
+    nothing tells them apart."""
+    kept = neardup.classes(docs).where("kept and doc_id is not null").select("doc_id").distinct()
+    out = docs.join(kept, "doc_id", "left_semi")
+    if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
+        out = out.dropDuplicates(["doc_id"])
+    return out.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+
+
+def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with its personal data replaced by the kind in brackets; n_chars follows the new text."""
+    spans = pii.classified(staged(pii.found_spans(_whole(docs), keep=("_doc",)), "pii"))
+    out = spans.select("_doc.*", F.concat("base", "added").alias("_spans")).withColumn("text", pii.redacted("text", "_spans"))
+    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the mix takes, whole and as often as it takes them, in the order of their training positions."""
+    key = F.struct("doc_id", F.xxhash64("text", "source").alias("h"))
+    plan = mixing.mix(docs.withColumn("_key", key), keep=("doc_id", "_key"), whole=True, every_copy=True).where("copies > 0")
+    plan = plan.select(F.col("_key.doc_id").alias("_id"), F.col("_key.h").alias("_h"), "positions")
+    # Rows without id that are equal in text share a decision: one row a key.
+    plan = plan.groupBy("_id", "_h").agg(F.max("positions").alias("positions"))
+    rows = docs.withColumn("_h0", F.xxhash64("text", "source"))
+    taken = rows.join(plan, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_h0") == F.col("_h")))
+    placed = taken.withColumn("_position", F.explode("positions"))
+    keys = ["_position", "doc_id"]
+    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*docs.columns)
+
+
+def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with digests of the ids and of the text that they decode to."""
+    return pieces.encoded(docs, queries.piece_model(), keep=("doc_id", "lang", "source"), with_ids=True).drop("decoded")
 
 
-STAGES = [("quality rules", quality_stage)]
+STAGES = [
+    ("quality rules", quality_stage),
+    ("near duplicates", near_duplicate_stage),
+    ("personal data", personal_data_stage),
+    ("mixing", mixing_stage),
+    ("tokens", token_stage),
+]
 
 #: The stages hash, sample and tokenise; SQL has no form of them. The tests hold each against a brute-force version.
 ORACLE_SQL = None
