@@ -4,7 +4,9 @@ Fit: coarse centroids and residual codebooks come from a bounded sample of vecto
 every distinct vector goes to its nearest centroid and keeps one byte for each of ``PARTS`` parts of its residual.
 Search: a query probes the lists whose centroids have the largest inner product with it; in each list, tables of the
 query's inner products with all codewords (asymmetric distances) score the codes; the best by score are measured again
-on the original vectors, in double precision.
+on the original vectors, in double precision. Two passes find the best: the first reports from each block the scores at
+ranks 1, 2, 4 and so on, from which a score follows that surely as many codes reach as are wanted; the second returns
+what reaches it. So a query gets one or two times that many codes, however many blocks it has probed.
 
 Small lists are packed into groups and large ones cut, so that a block holds about ``BLOCK`` vectors, and the queries that
 probe a group are cut likewise: a list with a third of all vectors is many tasks. Equal vectors are indexed once and come back as their smallest ids, as many as an answer can hold.
@@ -30,8 +32,8 @@ SAMPLE = 20_000
 MAX_LISTS, PARTS, CODES, ROUNDS, SEED = 256, 16, 256, 8, 7
 #: Share of the lists that a query probes, and at least so many lists and vectors.
 PROBE_SHARE, LEAST_LISTS, LEAST_VECTORS = 0.7, 8, 400
-#: Best codes kept of each block, and best over all blocks that are measured again.
-KEPT, RERANKED = 50, 300
+#: Best codes over all blocks that are measured again.
+RERANKED = 300
 BLOCK = 4096
 
 
@@ -156,33 +158,58 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     left = probes.join(sizes, "grp").withColumn("vblock", F.explode(F.sequence(F.lit(0), F.col("vb") - 1))).withColumn("qblock", F.pmod(F.xxhash64("query_id"), "qb").cast("int"))
     right = coded.join(cut, "list").join(sizes, "grp").withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qb") - 1))).withColumn("vblock", F.pmod(F.xxhash64("rep"), "vb").cast("int"))
 
-    def score(q: pa.Table, c: pa.Table) -> pa.Table:
-        names = ["query_id", "rep", "near"]
-        if not q.num_rows or not c.num_rows:
-            return pa.table([pa.array([], pa.int64()), pa.array([], pa.int64()), pa.array([], pa.float64())], names=names)
+    ranks = [1 << i for i in range(RERANKED.bit_length()) if 1 << i < RERANKED] + [RERANKED]
+
+    def scored(q: pa.Table, c: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For blocks of the queries: the first one's number, their scores of all codes, and the codes' vectors."""
         codes = np.frombuffer(b"".join(c.column("code").to_pylist()), np.uint8).reshape(c.num_rows, -1)
-        reps, at, ids = c.column("rep").to_numpy(), c.column("list").to_numpy(), q.column("query_id").to_numpy()
+        reps, at = c.column("rep").to_numpy(), c.column("list").to_numpy()
         order = np.lexsort((reps, at))
         codes, reps, at = codes[order], reps[order], at[order]
-        x, keep, out = _matrix(q.column("v").combine_chunks(), dims), min(KEPT, len(reps)), []
-        wanted = np.zeros((len(ids), len(held)), bool)
+        x = _matrix(q.column("v").combine_chunks(), dims)
+        wanted = np.zeros((len(x), len(held)), bool)
         for k, lists in enumerate(q.column("lists").to_pylist()):
             wanted[k, np.frombuffer(lists, "<i4")] = True
-        for a in range(0, len(ids), 256):
-            s = np.full((min(256, len(ids) - a), len(reps)), -np.inf)
+        for a in range(0, len(x), 256):
+            s = np.full((min(256, len(x) - a), len(reps)), -np.inf)
             for one in np.unique(at):
                 lo, hi = np.searchsorted(at, [one, one + 1])
                 asking = np.flatnonzero(wanted[a : a + 256, one])
                 if asking.size:
                     s[asking, lo:hi] = index.scores(x[a : a + 256][asking], one, codes[lo:hi])
-            top = np.argpartition(-s, keep - 1, 1)[:, :keep]
-            near = np.take_along_axis(s, top, 1).ravel()
-            real = near > -np.inf
-            out.append((np.repeat(ids[a : a + 256], keep)[real], reps[top].ravel()[real], near[real]))
-        return pa.table([pa.array(np.concatenate(z)) for z in zip(*out)], names=names)
+            yield a, s, reps
+
+    def report(q: pa.Table, c: pa.Table) -> pa.Table:
+        ids, points = [], []
+        if q.num_rows and c.num_rows:
+            all_ids = q.column("query_id").to_pylist()
+            for a, s, _ in scored(q, c):
+                keep = min(RERANKED, s.shape[1])
+                top = -np.sort(np.partition(-s, keep - 1, 1)[:, :keep], 1)
+                for k, row in enumerate(top):
+                    ids.append(all_ids[a + k])
+                    points.append([{"near": float(row[r - 1]), "step": r - (ranks[i - 1] if i else 0)} for i, r in enumerate(ranks) if r <= keep and row[r - 1] > -np.inf])
+        kind = pa.list_(pa.struct([("near", pa.float64()), ("step", pa.int64())]))
+        return pa.table([pa.array(ids, pa.int64()), pa.array(points, kind)], names=["query_id", "points"])
+
+    def best_codes(q: pa.Table, c: pa.Table) -> pa.Table:
+        out = []
+        if q.num_rows and c.num_rows:
+            ids, least = q.column("query_id").to_numpy(), q.column("least").to_numpy()
+            for a, s, reps in scored(q, c):
+                at, place = np.nonzero(s >= least[a : a + 256, None])
+                out.append((ids[a : a + 256][at], reps[place], s[at, place]))
+        columns = [np.concatenate(z) for z in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
+        return pa.table([pa.array(z) for z in columns], names=["query_id", "rep", "near"])
 
     keys = ["grp", "vblock", "qblock"]
-    found = left.select("query_id", "v", "lists", *keys).groupBy(*keys).cogroup(right.select("rep", "list", "code", *keys).groupBy(*keys)).applyInArrow(score, "query_id long, rep long, near double")
+    codes_by = lambda: right.select("rep", "list", "code", *keys).groupBy(*keys)
+    points = left.select("query_id", "v", "lists", *keys).groupBy(*keys).cogroup(codes_by()).applyInArrow(report, "query_id long, points array<struct<near:double,step:long>>")
+    falling = Window.partitionBy("query_id").orderBy(F.desc("near")).rowsBetween(Window.unboundedPreceding, 0)
+    reached = points.select("query_id", F.explode("points").alias("p")).select("query_id", "p.near", "p.step").withColumn("_n", F.sum("step").over(falling))
+    least = reached.groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("_n") >= RERANKED, F.col("near"))), F.lit(-1e300)).alias("least"))
+    asking = left.join(staged(least, "least"), "query_id").select("query_id", "v", "lists", "least", *keys)
+    found = asking.groupBy(*keys).cogroup(codes_by()).applyInArrow(best_codes, "query_id long, rep long, near double")
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), "rep")
     short = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= RERANKED).select("query_id", "rep")
     # Exact measure on the original vectors, in the order of their components.
