@@ -10,7 +10,7 @@ from arpent.streaming import radar
 
 def _events(spark, sf, kind):
     schema = table(spark, sf, "events").schema
-    rows = radar.read_stream(spark, f"{sf}/events.parquet", schema)
+    rows = radar.read_stream(spark, f"{sf}/events.parque[t]", schema)
     return rows.withColumn("ts", F.col("ts").cast("timestamp")).where(F.col("event_type") == kind)
 
 

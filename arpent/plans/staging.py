@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _own: dict[str, str] = {}
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -36,6 +37,7 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/arpent-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -47,3 +49,11 @@ def unstage(df: DataFrame) -> None:
         folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
         if folder.getName().startswith("arpent-"):
             folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete every table that this process has staged. Call it once nothing will read them again."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        folder = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        folder.getFileSystem(conf).delete(folder, True)
