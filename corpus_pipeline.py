@@ -22,31 +22,33 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """The document with the smallest id of each class; of rows that repeat an id, one. Rows without id all stay, since
     nothing tells them apart."""
     kept = neardup.classes(docs).where("kept and doc_id is not null").select("doc_id").distinct()
-    out = docs.join(kept, "doc_id", "left_semi")
+    out = docs.join(kept, "doc_id", "left_semi").select(*docs.columns)
     if not docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").isEmpty():
-        out = out.dropDuplicates(["doc_id"])
-    return out.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+        # The smallest row of an id: the join has brought its rows together, so nothing moves again.
+        whole = out.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct("text", "lang", "source")).alias("_doc"))
+        out = whole.select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
+    return out.unionByName(docs.where("doc_id is null"))
 
 
 def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document, with its personal data replaced by the kind in brackets; n_chars follows the new text."""
     spans = pii.classified(staged(pii.found_spans(_whole(docs), keep=("_doc",)), "pii"))
-    out = spans.select("_doc.*", F.concat("base", "added").alias("_spans")).withColumn("text", pii.redacted("text", "_spans"))
-    return out.withColumn("n_chars", F.length("text").cast("long")).select(*docs.columns)
+    rows = spans.select("_doc", F.concat("base", "added").alias("_spans"), F.col("_doc.text").alias("_text"))
+    rows = rows.withColumn("_text", pii.redacted("_text", "_spans"))
+    new = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return rows.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the mix takes, whole and as often as it takes them, in the order of their training positions."""
     key = F.struct("doc_id", F.xxhash64("text", "source").alias("h"))
-    plan = mixing.mix(docs.withColumn("_key", key), keep=("doc_id", "_key"), whole=True, every_copy=True).where("copies > 0")
-    plan = plan.select(F.col("_key.doc_id").alias("_id"), F.col("_key.h").alias("_h"), "positions")
+    rows = docs.select(F.struct(*docs.columns).alias("_doc"), key.alias("_key"), "doc_id", "text", "source")
+    plan = mixing.mix(rows.drop("_doc"), keep=("doc_id", "_key"), whole=True, every_copy=True).where("copies > 0")
     # Rows without id that are equal in text share a decision: one row a key.
-    plan = plan.groupBy("_id", "_h").agg(F.max("positions").alias("positions"))
-    rows = docs.withColumn("_h0", F.xxhash64("text", "source"))
-    taken = rows.join(plan, rows["doc_id"].eqNullSafe(F.col("_id")) & (F.col("_h0") == F.col("_h")))
-    placed = taken.withColumn("_position", F.explode("positions"))
-    keys = ["_position", "doc_id"]
-    return placed.repartitionByRange(*keys).sortWithinPartitions(*keys).select(*docs.columns)
+    plan = plan.groupBy(F.col("_key.doc_id").alias("_id"), F.col("_key.h").alias("_h")).agg(F.max("positions").alias("positions"))
+    taken = rows.select("_doc", "_key").join(plan, F.col("_key.doc_id").eqNullSafe(F.col("_id")) & (F.col("_key.h") == F.col("_h")))
+    placed = taken.select("_doc", F.col("_id"), F.explode("positions").alias("_position"))
+    return placed.repartitionByRange("_position", "_id").sortWithinPartitions("_position", "_id").select(*[F.col("_doc")[c].alias(c) for c in docs.columns])
 
 
 def token_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
