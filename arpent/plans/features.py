@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from arpent.functions.scalars import months_between
 from arpent.functions.support import weighted_quantile
+from arpent.plans.staging import staged
 
 MARKET_NATURES = ("Vente", "Vente terrain à bâtir", "Adjudication")
 
@@ -44,7 +45,8 @@ def comparable_decisions(rows: DataFrame, snapshot: Column, max_distance_m: floa
 
 def market_features(decisions: DataFrame, subject: str, min_trend_count: int = 6, min_trend_days: int = 365) -> DataFrame:
     """By subject: number of comparables, weighted median and interquartile range of prices, median age, yearly trend."""
-    kept = decisions.where("reason = 'included'")
+    # Read five times below, so computed once.
+    kept = staged(decisions.where("reason = 'included'").select(subject, "mutation_date", "age_months", "normalized_price_m2", "weight"), "comparables")
     facts = kept.groupBy(subject).agg(F.count(F.lit(1)).alias("comparables"), F.percentile("age_months", F.lit(0.5)).alias("median_age_months"))
     q = lambda f, n: weighted_quantile(kept, [subject], "normalized_price_m2", "weight", f, n)
     quart = q(0.25, "_q1").join(q(0.5, "weighted_median_m2"), subject).join(q(0.75, "_q3"), subject)
