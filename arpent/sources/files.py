@@ -108,3 +108,13 @@ def write_measure(rows: DataFrame, path: str, columns: Sequence[str], order: Seq
     if private := [c for c in columns if "parcel_id" in c or "address" in c]:
         raise ValueError(f"not publishable: {', '.join(private)}")
     rows.select(*columns).orderBy(*order).coalesce(1).write.mode("overwrite").csv(path, header=True)
+
+
+RISK_PAGE = "data array<struct<code_insee:string,longitude:double,latitude:double,risques_detail:array<struct<num_risque:string,libelle_risque_long:string>>>>"
+
+
+def read_risk_pages(spark: SparkSession, path: str) -> DataFrame:
+    """Pages of risk records as JSON documents, one row a commune and risk; a record without details keeps its row."""
+    rows = spark.read.json(path, schema=RISK_PAGE, multiLine=True).select(F.explode("data").alias("r"))
+    out = rows.select(F.col("r.code_insee").alias("commune_code"), "r.longitude", "r.latitude", F.explode_outer("r.risques_detail").alias("d"))
+    return out.select("commune_code", "longitude", "latitude", F.col("d.num_risque").alias("risk_code"), F.col("d.libelle_risque_long").alias("risk_label"))

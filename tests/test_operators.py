@@ -172,3 +172,9 @@ def test_sources(spark, tmp_path):
     assert sorted(r["v"] for r in spark.read.parquet(str(out)).collect()) == [1, 3]
     with pytest.raises(ValueError, match="not publishable"):
         files.write_measure(spark.range(1).withColumn("parcel_id", F.lit("x")), str(tmp_path / "m"), ["parcel_id"], ["parcel_id"])
+
+
+def test_risk_pages(spark, tmp_path):
+    (tmp_path / "1.json").write_text('{"data": [{"code_insee": "35001", "risques_detail": [{"num_risque": "11", "libelle_risque_long": "Inondation"}, {"num_risque": "15"}]}, {"code_insee": "35002"}]}')
+    got = sorted(tuple(r)[0:1] + tuple(r)[3:] for r in files.read_risk_pages(spark, str(tmp_path)).collect())
+    assert got[:2] == [("35001", "11", "Inondation"), ("35001", "15", None)] and got[2][0] == "35002"
