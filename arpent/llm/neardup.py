@@ -6,9 +6,13 @@ in which they stand: such an ordered sample agrees between two texts about as of
 Texts that agree in a table are candidates. A candidate pair is a link if its alignment, in words and within the band
 that the threshold allows, has at most (1 - threshold) of the longer text's words as edits.
 
-Groups of thousands never become pairs: each bucket compares its members with one hub, so the work grows with the
-number of members. Further rounds give buckets that still hold several components two more hubs, one from their largest
-component and one from the rest, for the members outside the largest one, until a round adds no link. Exact copies are one text from the start.
+Groups of thousands of copies never become pairs: each bucket compares its members with one hub, and rounds give buckets
+that still hold several components two more hubs, one from their largest component and one from the rest, for the members
+outside the largest one, until a round adds no link. These rounds only save work. After them every pair of a bucket whose
+texts are still in different components is compared: the members are dealt to blocks of about ``BLOCK``, and each pair of
+blocks compares bit signatures of neighbouring words, an exact bound; what passes is aligned. So a bucket of many texts that
+are not similar costs a signature comparison a pair, but no pair of a bucket is left out. Exact copies are one text from
+the start.
 
 Nothing but numbers of rows comes to the driver. Defined cases: a null text, or one without words, is its own class; a
 text of fewer than five words is one k-mer; a null id has its copies' class and no other, or null; rows that share an id
@@ -33,6 +37,8 @@ TABLES, TAKEN, SEED = 32, 2, 11
 #: Tables whose first minimum must agree for a pair to be aligned; pairs of similar texts agree in far more.
 AGREEING = 4
 ROUNDS = 6
+#: Members of a block in the last comparison; signature bits for each word, and the bounds of a signature's bits.
+BLOCK, SPARSE, LEAST_BITS, MOST_BITS = 1024, 4, 256, 1 << 16
 SLICE_BYTES = 2_000_000
 
 _WORD_BYTE = np.zeros(256, bool)
@@ -110,6 +116,54 @@ def sketches(grams: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
     return keys, mins
 
 
+def signatures(hashes: np.ndarray, borders: np.ndarray) -> list[bytes]:
+    """For each text the set of its pairs of neighbouring words, as bits; longer texts have more bits."""
+    w = (hashes >> np.uint64(32)).astype(np.uint32)
+    pairs = _mix(_pairs(w))
+    out = []
+    for a, b in zip(borders.tolist(), borders[1:].tolist()):
+        size = min(max(LEAST_BITS, 1 << (SPARSE * (b - a) - 1).bit_length()), MOST_BITS) if b > a else LEAST_BITS
+        bits = np.zeros(size, np.uint8)
+        bits[pairs[a : max(a, b - 1)] & np.uint64(size - 1)] = 1
+        out.append(np.packbits(bits, bitorder="little").tobytes())
+    return out
+
+
+def _folded(signature: bytes, size: int) -> np.ndarray:
+    """The signature with ``size`` bytes, at most as many as it has."""
+    return np.bitwise_or.reduce(np.frombuffer(signature, np.uint64).reshape(-1, size // 8), axis=0)
+
+
+def possible(left: list[tuple], right: list[tuple], threshold: float = THRESHOLD) -> Iterator[tuple[int, int]]:
+    """Places (i, j) of the members (node, component, words, signature) of two blocks, of other components, that may be
+    similar. An edit leaves at most two pairs of neighbours of either text without a partner, so more bits that only one
+    text has than twice the edits allowed rule a match out; no match is ruled out."""
+    by_size: dict[int, list[int]] = {}
+    for j, m in enumerate(right):
+        by_size.setdefault(len(m[3]), []).append(j)
+    for size_b, places in by_size.items():
+        places.sort(key=lambda j: right[j][2])
+        lengths = np.array([right[j][2] for j in places])
+        components = np.array([right[j][1] for j in places])
+        folds: dict[int, np.ndarray] = {}
+        for i, (_, component, n, signature) in enumerate(left):
+            # One more on either side than the threshold allows: the exact test of the lengths is below.
+            lo, hi = np.searchsorted(lengths, [int(n * threshold) - 1, int(n / threshold) + 2]).tolist()
+            if lo >= hi:
+                continue
+            size = min(size_b, len(signature))
+            if size not in folds:
+                folds[size] = np.stack([_folded(right[j][3], size) for j in places])
+            limits = ((1 - threshold) * np.maximum(lengths[lo:hi], n) + 1e-9).astype(np.int64)
+            fit = np.flatnonzero((np.abs(lengths[lo:hi] - n) <= limits) & (components[lo:hi] != component))
+            if not len(fit):
+                continue
+            a, b, most = _folded(signature, size), folds[size][lo:hi][fit], 2 * limits[fit]
+            alone_a, alone_b = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (a & ~b, b & ~a))
+            for k in fit[(alone_a <= most) & (alone_b <= most)].tolist():
+                yield i, places[lo + k]
+
+
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a binary column without nulls."""
     wide = pa.types.is_large_binary(column.type)
@@ -132,7 +186,7 @@ def _lowered(text: str):
 
 
 def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, exact, keys, mins): one pass over the texts; keys are null for texts without words."""
+    """(doc_id, exact, keys, mins, n, bits): one pass over the texts; keys are null for texts without words."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -147,12 +201,15 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                 for k, one, two in zip(found.tolist(), *(sketches(grams, at) if len(found) else ([], []))):
                     keys[k], mins[k] = one, two
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(a, b - a), batch.column("exact").slice(a, b - a), pa.array(keys, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32()))],
-                    names=["doc_id", "exact", "keys", "mins"],
-                )
+                    [
+                        batch.column("doc_id").slice(a, b - a), batch.column("exact").slice(a, b - a), pa.array(keys, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32())),
+                        pa.array(np.diff(borders), pa.int64()), pa.array(signatures(hashes, borders), pa.binary()),
+                    ],
+                    names=["doc_id", "exact", "keys", "mins", "n", "bits"],
+                )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.col(text)).alias("exact"), _lowered(text).alias("_t"))
-    return rows.mapInArrow(run, "doc_id long, exact string, keys array<long>, mins array<int>")
+    return rows.mapInArrow(run, "doc_id long, exact string, keys array<long>, mins array<int>, n long, bits binary")
 
 
 def word_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -293,7 +350,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     sketch = staged(sketched(docs, doc_id, text), "sketch")
     reps = sketch.where("keys is not null and doc_id is not null").groupBy("exact").agg(F.min("doc_id").alias("node"))
     own = sketch.alias("s").join(reps.alias("r"), (F.col("s.exact") == F.col("r.exact")) & (F.col("s.doc_id") == F.col("r.node")))
-    nodes = staged(own.select("node", "keys", "mins").dropDuplicates(["node"]), "nodes")
+    nodes = staged(own.select("node", "keys", "mins", "n", "bits").dropDuplicates(["node"]), "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(keyed.join(shared, "bucket"), "members")
@@ -319,6 +376,10 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
             break
         tested, links = tested.unionByName(pairs), links.unionByName(found)
         labels = staged(connected_components(links), "labels")
+    pairs = staged(_remaining(larger, labels, nodes, threshold).join(tested, ["src", "dst"], "left_anti"), "pairs")
+    found = staged(_verified(pairs, texts, threshold), "links")
+    if not found.isEmpty():
+        labels = staged(connected_components(links.unionByName(found)), "labels")
     placed = sketch.select("doc_id", "exact").join(reps, "exact", "left").join(labels, "node", "left")
     class_id = F.coalesce("component", "node", "doc_id")
     return placed.select("doc_id", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"))
@@ -338,3 +399,58 @@ def _further(members: DataFrame, labels: DataFrame) -> DataFrame:
     inner = outside.join(own, "bucket").where(F.col("component") != F.col("own.component")).select("node", F.col("own.node").alias("hub"))
     pairs = outside.select("node", "hub").unionByName(inner)
     return pairs.select(F.least("hub", "node").alias("src"), F.greatest("hub", "node").alias("dst")).distinct()
+
+
+def _remaining(members: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """All pairs (src, dst) of a bucket that are in different components and may be similar.
+
+    The members outside a bucket's largest component are dealt to blocks, those of that component to others. Each block of
+    the first kind meets all of both kinds; within the largest component nothing is left to compare. A pair of blocks is
+    the unit of work, so no task holds a bucket."""
+    now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
+    mixed = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("components")).where("components > 1")
+    blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
+    mixed = mixed.select("bucket", F.col("main.component").alias("main"), blocks(F.col("all") - F.col("main.n")).alias("outer"), blocks(F.col("main.n")).alias("inner"))
+    dealt = now.join(mixed, "bucket").withColumn("in_main", F.col("component") == F.col("main"))
+    dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.when(F.col("in_main"), F.col("inner")).otherwise(F.col("outer"))).cast("int"))
+    upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    unit = lambda kind, i, j, left: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"))
+    block, yes, no = F.col("block"), F.lit(True), F.lit(False)
+    outer = F.transform(upto("outer"), lambda k: unit(0, F.least(block, k), F.greatest(block, k), block <= k))
+    units = F.when(F.col("in_main"), F.transform(upto("outer"), lambda k: unit(1, k, block, no))).otherwise(F.concat(outer, F.transform(upto("inner"), lambda k: unit(1, block, k, yes))))
+    key = ["bucket", "kind", "i", "j"]
+    rows = dealt.select("bucket", "node", "component", F.explode(units).alias("u")).select("bucket", "u.*", "node", "component")
+    rows = rows.join(nodes.select("node", "n", "bits"), "node").repartition(*key).sortWithinPartitions(*key)
+    ship(members.sparkSession)
+
+    def met(unit: tuple, left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
+        same = unit[1] == 0 and unit[2] == unit[3]
+        for i, j in possible(left, left if same else right, threshold):
+            a, b = left[i][0], (left if same else right)[j][0]
+            if not same or a < b:
+                yield min(a, b), max(a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unit, sides, out = None, ([], []), []
+
+        def put() -> pa.RecordBatch:
+            taken = pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], names=["src", "dst"])
+            out.clear()
+            return taken
+
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in (*key, "left", "node", "component", "n", "bits")]
+            for *at, is_left, node, component, n, bits in zip(*columns):
+                if at != unit:
+                    for pair in met(unit, *sides) if unit else ():
+                        out.append(pair)
+                        if len(out) >= 50_000:
+                            yield put()
+                    unit, sides = at, ([], [])
+                sides[0 if is_left else 1].append((node, component, n, bits))
+        if unit:
+            out.extend(met(unit, *sides))
+        yield put()
+
+    return rows.mapInArrow(run, "src long, dst long").distinct()

@@ -147,6 +147,31 @@ def test_near_duplicates_in_a_large_group(spark):
     assert all(got[1000 + k] == 1000 + k for k in range(60))
 
 
+def test_near_duplicates_within_a_bucket_of_other_texts(spark):
+    """Pairs whose common k-mers all lie in a passage that many other texts share."""
+    passage, rows = prose(8, 60), []
+    for k in range(60):
+        own = prose(2000 + k, 40).split()
+        rows.append((k, f"{passage} {' '.join(own)}"))
+        if k < 30:
+            rows.append((100 + k, f"{passage} {' '.join(f'edit{k}x{i}' if i % 3 == 1 else w for i, w in enumerate(own))}"))
+    got = {r["doc_id"]: r["class_id"] for r in neardup.classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i % 100 for i, _ in rows}
+
+
+def test_signatures_rule_out_no_match():
+    rnd = random.Random(6)
+    for _ in range(300):
+        n = rnd.choice([1, 2, 5, 10, 63, 64, 65, 200])
+        a = [rnd.randrange(50) for _ in range(n)]
+        b = [x if rnd.random() > 0.15 else rnd.randrange(50) for x in a if rnd.random() > 0.05] or [1]
+        hashes = np.array(a + b, np.uint64) << np.uint64(32)
+        one, two = neardup.signatures(hashes, np.array([0, len(a), len(a) + len(b)]))
+        met = list(neardup.possible([(0, 0, len(a), one)], [(1, 1, len(b), two)]))
+        if neardup.similar(np.array(a, np.uint32), np.array(b, np.uint32)):
+            assert met == [(0, 0)]
+
+
 def test_mixing_reaches_targets(docs):
     rows = mixing.mix(docs).collect()
     by = defaultdict(list)
