@@ -1,9 +1,10 @@
 """Near-duplicate documents by Order MinHash, verified by banded alignment.
 
-Words are runs of letters and digits of the lower-cased text; a k-mer is five words in a row, labelled with how often it
+Words are runs of letters and digits of the lower-cased text; a k-mer is three words in a row, labelled with how often it
 has occurred before. For each of ``TABLES`` hash functions a text keeps the ``TAKEN`` k-mers of least hash, in the order
 in which they stand: such an ordered sample agrees between two texts about as often as their edit similarity is high.
-Texts that agree in a table are candidates. A candidate pair is a link if its alignment, in words and within the band
+Texts that agree in a table are candidates; ``TABLES`` and ``K`` are such that nearly all pairs at the threshold agree in one
+(the README has the measured shares). A candidate pair whose signatures do not rule it out is a link if its alignment, in words and within the band
 that the threshold allows, has at most (1 - threshold) of the longer text's words as edits.
 
 Groups of thousands of copies never become pairs: each bucket compares its members with one hub, and rounds give buckets
@@ -15,7 +16,7 @@ are not similar costs a signature comparison a pair, but no pair of a bucket is
 the start.
 
 Nothing but numbers of rows comes to the driver. Defined cases: a null text, or one without words, is its own class; a
-text of fewer than five words is one k-mer; a null id has its copies' class and no other, or null; rows that share an id
+text of fewer than three words is one k-mer; a null id has its copies' class and no other, or null; rows that share an id
 share a class; whole texts are read; an empty table gives no rows.
 """
 
@@ -32,10 +33,8 @@ from arpent.operators.graph import connected_components
 from arpent.plans.shipping import ship
 from arpent.plans.staging import staged
 
-K, THRESHOLD = 5, 0.8
-TABLES, TAKEN, SEED = 32, 2, 11
-#: Tables whose first minimum must agree for a pair to be aligned; pairs of similar texts agree in far more.
-AGREEING = 4
+K, THRESHOLD = 3, 0.8
+TABLES, TAKEN, SEED = 64, 2, 11
 ROUNDS = 6
 #: Members of a block in the last comparison; signature bits for each word, and the bounds of a signature's bits.
 BLOCK, SPARSE, LEAST_BITS, MOST_BITS = 1024, 4, 256, 1 << 16
@@ -93,11 +92,11 @@ def kmers(hashes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return _mix(grams + seen * _ODD[-3]), out
 
 
-def sketches(grams: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """For each text with k-mers: a key for each table, and the low half of each table's first minimum."""
+def sketches(grams: np.ndarray, borders: np.ndarray) -> np.ndarray:
+    """For each text with k-mers: a key for each table."""
     some = np.flatnonzero(np.diff(borders))
     first, n = borders[some], np.diff(borders)[some]
-    keys, mins = np.empty((len(some), TABLES), np.int64), np.empty((len(some), TABLES), np.int32)
+    keys = np.empty((len(some), TABLES), np.int64)
     for t in range(TABLES):
         h = grams * _ODD[t]
         chosen = []
@@ -112,8 +111,8 @@ def sketches(grams: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.nda
         key = np.full(len(some), np.uint64(t + 1)) * _ODD[-1]
         for place in kept:
             key = _mix(key + grams[place])
-        keys[:, t], mins[:, t] = key.view(np.int64), (grams[chosen[0]] & np.uint64(0x7FFFFFFF)).astype(np.int32)
-    return keys, mins
+        keys[:, t] = key.view(np.int64)
+    return keys
 
 
 def signatures(hashes: np.ndarray, borders: np.ndarray) -> list[bytes]:
@@ -164,6 +163,18 @@ def possible(left: list[tuple], right: list[tuple], threshold: float = THRESHOLD
                 yield i, places[lo + k]
 
 
+def likely(n: int, one: bytes, m: int, two: bytes, threshold: float = THRESHOLD) -> bool:
+    """The bound of ``possible`` for one pair of texts of n and m words."""
+    limit = int((1 - threshold) * max(n, m) + 1e-9)
+    if abs(n - m) > limit:
+        return False
+    if len(one) != len(two):
+        size = min(len(one), len(two))
+        one, two = _folded(one, size).tobytes(), _folded(two, size).tobytes()
+    a, b = int.from_bytes(one, "little"), int.from_bytes(two, "little")
+    return (a & ~b).bit_count() <= 2 * limit and (b & ~a).bit_count() <= 2 * limit
+
+
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a binary column without nulls."""
     wide = pa.types.is_large_binary(column.type)
@@ -186,7 +197,7 @@ def _lowered(text: str):
 
 
 def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, exact, keys, mins, n, bits): one pass over the texts; keys are null for texts without words."""
+    """(doc_id, exact, keys, n, bits): one pass over the texts; keys are null for texts without words."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -196,20 +207,19 @@ def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
                 hashes, borders = words(*_buffers(column.slice(a, b - a)))
                 grams, at = kmers(hashes, borders)
                 keys = [None] * (b - a)
-                mins = [None] * (b - a)
                 found = np.flatnonzero(np.diff(at))
-                for k, one, two in zip(found.tolist(), *(sketches(grams, at) if len(found) else ([], []))):
-                    keys[k], mins[k] = one, two
+                for k, own in zip(found.tolist(), sketches(grams, at) if len(found) else []):
+                    keys[k] = own
                 yield pa.RecordBatch.from_arrays(
                     [
-                        batch.column("doc_id").slice(a, b - a), batch.column("exact").slice(a, b - a), pa.array(keys, pa.list_(pa.int64())), pa.array(mins, pa.list_(pa.int32())),
+                        batch.column("doc_id").slice(a, b - a), batch.column("exact").slice(a, b - a), pa.array(keys, pa.list_(pa.int64())),
                         pa.array(np.diff(borders), pa.int64()), pa.array(signatures(hashes, borders), pa.binary()),
                     ],
-                    names=["doc_id", "exact", "keys", "mins", "n", "bits"],
+                    names=["doc_id", "exact", "keys", "n", "bits"],
                 )
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.col(text)).alias("exact"), _lowered(text).alias("_t"))
-    return rows.mapInArrow(run, "doc_id long, exact string, keys array<long>, mins array<int>, n long, bits binary")
+    return rows.mapInArrow(run, "doc_id long, exact string, keys array<long>, n long, bits binary")
 
 
 def word_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -228,39 +238,28 @@ def word_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Da
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
-    """Whether at most ``limit`` words must be put in, taken out or replaced. Only diagonals within the limit are walked:
-    for each number of edits, the farthest place reached on each diagonal (Landau and Vishkin, 1989)."""
+    """Whether at most ``limit`` words must be put in, taken out or replaced. A column of the table of distances is held as
+    the bits of two numbers, rises and falls, so a word of ``b`` costs a few operations on them (Myers, 1999)."""
     n, m = len(a), len(b)
     if abs(n - m) > limit:
         return False
-    differing: dict[int, list[int]] = {}
-
-    def reach(k: int, i: int) -> int:
-        """From place i of ``a`` along diagonal k, the first place that differs."""
-        if k not in differing:
-            lo, hi = max(0, -k), min(n, m - k)
-            differing[k] = [*(np.flatnonzero(a[lo:hi] != b[lo + k : hi + k]) + lo).tolist(), max(hi, lo)]
-        places = differing[k]
-        return places[min(bisect_left(places, i), len(places) - 1)] if i <= places[-1] else i
-
-    far = {0: reach(0, 0)}
-    goal = m - n
-    for e in range(limit + 1):
-        if far.get(goal, -1) >= n:
-            return True
-        after: dict[int, int] = {}
-        room = limit - e - 1
-        for k in range(-e - 1, e + 2):
-            # A diagonal from which the goal is farther than the edits left is outside the band.
-            if abs(goal - k) > room or k < -n or k > m:
-                continue
-            i = max(far.get(k, -2) + 1, far.get(k - 1, -2), far.get(k + 1, -2) + 1)
-            if i < max(0, -k):
-                continue
-            i = min(i, n, m - k)
-            after[k] = reach(k, i)
-        far = after
-    return False
+    if not n or not m:
+        return True
+    places: dict[int, int] = {}
+    for i, x in enumerate(a.tolist()):
+        places[x] = places.get(x, 0) | 1 << i
+    full, last = (1 << n) - 1, 1 << (n - 1)
+    rise, fall, cost = full, 0, n
+    for left, y in zip(range(m - 1, -1, -1), b.tolist()):
+        same = places.get(y, 0)
+        level = ((((same & rise) + rise) ^ rise) | same | fall) & full
+        up, down = fall | (full ^ (level | rise)), level & rise
+        cost += 1 if up & last else -1 if down & last else 0
+        if cost - left > limit:  # each word left takes off one at most
+            return False
+        up, down = (up << 1 | 1) & full, (down << 1) & full
+        rise, fall = down | (full ^ (level | up)), up & level
+    return cost <= limit
 
 
 def _shared(a: np.ndarray, b: np.ndarray) -> int:
@@ -328,6 +327,20 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     return edits_at_most(a, b) <= limit or edits_within(a, b, limit)
 
 
+def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
+    """The pairs (src, dst) that the signatures do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(c).to_pylist() for c in ("na", "ba", "nb", "bb")]
+            at = pa.array([k for k, x in enumerate(zip(*columns)) if likely(*x, threshold)], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("src").take(at), batch.column("dst").take(at)], names=["src", "dst"])
+
+    one = nodes.select(F.col("node").alias("src"), F.col("n").alias("na"), F.col("bits").alias("ba"))
+    two = nodes.select(F.col("node").alias("dst"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
+    return pairs.join(one, "src").join(two, "dst").mapInArrow(run, "src long, dst long")
+
+
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (src, dst) that are links."""
 
@@ -350,7 +363,7 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     sketch = staged(sketched(docs, doc_id, text), "sketch")
     reps = sketch.where("keys is not null and doc_id is not null").groupBy("exact").agg(F.min("doc_id").alias("node"))
     own = sketch.alias("s").join(reps.alias("r"), (F.col("s.exact") == F.col("r.exact")) & (F.col("s.doc_id") == F.col("r.node")))
-    nodes = staged(own.select("node", "keys", "mins", "n", "bits").dropDuplicates(["node"]), "nodes")
+    nodes = staged(own.select("node", "keys", "n", "bits").dropDuplicates(["node"]), "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("bucket"))
     shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
     members = staged(keyed.join(shared, "bucket"), "members")
@@ -358,19 +371,12 @@ def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", thresho
     texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).join(wanted, F.col("_id") == F.col("node"), "left_semi")
     # One text an id, before the words are cut: the join has already brought the rows of an id together.
     texts = staged(word_rows(texts.dropDuplicates(["_id"]), "_id", "_text"), "words")
-    agreeing = F.size(F.filter(F.zip_with("ma", "mb", lambda x, y: x == y), lambda x: x))
-
-    def likely(pairs: DataFrame) -> DataFrame:
-        one = nodes.select(F.col("node").alias("src"), F.col("mins").alias("ma"))
-        two = nodes.select(F.col("node").alias("dst"), F.col("mins").alias("mb"))
-        return pairs.join(one, "src").join(two, "dst").where(agreeing >= AGREEING).select("src", "dst")
-
-    tested = staged(likely(members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct()), "pairs")
+    tested = staged(_likely(members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct(), nodes, threshold), "pairs")
     links = staged(_verified(tested, texts, threshold), "links")
     labels = staged(connected_components(links), "labels")
     larger = members.where("n > 2").select("bucket", "node")  # of two members the one pair is tested
     for _ in range(ROUNDS - 1):
-        pairs = staged(likely(_further(larger, labels).join(tested, ["src", "dst"], "left_anti")), "pairs")
+        pairs = staged(_likely(_further(larger, labels).join(tested, ["src", "dst"], "left_anti"), nodes, threshold), "pairs")
         found = staged(_verified(pairs, texts, threshold), "links")
         if found.isEmpty():
             break

@@ -159,6 +159,22 @@ def test_near_duplicates_within_a_bucket_of_other_texts(spark):
     assert got == {i: i % 100 for i, _ in rows}
 
 
+def test_lone_pairs_at_the_threshold_meet():
+    rnd = random.Random(12)
+    for n, sim, least in ((100, 0.8, 0.98), (400, 0.8, 0.98), (100, 0.85, 0.99), (20, 0.85, 0.98)):
+        flat, borders = [], [0]
+        for _ in range(200):
+            a = [rnd.getrandbits(63) for _ in range(n)]
+            b = list(a)
+            for i in rnd.sample(range(n), int((1 - sim) * n + 1e-9)):
+                b[i] = rnd.getrandbits(63)
+            for t in (a, b):
+                flat += t
+                borders.append(len(flat))
+        keys = neardup.sketches(*neardup.kmers(np.array(flat, np.uint64), np.array(borders)))
+        assert (keys[0::2] == keys[1::2]).any(axis=1).mean() >= least
+
+
 def test_signatures_rule_out_no_match():
     rnd = random.Random(6)
     for _ in range(300):
@@ -170,6 +186,7 @@ def test_signatures_rule_out_no_match():
         met = list(neardup.possible([(0, 0, len(a), one)], [(1, 1, len(b), two)]))
         if neardup.similar(np.array(a, np.uint32), np.array(b, np.uint32)):
             assert met == [(0, 0)]
+        assert neardup.likely(len(a), one, len(b), two) == bool(met)
 
 
 def test_mixing_reaches_targets(docs):
