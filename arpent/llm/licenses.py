@@ -1,6 +1,7 @@
 """License scans: phrase places, and an exact set-similarity join of text blocks with license notices.
 
-A block is a line of a text. A block meets a template when it holds at least ``CONTAINMENT`` of the template's distinct
+A block is a line of a text; for notices wrapped over lines, so is each window of twice the notice's words, of which two
+neighbours overlap by the notice's length (a window must hold all words of a notice of at most ``SHORT``). A block meets a template when it holds at least ``CONTAINMENT`` of the template's distinct
 words. Words are ordered by their frequency over all documents, rarest first. A template needs ``need`` of its words in
 a block, so a block without any of its ``len - need + 1`` rarest words (the prefix) cannot meet it; nor can one with
 fewer than ``need`` words (length), nor one in which the words left after the first common one are too few on either
@@ -44,6 +45,8 @@ TEMPLATES = {
     "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 CONTAINMENT = 0.8
+#: Distinct words up to which a window must hold all of a notice.
+SHORT = 10
 
 
 def vocabulary() -> list[str]:
@@ -65,7 +68,7 @@ def index(counts: dict[str, int], containment: float = CONTAINMENT) -> tuple[lis
         for t in texts:
             ranks = sorted({rank[w] for w in t.split()})
             need = math.ceil(containment * len(ranks) - 1e-9)
-            out.append({"label": label, "ranks": ranks, "need": need, "prefix": ranks[: len(ranks) - need + 1]})
+            out.append({"label": label, "ranks": ranks, "need": need, "prefix": ranks[: len(ranks) - need + 1], "length": len(t.split())})
     return order, out
 
 
@@ -85,8 +88,12 @@ def scan(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",
     # Templates: only texts with a word of some prefix are cut into blocks.
     probes = [order[k - 1] for k in sorted({k for x in templates for k in x["prefix"]})]
     base = base.withColumn("_blocks", F.when(F.exists("_w", lambda w: F.lower(w).isin(probes)), _blocks("_t", order)))
-    met = F.flatten(F.array(*[_meeting("_blocks", x) for x in templates]))
-    base = base.withColumn("_met", F.coalesce(met, F.array().cast("array<struct<label:string,score:double>>")))
+    # Windows: only texts of several lines are cut, and only for notices of which the whole text has enough words.
+    cut = F.split(F.translate(F.array_join("_w", " "), UPPER, LOWER), " ")
+    base = base.withColumn("_all", F.when(F.col("_blocks").isNotNull() & F.col("_t").contains("\n"), cut))
+    base = base.withColumn("_seen", F.array_intersect("_all", F.array(*[F.lit(w) for w in order])))
+    met = F.flatten(F.array(*[_meeting("_blocks", x) for x in templates], *[_wrapped("_all", "_seen", x, order) for x in templates]))
+    base = base.withColumn("_met", F.coalesce(F.when(F.col("_blocks").isNotNull(), met), F.array().cast("array<struct<label:string,score:double>>")))
     base_labels = F.array_sort(F.array_distinct(F.transform("_places", lambda p: p["label"])))
     labels = F.array_sort(F.array_distinct(F.concat(base_labels, F.transform("_met", lambda m: m["label"]))))
     at = F.transform("_places", lambda p: p["at"].cast("long"))
@@ -136,3 +143,12 @@ def _meeting(blocks: str, template: dict) -> Column:
     share = lambda b: F.size(F.array_intersect(b["ranks"], ranks)) / F.lit(len(template["ranks"]))
     scored = F.transform(F.filter(blocks, passes), lambda b: F.struct(F.lit(template["label"]).alias("label"), F.round(share(b), 6).alias("score")))
     return F.filter(scored, lambda m: F.round(m["score"] * len(template["ranks"])) >= need)
+
+
+def _wrapped(words: str, seen: str, template: dict, order: list[str]) -> Column:
+    """The windows of a text's words that meet a template, as (label, containment)."""
+    wanted, n, length = F.array(*[F.lit(order[k - 1]) for k in template["ranks"]]), len(template["ranks"]), template["length"]
+    need = n if n <= SHORT else template["need"]
+    common = F.transform(F.sequence(F.lit(0), F.size(words) - 1, F.lit(length)), lambda i: F.size(F.array_intersect(F.slice(words, i + 1, 2 * length), wanted)))
+    met = F.transform(F.filter(common, lambda c: c >= need), lambda c: F.struct(F.lit(template["label"]).alias("label"), F.round(c / F.lit(n), 6).alias("score")))
+    return F.when(F.size(F.array_intersect(seen, wanted)) >= need, met).otherwise(F.array().cast("array<struct<label:string,score:double>>"))

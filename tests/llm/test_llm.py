@@ -343,6 +343,22 @@ def test_license_blocks(spark):
     assert (got[3]["labels"], got[3]["score"], got[4]["n_words"]) == ("mit", 1.0, 0)
 
 
+def test_license_notices_wrapped_over_lines(spark):
+    import textwrap
+
+    rows, want, k = [(0, "mit\nreleased today\nunder the bridge")], {0: ""}, 0
+    for label, notices in licenses.TEMPLATES.items():
+        for notice in notices:
+            for width in (20, 72):
+                k += 1
+                lines = textwrap.wrap(f"{prose(k, 37)} {notice} {prose(k + 50, 41)}", width)
+                rows.append((k, "\n * ".join(lines)))
+                want[k] = label
+    got = {r["doc_id"]: r["labels"].split(",") for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert all(want[k] in got[k] for k in want)
+    assert got[0] == [""]
+
+
 def test_pipeline_stages(spark, odd, tmp_path):
     import corpus_pipeline as P
 
