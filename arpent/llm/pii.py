@@ -36,7 +36,7 @@ MORE = {
     "card_like": r"(?<![A-Za-z0-9.+-])[0-9]{4}(?:[\x20-]?[0-9]{4}){3}(?![A-Za-z0-9-])",
     "email_like": r"(?i)(?<![a-z0-9._-])[a-z0-9][a-z0-9._-]{0,63}+(?:\x20?[(\[]at[)\]]\x20?|\x20at\x20)[a-z0-9-]{1,63}+(?:\x20?[(\[]dot[)\]]\x20?|\x20dot\x20)[a-z]{2,12}",
     "phone_like": r"(?<![A-Za-z0-9+.-])(?:\([0-9]{3}\)\x20?|[0-9]{3}[\x20.-])[0-9]{3}[\x20.-][0-9]{4}(?![A-Za-z0-9-])",
-    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,128}+(?![A-Za-z0-9_-])",
+    "secret": r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{20,}+(?![A-Za-z0-9_-])",
 }
 KINDS = [*BASE, *MORE]
 # Words whose closeness speaks for a kind.
@@ -221,14 +221,16 @@ def report(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id
 
 
 def redacted(text: str, spans: str) -> Column:
-    """The text with each span replaced by its kind in brackets; of overlapping spans the earlier one is replaced."""
+    """The text with each span replaced by its kind in brackets; overlapping spans are replaced as one, by the kind of
+    the earliest."""
     ordered = F.array_sort(F.transform(spans, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"))))
     start = F.struct(F.lit(0).alias("pos"), F.array().cast("array<string>").alias("out"))
 
     def add(acc: Column, s: Column) -> Column:
         gap = F.substring(F.col(text), acc["pos"] + 1, s["start"] - acc["pos"])
         put = F.array(gap, F.concat(F.lit("["), F.upper(s["kind"]), F.lit("]")))
-        return F.when(s["start"] >= acc["pos"], F.struct(s["end"].alias("pos"), F.concat(acc["out"], put).alias("out"))).otherwise(acc)
+        reaching = F.struct(F.greatest(acc["pos"], s["end"]).alias("pos"), acc["out"].alias("out"))
+        return F.when(s["start"] >= acc["pos"], F.struct(s["end"].alias("pos"), F.concat(acc["out"], put).alias("out"))).otherwise(reaching)
 
     done = lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring(F.col(text), acc["pos"] + 1, F.length(text)))
     return F.when(F.size(spans) > 0, F.aggregate(ordered, start, add, done)).otherwise(F.col(text))

@@ -279,6 +279,16 @@ def test_personal_data_added_spans_and_redaction(spark):
     assert got[200] == "mail me: [EMAIL] now"
 
 
+def test_redaction_covers_overlapping_spans_and_long_secrets(spark):
+    token = "eyJ" + "a1B2c3D4" * 40
+    rows = [(1, "pay 4111 1111 1111 1111@x.com now"), (2, f'auth token = "{token}" end')]
+    df = pii.found_spans(spark.createDataFrame(rows, "doc_id long, text string"), keep=("doc_id", "text"))
+    got = {r["doc_id"]: r for r in df.select("doc_id", pii.redacted("text", "base").alias("t"), F.expr("transform(more, m -> struct(m.kind, m.start, m.end))").alias("more")).collect()}
+    assert got[1]["t"] == "pay [CARD] now"
+    at = rows[1][1].index(token)
+    assert ("secret", at, at + len(token)) in [tuple(m) for m in got[2]["more"]]
+
+
 def test_shards_hold_the_law(docs):
     rows = sharding.shard(docs).collect()
     load, places = Counter(), defaultdict(list)
