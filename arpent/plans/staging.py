@@ -38,22 +38,29 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     path = f"{shared_dir(spark)}/arpent-{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     _written.append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._staged_at = path
+    return out
 
 
 def unstage(df: DataFrame) -> None:
-    """Delete the files of a staged table that nothing will read again."""
-    spark = df.sparkSession
-    jvm = spark.sparkContext._jvm
-    for file in df.inputFiles()[:1]:
-        folder = jvm.org.apache.hadoop.fs.Path(file).getParent()
-        if folder.getName().startswith("arpent-"):
-            folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
-
-
-def clear_staged(spark: SparkSession) -> None:
-    """Delete every table that this process has staged. Call it once nothing will read them again."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        folder = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        folder.getFileSystem(conf).delete(folder, True)
+    """Delete the files of a table that ``staged`` has returned and that nothing will read again."""
+    _delete(df.sparkSession, df._staged_at)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _written:
+        _written.remove(path)
+
+
+def staged_so_far() -> list[str]:
+    """The paths of the staged tables that still exist."""
+    return list(_written)
+
+
+def clear_staged(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete the staged tables at ``paths``, or every one of this process. Call it once nothing will read them again."""
+    for path in list(_written) if paths is None else paths:
+        _delete(spark, path)
