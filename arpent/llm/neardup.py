@@ -3,21 +3,22 @@
 Words are runs of letters and digits of the lower-cased text; a k-mer is three words in a row, labelled with how often it
 has occurred before. For each of ``TABLES`` hash functions a text keeps the ``TAKEN`` k-mers of least hash, in the order
 in which they stand: such an ordered sample agrees between two texts about as often as their edit similarity is high.
-Texts that agree in a table are candidates; ``TABLES`` and ``K`` are such that nearly all pairs at the threshold agree in one
-(the README has the measured shares). A candidate pair whose signatures do not rule it out is a link if its alignment, in words and within the band
-that the threshold allows, has at most (1 - threshold) of the longer text's words as edits.
-
-Groups of thousands of copies never become pairs: each bucket compares its members with one hub, and rounds give buckets
-that still hold several components two more hubs, one from their largest component and one from the rest, for the members
-outside the largest one, until a round adds no link. These rounds only save work. After them every pair of a bucket whose
-texts are still in different components is compared: the members are dealt to blocks of about ``BLOCK``, and each pair of
-blocks compares bit signatures of neighbouring words, an exact bound; what passes is aligned. So a bucket of many texts that
-are not similar costs a signature comparison a pair, but no pair of a bucket is left out. Exact copies are one text from
-the start.
-
-Nothing but numbers of rows comes to the driver. Defined cases: a null text, or one without words, is its own class; a
-text of fewer than three words is one k-mer; a null id has its copies' class and no other, or null; rows that share an id
-share a class; whole texts are read; an empty table gives no rows.
+Texts of at most ``SHORT`` words get ``SHORT_TABLES`` more samples, of two-word k-mers, since few edits leave them no
+three words in a row. Texts that agree in a table are candidates; the numbers are such that nearly all pairs at the
+threshold agree in one (the README has the measured shares). A candidate pair is a link if its alignment, in words and
+within the band that the threshold allows, has at most (1 - threshold) of the longer text's words as edits.
+
+Groups of thousands of copies never become pairs. Each bucket first compares its members with one hub, which links a group
+of copies at once; exact copies are one text from the start. Then every pair of a bucket whose texts are still in different
+components is compared: the members are dealt to blocks of about ``BLOCK``, and each pair of blocks compares bit signatures
+of words, an exact bound; what passes is aligned. So a bucket of many texts that are not similar
+costs a comparison of bits a pair, within a task, but no pair of a bucket is left out.
+
+A text is known by a 64-bit hash of its whole, so rows that share an id but not a text are told apart; two of n texts have
+the same hash with a probability of n^2 / 2^65. Nothing comes to the driver but checksums of edge sets. Defined cases: a
+null or empty text is its own class; equal texts without words are a class; a text of fewer words than a k-mer is one
+k-mer; a null id joins the class of its text, whose id is the least other one, or null; rows that repeat an id and a text
+share a class; whole texts are read; an empty table gives no rows; further columns are not read.
 """
 
 from __future__ import annotations
@@ -31,18 +32,19 @@ from pyspark.sql import DataFrame, functions as F
 
 from arpent.operators.graph import connected_components
 from arpent.plans.shipping import ship
-from arpent.plans.staging import staged
+from arpent.plans.staging import staged, unstage
 
 K, THRESHOLD = 3, 0.8
 TABLES, TAKEN, SEED = 64, 2, 11
-ROUNDS = 6
-#: Members of a block in the last comparison; signature bits for each word, and the bounds of a signature's bits.
-BLOCK, SPARSE, LEAST_BITS, MOST_BITS = 1024, 4, 256, 1 << 16
+#: Texts of at most so many words have further tables, of shorter k-mers.
+SHORT, SHORT_TABLES, SHORT_K = 63, 16, 2
+#: Members of a block in the last comparison; bits of a signature for each word, and the bounds of a signature's bits.
+BLOCK, SPARSE, LEAST_BITS, MOST_BITS = 2048, 8, 512, 1 << 17
 SLICE_BYTES = 2_000_000
 
 _WORD_BYTE = np.zeros(256, bool)
 _WORD_BYTE[[*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
-_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, TABLES + K + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_ODD = np.random.default_rng(SEED).integers(0, 1 << 63, TABLES + SHORT_TABLES + K + 3, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
@@ -70,34 +72,39 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return _mix(hashed), np.searchsorted(begins, offsets)
 
 
-def kmers(hashes: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _labels(values: np.ndarray, text: np.ndarray) -> np.ndarray:
+    """How often each value has occurred before in its text."""
+    own = _mix(values + text.astype(np.uint64) * _ODD[-2])
+    order = np.argsort(own, kind="stable")
+    lead = np.r_[True, own[order][1:] != own[order][:-1]] if len(own) else np.empty(0, bool)
+    runs = np.flatnonzero(lead)
+    seen = np.empty(len(own), np.uint64)
+    seen[order] = (np.arange(len(own)) - np.repeat(runs, np.diff(np.r_[runs, len(own)]))).astype(np.uint64)
+    return seen
+
+
+def kmers(hashes: np.ndarray, borders: np.ndarray, k: int = K) -> tuple[np.ndarray, np.ndarray]:
     """Occurrence-labelled k-mers of each text, and the borders of the texts among them."""
     n = np.diff(borders)
-    count = np.where(n >= K, n - K + 1, (n > 0).astype(n.dtype))
+    count = np.where(n >= k, n - k + 1, (n > 0).astype(n.dtype))
     out = np.r_[0, np.cumsum(count)]
     text = np.repeat(np.arange(len(n)), count)
     at = np.arange(out[-1]) - out[text] + borders[text]
-    padded = np.r_[hashes, np.zeros(K, np.uint64)]
+    padded = np.r_[hashes, np.zeros(k, np.uint64)]
     grams = np.zeros(len(at), np.uint64)
-    for j in range(K):
+    for j in range(k):
         w = padded[at + j]
-        grams += np.where(at + j < borders[text + 1], w, np.uint64(j)) * _ODD[TABLES + j]
+        grams += np.where(at + j < borders[text + 1], w, np.uint64(j)) * _ODD[TABLES + SHORT_TABLES + j]
     grams = _mix(grams)
-    own = _mix(grams + text.astype(np.uint64) * _ODD[-2])
-    order = np.argsort(own, kind="stable")
-    lead = np.r_[True, own[order][1:] != own[order][:-1]] if len(own) else np.empty(0, bool)
-    runs = np.flatnonzero(lead)
-    seen = np.empty(len(own), np.uint64)
-    seen[order] = (np.arange(len(own)) - np.repeat(runs, np.diff(np.r_[runs, len(own)]))).astype(np.uint64)
-    return _mix(grams + seen * _ODD[-3]), out
+    return _mix(grams + _labels(grams, text) * _ODD[-3]), out
 
 
-def sketches(grams: np.ndarray, borders: np.ndarray) -> np.ndarray:
+def sketches(grams: np.ndarray, borders: np.ndarray, first_table: int = 0, tables: int = TABLES) -> np.ndarray:
     """For each text with k-mers: a key for each table."""
     some = np.flatnonzero(np.diff(borders))
     first, n = borders[some], np.diff(borders)[some]
-    keys = np.empty((len(some), TABLES), np.int64)
-    for t in range(TABLES):
+    keys = np.empty((len(some), tables), np.int64)
+    for t in range(first_table, first_table + tables):
         h = grams * _ODD[t]
         chosen = []
         for _ in range(TAKEN):
@@ -111,19 +118,37 @@ def sketches(grams: np.ndarray, borders: np.ndarray) -> np.ndarray:
         key = np.full(len(some), np.uint64(t + 1)) * _ODD[-1]
         for place in kept:
             key = _mix(key + grams[place])
-        keys[:, t] = key.view(np.int64)
+        keys[:, t - first_table] = key.view(np.int64)
+    return keys
+
+
+def bucket_keys(hashes: np.ndarray, borders: np.ndarray) -> list[np.ndarray | None]:
+    """The keys of each text in all its tables; none for a text without words."""
+    n = np.diff(borders)
+    keys: list[np.ndarray | None] = [None] * len(n)
+    some = np.flatnonzero(n)
+    if not len(some):
+        return keys
+    for k, own in zip(some.tolist(), sketches(*kmers(hashes, borders))):
+        keys[k] = own
+    short = (n > 0) & (n <= SHORT)
+    if short.any():
+        few = kmers(hashes[np.repeat(short, n)], np.r_[0, np.cumsum(n[short])], SHORT_K)
+        for k, own in zip(np.flatnonzero(short).tolist(), sketches(*few, TABLES, SHORT_TABLES)):
+            keys[k] = np.concatenate([keys[k], own])
     return keys
 
 
 def signatures(hashes: np.ndarray, borders: np.ndarray) -> list[bytes]:
-    """For each text the set of its pairs of neighbouring words, as bits; longer texts have more bits."""
-    w = (hashes >> np.uint64(32)).astype(np.uint32)
-    pairs = _mix(_pairs(w))
+    """For each text the set of its words, each labelled with its earlier occurrences, as bits; longer texts have more."""
+    text = np.repeat(np.arange(len(borders) - 1), np.diff(borders))
+    w = hashes >> np.uint64(32)
+    labelled = _mix(w + _labels(w, text) * _ODD[-3])
     out = []
     for a, b in zip(borders.tolist(), borders[1:].tolist()):
         size = min(max(LEAST_BITS, 1 << (SPARSE * (b - a) - 1).bit_length()), MOST_BITS) if b > a else LEAST_BITS
         bits = np.zeros(size, np.uint8)
-        bits[pairs[a : max(a, b - 1)] & np.uint64(size - 1)] = 1
+        bits[labelled[a:b] & np.uint64(size - 1)] = 1
         out.append(np.packbits(bits, bitorder="little").tobytes())
     return out
 
@@ -133,48 +158,43 @@ def _folded(signature: bytes, size: int) -> np.ndarray:
     return np.bitwise_or.reduce(np.frombuffer(signature, np.uint64).reshape(-1, size // 8), axis=0)
 
 
-def possible(left: list[tuple], right: list[tuple], threshold: float = THRESHOLD) -> Iterator[tuple[int, int]]:
-    """Places (i, j) of the members (node, component, words, signature) of two blocks, of other components, that may be
-    similar. An edit leaves at most two pairs of neighbours of either text without a partner, so more bits that only one
-    text has than twice the edits allowed rule a match out; no match is ruled out."""
+def possible(left: list[tuple], right: list[tuple], upwards: bool = False, threshold: float = THRESHOLD, table: int = 0) -> Iterator[tuple[int, int]]:
+    """Places (i, j) of the members (node, component, words, signature, keys) of two blocks, of other components, that may
+    be similar; ``upwards`` takes only pairs whose second node is the larger. Pairs that share a key of a table before
+    ``table`` meet there and are passed over. An edit leaves at most one word of either text without a partner, so more
+    bits that only one text has than the edits allowed rule a match out; no match is ruled out."""
     by_size: dict[int, list[int]] = {}
     for j, m in enumerate(right):
         by_size.setdefault(len(m[3]), []).append(j)
     for size_b, places in by_size.items():
         places.sort(key=lambda j: right[j][2])
-        lengths = np.array([right[j][2] for j in places])
-        components = np.array([right[j][1] for j in places])
+        nodes, components, lengths = (np.array([right[j][k] for j in places]) for k in (0, 1, 2))
+        keys = np.stack([right[j][4][:table] for j in places]) if table else None
         folds: dict[int, np.ndarray] = {}
-        for i, (_, component, n, signature) in enumerate(left):
+        for i, (node, component, n, signature, *own_keys) in enumerate(left):
             # One more on either side than the threshold allows: the exact test of the lengths is below.
             lo, hi = np.searchsorted(lengths, [int(n * threshold) - 1, int(n / threshold) + 2]).tolist()
             if lo >= hi:
                 continue
-            size = min(size_b, len(signature))
-            if size not in folds:
-                folds[size] = np.stack([_folded(right[j][3], size) for j in places])
             limits = ((1 - threshold) * np.maximum(lengths[lo:hi], n) + 1e-9).astype(np.int64)
-            fit = np.flatnonzero((np.abs(lengths[lo:hi] - n) <= limits) & (components[lo:hi] != component))
+            fit = (np.abs(lengths[lo:hi] - n) <= limits) & (components[lo:hi] != component)
+            if upwards:
+                fit &= nodes[lo:hi] > node
+            fit = np.flatnonzero(fit)
+            if table and len(fit):
+                fit = fit[~(keys[lo:hi][fit] == own_keys[0][:table]).any(axis=1)]
             if not len(fit):
                 continue
-            a, b, most = _folded(signature, size), folds[size][lo:hi][fit], 2 * limits[fit]
-            alone_a, alone_b = (np.bitwise_count(x).sum(axis=1, dtype=np.int64) for x in (a & ~b, b & ~a))
-            for k in fit[(alone_a <= most) & (alone_b <= most)].tolist():
+            size = min(size_b, len(signature))
+            if size not in folds:
+                folds[size] = np.stack([_folded(right[j][3], size) for j in places])
+            own, others, most = _folded(signature, size), folds[size][lo:hi][fit], limits[fit]
+            good = np.bitwise_count(own & ~others).sum(axis=1, dtype=np.int64) <= most
+            fit, others, most = fit[good], others[good], most[good]
+            for k in fit[np.bitwise_count(others & ~own).sum(axis=1, dtype=np.int64) <= most].tolist():
                 yield i, places[lo + k]
 
 
-def likely(n: int, one: bytes, m: int, two: bytes, threshold: float = THRESHOLD) -> bool:
-    """The bound of ``possible`` for one pair of texts of n and m words."""
-    limit = int((1 - threshold) * max(n, m) + 1e-9)
-    if abs(n - m) > limit:
-        return False
-    if len(one) != len(two):
-        size = min(len(one), len(two))
-        one, two = _folded(one, size).tobytes(), _folded(two, size).tobytes()
-    a, b = int.from_bytes(one, "little"), int.from_bytes(two, "little")
-    return (a & ~b).bit_count() <= 2 * limit and (b & ~a).bit_count() <= 2 * limit
-
-
 def _buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a binary column without nulls."""
     wide = pa.types.is_large_binary(column.type)
@@ -192,49 +212,46 @@ def _slices(column: pa.Array) -> Iterator[tuple[int, int]]:
         a = b
 
 
-def _lowered(text: str):
-    return F.coalesce(F.lower(text), F.lit("")).cast("binary")
+def text_key(text: str):
+    """A 64-bit hash that stands for a text; null for a null or empty one."""
+    return F.when(F.col(text) != "", F.xxhash64(F.col(text)))
 
 
-def sketched(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, exact, keys, n, bits): one pass over the texts; keys are null for texts without words."""
-    ship(docs.sparkSession)
+def _cut(rows: DataFrame, text: str, schema: str, columns) -> DataFrame:
+    """``columns`` of the words of each text: a function of word hashes and borders that gives Arrow arrays. The rows are
+    (node, text)."""
+    ship(rows.sparkSession)
+    names = [part.split()[0] for part in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             column = batch.column("_t")
             for a, b in _slices(column):
                 hashes, borders = words(*_buffers(column.slice(a, b - a)))
-                grams, at = kmers(hashes, borders)
-                keys = [None] * (b - a)
-                found = np.flatnonzero(np.diff(at))
-                for k, own in zip(found.tolist(), sketches(grams, at) if len(found) else []):
-                    keys[k] = own
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(a, b - a), batch.column("exact").slice(a, b - a), pa.array(keys, pa.list_(pa.int64())),
-                        pa.array(np.diff(borders), pa.int64()), pa.array(signatures(hashes, borders), pa.binary()),
-                    ],
-                    names=["doc_id", "exact", "keys", "n", "bits"],
-                )
-
-    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.md5(F.col(text)).alias("exact"), _lowered(text).alias("_t"))
-    return rows.mapInArrow(run, "doc_id long, exact string, keys array<long>, n long, bits binary")
-
-
-def word_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(node, words): the words of each text as 32-bit numbers, in bytes."""
-    ship(docs.sparkSession)
+                yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), *columns(hashes, borders)], names=["node", *names])
+
+    rows = rows.select("node", F.coalesce(F.lower(text), F.lit("")).cast("binary").alias("_t"))
+    return rows.mapInArrow(run, f"node long, {schema}")
+
+
+def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
+    """(node, keys, n, bits) of each text; keys are null for texts without words."""
+
+    def columns(hashes: np.ndarray, borders: np.ndarray) -> list[pa.Array]:
+        keys = pa.array(bucket_keys(hashes, borders), pa.list_(pa.int64()))
+        return [keys, pa.array(np.diff(borders), pa.int64()), pa.array(signatures(hashes, borders), pa.binary())]
+
+    return _cut(docs.select(text_key(text).alias("node"), F.col(text).alias("_text")), "_text", "keys array<long>, n long, bits binary", columns)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            column = batch.column("_t")
-            for a, b in _slices(column):
-                hashes, borders = words(*_buffers(column.slice(a, b - a)))
-                flat, cuts = (hashes >> np.uint64(32)).astype("<u4").tobytes(), (4 * borders).tolist()
-                yield pa.RecordBatch.from_arrays([batch.column("node").slice(a, b - a), pa.array([flat[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary())], names=["node", "words"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("node"), _lowered(text).alias("_t")).mapInArrow(run, "node long, words binary")
+def word_rows(texts: DataFrame) -> DataFrame:
+    """(node, words) of rows (node, _text): the words of each text as 32-bit numbers, in bytes."""
+
+    def columns(hashes: np.ndarray, borders: np.ndarray) -> list[pa.Array]:
+        flat, cuts = (hashes >> np.uint64(32)).astype("<u4").tobytes(), (4 * borders).tolist()
+        return [pa.array([flat[x:y] for x, y in zip(cuts, cuts[1:])], pa.binary())]
+
+    return _cut(texts, "_text", "words binary", columns)
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
@@ -327,20 +344,6 @@ def similar(a: np.ndarray, b: np.ndarray, threshold: float = THRESHOLD) -> bool:
     return edits_at_most(a, b) <= limit or edits_within(a, b, limit)
 
 
-def _likely(pairs: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs (src, dst) that the signatures do not rule out."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("na", "ba", "nb", "bb")]
-            at = pa.array([k for k, x in enumerate(zip(*columns)) if likely(*x, threshold)], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("src").take(at), batch.column("dst").take(at)], names=["src", "dst"])
-
-    one = nodes.select(F.col("node").alias("src"), F.col("n").alias("na"), F.col("bits").alias("ba"))
-    two = nodes.select(F.col("node").alias("dst"), F.col("n").alias("nb"), F.col("bits").alias("bb"))
-    return pairs.join(one, "src").join(two, "dst").mapInArrow(run, "src long, dst long")
-
-
 def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """The pairs (src, dst) that are links."""
 
@@ -359,83 +362,74 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
 
 
 def classes(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
-    """One row a document: doc_id, class_id (the smallest id of its class) and ``kept``, true for that document."""
-    sketch = staged(sketched(docs, doc_id, text), "sketch")
-    reps = sketch.where("keys is not null and doc_id is not null").groupBy("exact").agg(F.min("doc_id").alias("node"))
-    own = sketch.alias("s").join(reps.alias("r"), (F.col("s.exact") == F.col("r.exact")) & (F.col("s.doc_id") == F.col("r.node")))
-    nodes = staged(own.select("node", "keys", "n", "bits").dropDuplicates(["node"]), "nodes")
+    """One row a document: doc_id, class_id (the smallest id of its class), ``kept``, true for the rows of that id and its
+    text, and ``text_key`` and ``class_key``, the hash of its text and the least one of its class."""
+    rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), text_key(text).alias("text_key"))
+    placed = rows.join(_labels_of(docs, text, threshold), "text_key", "left").withColumn("class_key", F.coalesce("class_key", "text_key"))
+    ids = placed.where("class_key is not null").groupBy("class_key").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")).alias("first"))
+    placed = placed.join(ids, "class_key", "left")
+    alone = F.col("class_key").isNull()
+    first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_key") == F.col("text_key"))
+    return placed.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("first.doc_id")).alias("class_id"), F.when(alone, True).otherwise(first).alias("kept"), "text_key", "class_key")
+
+
+def _labels_of(docs: DataFrame, text: str, threshold: float) -> DataFrame:
+    """(text_key, class_key) of the texts that are similar to another."""
+    sketch = sketched(docs, text).where("keys is not null")
+    nodes = staged(sketch.groupBy("node").agg(*[F.first(c).alias(c) for c in ("keys", "n", "bits")]), "nodes")
     keyed = nodes.select("node", F.explode("keys").alias("bucket"))
-    shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
     members = staged(keyed.join(shared, "bucket"), "members")
     wanted = members.select("node").distinct()
-    texts = docs.select(F.col(doc_id).cast("long").alias("_id"), F.col(text).alias("_text")).join(wanted, F.col("_id") == F.col("node"), "left_semi")
-    # One text an id, before the words are cut: the join has already brought the rows of an id together.
-    texts = staged(word_rows(texts.dropDuplicates(["_id"]), "_id", "_text"), "words")
-    tested = staged(_likely(members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct(), nodes, threshold), "pairs")
-    links = staged(_verified(tested, texts, threshold), "links")
+    texts = docs.select(text_key(text).alias("node"), F.col(text).alias("_text")).join(wanted, "node", "left_semi")
+    texts = staged(word_rows(texts.dropDuplicates(["node"])), "words")  # the join has brought equal texts together
+    pairs = members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct()
+    links = staged(_verified(pairs, texts, threshold), "links")
     labels = staged(connected_components(links), "labels")
-    larger = members.where("n > 2").select("bucket", "node")  # of two members the one pair is tested
-    for _ in range(ROUNDS - 1):
-        pairs = staged(_likely(_further(larger, labels).join(tested, ["src", "dst"], "left_anti"), nodes, threshold), "pairs")
-        found = staged(_verified(pairs, texts, threshold), "links")
-        if found.isEmpty():
-            break
-        tested, links = tested.unionByName(pairs), links.unionByName(found)
-        labels = staged(connected_components(links), "labels")
-    pairs = staged(_remaining(larger, labels, nodes, threshold).join(tested, ["src", "dst"], "left_anti"), "pairs")
-    found = staged(_verified(pairs, texts, threshold), "links")
-    if not found.isEmpty():
-        labels = staged(connected_components(links.unionByName(found)), "labels")
-    placed = sketch.select("doc_id", "exact").join(reps, "exact", "left").join(labels, "node", "left")
-    class_id = F.coalesce("component", "node", "doc_id")
-    return placed.select("doc_id", class_id.alias("class_id"), F.coalesce(F.col("doc_id") == class_id, class_id.isNull()).alias("kept"))
-
-
-def _further(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """New pairs in buckets that hold several components: the members outside the largest one, each with a hub of that
-    component and with a hub of their own kind. Only counts and maxima are taken over a bucket, which combine before the
-    shuffle, and no member of the largest component becomes a row."""
-    now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    spread = F.xxhash64("node", F.lit(SEED))
-    parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"), F.max_by("node", spread).alias("hub"))
-    part = F.struct("n", "component", "hub")
-    hubs = parts.groupBy("bucket").agg(F.max(part).alias("main"), F.count(F.lit(1)).alias("components")).where("components > 1")
-    outside = now.join(hubs, "bucket").where(F.col("component") != F.col("main.component")).select("bucket", "node", "component", F.col("main.hub").alias("hub"))
-    own = outside.groupBy("bucket").agg(F.max_by(F.struct("node", "component"), spread).alias("own"))
-    inner = outside.join(own, "bucket").where(F.col("component") != F.col("own.component")).select("node", F.col("own.node").alias("hub"))
-    pairs = outside.select("node", "hub").unionByName(inner)
-    return pairs.select(F.least("hub", "node").alias("src"), F.greatest("hub", "node").alias("dst")).distinct()
+    more = staged(_verified(_remaining(members, labels, nodes, threshold), texts, threshold), "links")
+    if not more.isEmpty():
+        before = labels
+        labels = staged(connected_components(links.unionByName(more)), "labels")
+        unstage(before)
+    for table in (nodes, members, texts, links, more):
+        unstage(table)
+    return labels.select(F.col("node").alias("text_key"), F.col("component").alias("class_key"))
 
 
 def _remaining(members: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """All pairs (src, dst) of a bucket that are in different components and may be similar.
+    """All pairs (src, dst) of a bucket that are in different components and may be similar, each in the bucket of the
+    first table in which it agrees.
 
-    The members outside a bucket's largest component are dealt to blocks, those of that component to others. Each block of
-    the first kind meets all of both kinds; within the largest component nothing is left to compare. A pair of blocks is
-    the unit of work, so no task holds a bucket."""
-    now = members.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    A bucket of more than ``BLOCK`` members is dealt to blocks: the members outside its largest component to some, those of
+    that component to others. Each block of the first kind meets all of both kinds; within the largest component nothing is
+    left to compare. A pair of blocks is the unit of work, so no task holds a bucket. A smaller bucket is one unit."""
+    now = members.select("bucket", "node").join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
     parts = now.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("bucket").agg(F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("all"), F.count(F.lit(1)).alias("components")).where("components > 1")
     blocks = lambda n: F.ceil(n / F.lit(BLOCK)).cast("int")
-    mixed = mixed.select("bucket", F.col("main.component").alias("main"), blocks(F.col("all") - F.col("main.n")).alias("outer"), blocks(F.col("main.n")).alias("inner"))
+    mixed = mixed.select("bucket", F.col("main.component").alias("main"), (F.col("all") <= BLOCK).alias("small"), blocks(F.col("all") - F.col("main.n")).alias("outer"), blocks(F.col("main.n")).alias("inner"))
     dealt = now.join(mixed, "bucket").withColumn("in_main", F.col("component") == F.col("main"))
     dealt = dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(SEED)), F.when(F.col("in_main"), F.col("inner")).otherwise(F.col("outer"))).cast("int"))
     upto = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
     unit = lambda kind, i, j, left: F.struct(F.lit(kind).alias("kind"), i.alias("i"), j.alias("j"), left.alias("left"))
-    block, yes, no = F.col("block"), F.lit(True), F.lit(False)
-    outer = F.transform(upto("outer"), lambda k: unit(0, F.least(block, k), F.greatest(block, k), block <= k))
-    units = F.when(F.col("in_main"), F.transform(upto("outer"), lambda k: unit(1, k, block, no))).otherwise(F.concat(outer, F.transform(upto("inner"), lambda k: unit(1, block, k, yes))))
+    block, yes, no, zero = F.col("block"), F.lit(True), F.lit(False), F.lit(0)
+    outer = F.transform(upto("outer"), lambda k: unit(_OUTER, F.least(block, k), F.greatest(block, k), block <= k))
+    large = F.when(F.col("in_main"), F.transform(upto("outer"), lambda k: unit(_MAIN, k, block, no))).otherwise(F.concat(outer, F.transform(upto("inner"), lambda k: unit(_MAIN, block, k, yes))))
+    units = F.when(F.col("small"), F.array(unit(_WHOLE, zero, zero, ~F.col("in_main")))).otherwise(large)
     key = ["bucket", "kind", "i", "j"]
     rows = dealt.select("bucket", "node", "component", F.explode(units).alias("u")).select("bucket", "u.*", "node", "component")
-    rows = rows.join(nodes.select("node", "n", "bits"), "node").repartition(*key).sortWithinPartitions(*key)
+    rows = rows.join(nodes, "node").repartition(*key).sortWithinPartitions(*key)
     ship(members.sparkSession)
 
     def met(unit: tuple, left: list[tuple], right: list[tuple]) -> Iterator[tuple[int, int]]:
-        same = unit[1] == 0 and unit[2] == unit[3]
-        for i, j in possible(left, left if same else right, threshold):
-            a, b = left[i][0], (left if same else right)[j][0]
-            if not same or a < b:
-                yield min(a, b), max(a, b)
+        bucket, kind, i, j = unit
+        table = int(np.flatnonzero((left or right)[0][4] == bucket)[0])
+        if kind == _WHOLE or (kind == _OUTER and i == j):
+            for a, b in possible(left, left, True, threshold, table):
+                yield left[a][0], left[b][0]
+        if kind != _OUTER or i != j:
+            for a, b in possible(left, right, False, threshold, table):
+                yield min(left[a][0], right[b][0]), max(left[a][0], right[b][0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unit, sides, out = None, ([], []), []
@@ -447,16 +441,25 @@ def _remaining(members: DataFrame, labels: DataFrame, nodes: DataFrame, threshol
 
         for batch in batches:
             columns = [batch.column(c).to_pylist() for c in (*key, "left", "node", "component", "n", "bits")]
-            for *at, is_left, node, component, n, bits in zip(*columns):
+            lists = batch.column("keys")
+            ends = lists.offsets.to_numpy()
+            keys = np.split(lists.values.to_numpy()[ends[0] : ends[-1]], ends[1:-1] - ends[0])
+            for *at, is_left, node, component, n, bits, own in zip(*columns, keys):
                 if at != unit:
                     for pair in met(unit, *sides) if unit else ():
                         out.append(pair)
                         if len(out) >= 50_000:
                             yield put()
                     unit, sides = at, ([], [])
-                sides[0 if is_left else 1].append((node, component, n, bits))
-        if unit:
-            out.extend(met(unit, *sides))
+                sides[0 if is_left else 1].append((node, component, n, bits, own))
+        for pair in met(unit, *sides) if unit else ():
+            out.append(pair)
+            if len(out) >= 50_000:
+                yield put()
         yield put()
 
-    return rows.mapInArrow(run, "src long, dst long").distinct()
+    return rows.mapInArrow(run, "src long, dst long")
+
+
+#: Kinds of units: two blocks outside the largest component, one outside and one of it, a whole bucket.
+_OUTER, _MAIN, _WHOLE = 0, 1, 2
