@@ -1,9 +1,9 @@
 """Quality rules: word and line counts with hard limits, and divergence from language references.
 
-Every count is a built-in function of the text; the references are one small aggregate over all documents, and no text
-is shuffled. Defined cases: a null text counts as empty; a document without words fails the base rule; a null or unknown
-language is compared with its own pooled reference; equal rows give equal verdicts; other columns are carried along by
-``apply_rules`` and dropped by ``measures``.
+Every count is a built-in function of the text; the references are one small aggregate over all documents of a language,
+junk included, and no text is shuffled. Languages without a list of common words have no word test. Defined cases: a null
+text counts as empty; a document without words fails the base rule; a null or unknown language is compared with its own
+pooled reference; equal rows give equal verdicts; of the other columns only those named in ``keep`` are carried along.
 """
 
 from __future__ import annotations
@@ -113,9 +113,9 @@ def distance(p: str, q: str) -> Column:
 
 def verdicts(measured: DataFrame) -> DataFrame:
     """Add the distances, rounded to 6 places, and ``kept``. ``measured`` should be staged: it is read twice."""
-    joined = measured.alias("m").join(
-        references(measured).alias("r"), F.col("m.lang_ref").eqNullSafe(F.col("r.lang_ref")), "left"
-    )
+    # Staged, the references have a size that Spark knows: a few rows are broadcast, so no text is shuffled.
+    pooled = staged(references(measured), "references")
+    joined = measured.alias("m").join(pooled.alias("r"), F.col("m.lang_ref").eqNullSafe(F.col("r.lang_ref")), "left")
     known = F.col("m.lang_ref").isin(list(COMMON_WORDS))
     out = joined.select(
         "m.*",
