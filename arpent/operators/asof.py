@@ -24,12 +24,17 @@ def _row_type(df: DataFrame):
     return df.select(F.struct(*df.columns).alias("_row")).schema["_row"].dataType
 
 
-def latest_before(left: DataFrame, right: DataFrame, key: str, moment: str, event: str, value: str, tie: str, days: int, name: str, row_id: str) -> DataFrame:
+def latest_before(left: DataFrame, right: DataFrame, key: str, moment: str, event: str, value: str, tie: str, days: int, name: str) -> DataFrame:
     """Each row of ``left`` with ``value`` of the latest row of ``right`` in (moment - days, moment], ties by ``tie``.
 
-    ``row_id`` tells the rows of ``left`` apart. A key's rows pair up within the join, so keys should be fine-grained (a
-    parcel); the aggregate after it keeps one row an act."""
-    r = right.select(F.col(key).alias("_key"), F.col(event).alias("_at"), F.col(value).alias("_value"), F.col(tie).alias("_tie")).where(F.col("_value").isNotNull())
-    close = (F.col("_at") > F.date_sub(F.col(moment), days)) & (F.col("_at") <= F.col(moment))
-    found = left.join(r, (left[key] == F.col("_key")) & close).groupBy(row_id).agg(F.max_by("_value", F.struct("_at", "_tie")).alias(name))
-    return left.join(found, row_id, "left")
+    One sequence a key, as in ``first_after``: the last event up to a moment is the only one that can be in its span."""
+    found = F.struct(F.col(event).alias("at"), F.col(value).alias("value"))
+    events = right.where(F.col(event).isNotNull() & F.col(value).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(event).alias("_at"), F.lit(0).alias("_side"), F.col(tie).alias("_tie"), found.alias("_event"), F.lit(None).cast(_row_type(left)).alias("_row")
+    )
+    nothing = lambda c: F.lit(None).cast(events.schema[c].dataType).alias(c)
+    moments = left.select(F.col(key).alias("_key"), F.col(moment).alias("_at"), F.lit(1).alias("_side"), nothing("_tie"), nothing("_event"), F.struct(*left.columns).alias("_row"))
+    upto = Window.partitionBy("_key").orderBy("_at", "_side", "_tie").rowsBetween(Window.unboundedPreceding, 0)
+    both = events.unionByName(moments).withColumn("_last", F.last("_event", ignorenulls=True).over(upto)).where("_side = 1")
+    near = F.col("_last.at") > F.date_sub(F.col("_at"), days)
+    return both.select("_row.*", F.when(near, F.col("_last.value")).alias(name))

@@ -22,6 +22,17 @@ def stratified_sample(rows: DataFrame, strata: Sequence[str], key: str, seed: st
     return rows.withColumn("draw", F.row_number().over(Window.partitionBy(*strata).orderBy(hash_order(seed, key), key))).where(F.col("draw") <= n)
 
 
+def numbered(rows: DataFrame, key: str, seed: str, name: str) -> DataFrame:
+    """The rows numbered from 1 in hash order, as a column ``name``. Numbers run within the 4,096 blocks of a hash prefix;
+    the counts of the blocks ahead, a table of 4,096 rows, are added, so no task holds all rows."""
+    placed = rows.withColumn("_h", hash_order(seed, key)).withColumn("_block", F.substring("_h", 1, 3))
+    counts = placed.groupBy("_block").agg(F.count(F.lit(1)).alias("_n"))
+    ahead = F.coalesce(F.sum("_n").over(Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    placed = placed.join(counts.select("_block", ahead.alias("_ahead")), "_block")
+    own = F.row_number().over(Window.partitionBy("_block").orderBy("_h", key))
+    return placed.select(*rows.columns, (own + F.col("_ahead")).alias(name))
+
+
 def mean_rank(rows: DataFrame, key: str, signals: dict[str, bool]) -> DataFrame:
     """Mean normalised rank over the signals that a row has, ties sharing theirs; 1 for none. ``signals``: descending?
 
@@ -63,4 +74,4 @@ def blind_merge(one: DataFrame, two: DataFrame, key: str, names: tuple[str, str]
     """Two lists as one, a row a unit with both origins, numbered in hash order."""
     a, b = one.select(key, F.lit(names[0]).alias("_a")), two.select(key, F.lit(names[1]).alias("_b"))
     both = a.join(b, key, "full_outer").select(key, F.concat_ws("+", "_a", "_b").alias("origin"))
-    return both.withColumn("blind_no", F.row_number().over(Window.orderBy(hash_order(seed, key), key)))
+    return numbered(both, key, seed, "blind_no")

@@ -165,7 +165,7 @@ def margin_by_entry_price(adjusted: DataFrame, territories: DataFrame, departmen
 def label_premium(sales: DataFrame, diagnostics: DataFrame, references: DataFrame, territories: DataFrame, department: str, p: Parameters = Parameters(), row_id: str = "sale_id") -> DataFrame:
     """Ratio of a house's price to its commune and year median, by the label of the last diagnostic before the act."""
     houses = sales.where((F.col("property_type") == "Maison") & (F.year("mutation_date") >= p.label_from_year))
-    labelled = latest_before(houses, diagnostics.where("building_type = 'maison'"), "parcel_id", "mutation_date", "deposited_on", "label", "dpe_number", p.label_lookback_days, "energy_label", row_id)
+    labelled = latest_before(houses, diagnostics.where("building_type = 'maison'"), "parcel_id", "mutation_date", "deposited_on", "label", "dpe_number", p.label_lookback_days, "energy_label")
     labelled = labelled.where("energy_label is not null").withColumn("year", F.year("mutation_date")).join(references, ["commune_code", "year"])
     scoped = with_scopes(labelled.withColumn("ratio", price_m2() / F.col("reference_eur_m2")), territories, department, WIDE_LEVELS)
     cells = scoped.groupBy("scope_type", "scope_code", "energy_label").agg(

@@ -51,7 +51,7 @@ DIAGNOSTICS = """SELECT CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber A
   CAST(o_custkey AS STRING) AS parcel_id, CAST(c_nationkey AS STRING) AS commune_code, CAST(l_shipdate AS DATE) - INTERVAL '900' DAY AS deposited_ts,
   CASE WHEN l_quantity = 50 THEN NULL ELSE substr('ABCDEFG', CAST(l_quantity AS INT) % 7 + 1, 1) END AS label,
   CASE WHEN l_returnflag = 'A' THEN 'appartement' ELSE 'maison' END AS building_type, (l_returnflag = 'N' AND l_linestatus = 'O') AS from_immeuble
-FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey WHERE l_linenumber <= 2"""
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey"""
 DIAGNOSTICS = f"""SELECT dpe_number, parcel_id, commune_code, CAST(deposited_ts AS DATE) AS deposited_on, label, building_type, from_immeuble
 FROM ({DIAGNOSTICS}) AS raw_diagnostics"""
 

@@ -92,10 +92,10 @@ def scalar_month_shift(spark, sf):
     return table(spark, sf, "orders").select("o_orderkey", F.add_months(d, -6).alias("six_before"), F.add_months(d, 11).alias("eleven_after"))
 
 
-@query("scalar_address_label", f"""SELECT doc_id, trim(regexp_replace(translate(lower(substr(text, 1, 40)), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')) AS label FROM documents""")
+@query("scalar_address_label", f"""SELECT doc_id, trim(regexp_replace(translate(lower(text), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')) AS label FROM documents""")
 def scalar_address_label(spark, sf):
-    """Labels from the first characters of texts, which stand in for street names."""
-    return table(spark, sf, "documents").select("doc_id", X.address_label(F.substring("text", 1, 40)).alias("label"))
+    """Labels of whole texts, which stand in for street names."""
+    return table(spark, sf, "documents").select("doc_id", X.address_label(F.col("text")).alias("label"))
 
 
 @query("scalar_price_band", "SELECT o_orderkey, CASE WHEN o_totalprice < 100000 THEN 'low' WHEN o_totalprice < 250000 THEN 'middle' ELSE 'high' END AS band FROM orders")
@@ -178,10 +178,10 @@ def join_priority_resolution(spark, sf):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce("p_name", "s_name").alias("resolved"), F.when(first, "building").when(second, "address").otherwise("none").alias("resolved_by"), confidence.alias("confidence"))
 
 
-@query("join_full_outer_counts", "SELECT coalesce(a.k, b.k) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_nationkey % 3 > 0 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_nationkey % 4 > 0 GROUP BY 1) b ON a.k = b.k")
+@query("join_full_outer_counts", "SELECT coalesce(a.k, b.k) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal < -900 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 0 GROUP BY 1) b ON a.k = b.k")
 def join_full_outer_counts(spark, sf):
-    a = table(spark, sf, "customer").where("c_nationkey % 3 > 0").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
-    b = table(spark, sf, "supplier").where("s_nationkey % 4 > 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
+    a = table(spark, sf, "customer").where("c_acctbal < -900").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    b = table(spark, sf, "supplier").where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
     return a.join(b, "nation", "full_outer").select("nation", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("customers", "suppliers")])
 
 
@@ -347,10 +347,10 @@ def rank_hash_sample(spark, sf):
     return R.stratified_sample(table(spark, sf, "customer").select("c_nationkey", "c_custkey"), ["c_nationkey"], "c_custkey", "s1", 5)
 
 
-@query("rank_blind_ordinal", "SELECT s_suppkey, dense_rank() OVER (ORDER BY md5(s_suppkey::VARCHAR)) AS ordinal FROM supplier")
+@query("rank_blind_ordinal", "SELECT s_suppkey, row_number() OVER (ORDER BY sha256('o:' || s_suppkey), s_suppkey) AS ordinal FROM supplier")
 def rank_blind_ordinal(spark, sf):
-    """Numbers in hash order over a review list, which is small by construction."""
-    return table(spark, sf, "supplier").select("s_suppkey", F.dense_rank().over(Window.orderBy(F.md5(F.col("s_suppkey").cast("string")))).alias("ordinal"))
+    """Numbers in hash order over a review list."""
+    return R.numbered(table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey", "o", "ordinal")
 
 
 @query("rank_terciles", "SELECT c_nationkey, n, ntile(3) OVER (ORDER BY n, c_nationkey) AS tercile FROM (SELECT c_nationkey, count(*) AS n FROM customer GROUP BY 1)")
@@ -384,7 +384,7 @@ def rank_top_k_stability(spark, sf):
     return R.top_k_stability(c, c.withColumn("c_acctbal", F.abs(F.col("c_acctbal") - 500)), "c_acctbal", "c_custkey", 100)
 
 
-@query("rank_blind_merge", "WITH a AS (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 40), b AS (SELECT c_custkey FROM customer ORDER BY c_acctbal % 97 DESC, c_custkey LIMIT 40), m AS (SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, concat_ws('+', CASE WHEN a.c_custkey IS NOT NULL THEN 'base' END, CASE WHEN b.c_custkey IS NOT NULL THEN 'ranked' END) AS origin FROM a FULL JOIN b ON a.c_custkey = b.c_custkey) SELECT *, row_number() OVER (ORDER BY sha256('z:' || c_custkey), c_custkey)::INT AS blind_no FROM m")
+@query("rank_blind_merge", "WITH a AS (SELECT c_custkey FROM customer ORDER BY c_acctbal DESC, c_custkey LIMIT 40), b AS (SELECT c_custkey FROM customer ORDER BY c_acctbal % 97 DESC, c_custkey LIMIT 40), m AS (SELECT coalesce(a.c_custkey, b.c_custkey) AS c_custkey, concat_ws('+', CASE WHEN a.c_custkey IS NOT NULL THEN 'base' END, CASE WHEN b.c_custkey IS NOT NULL THEN 'ranked' END) AS origin FROM a FULL JOIN b ON a.c_custkey = b.c_custkey) SELECT *, row_number() OVER (ORDER BY sha256('z:' || c_custkey), c_custkey) AS blind_no FROM m")
 def rank_blind_merge(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
     one = c.orderBy(F.desc("c_acctbal"), "c_custkey").limit(40)
@@ -414,7 +414,8 @@ def set_shared_acts(spark, sf):
 
 # --- Matching -------------------------------------------------------------------------------------------------------
 
-LINKS = """SELECT l_orderkey, l_linenumber * 100000000 + l_partkey * 1000 + l_suppkey AS link_id, l_suppkey, round(0.4 + l_quantity / 80, 4) AS confidence FROM lineitem WHERE l_orderkey % 3 = 0"""
+#: The finished lines of an order are its links; an order without one is unmatched.
+LINKS = """SELECT l_orderkey, l_linenumber * 100000000 + l_partkey * 1000 + l_suppkey AS link_id, l_suppkey, round(0.4 + l_quantity / 80, 4) AS confidence FROM lineitem WHERE l_linestatus = 'F'"""
 _RESOLVED = f"""WITH c AS ({LINKS}), r AS (SELECT *, row_number() OVER w AS k, max(confidence) OVER (PARTITION BY l_orderkey) AS top,
   nth_value(confidence, 2) OVER (PARTITION BY l_orderkey ORDER BY confidence DESC, link_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING) AS second FROM c WINDOW w AS (PARTITION BY l_orderkey ORDER BY confidence DESC, link_id)),
 d AS (SELECT l_orderkey, link_id, l_suppkey, confidence, CASE WHEN second IS NOT NULL AND round(top - second, 9) <= 0.05 AND round(top - confidence, 9) <= 0.05 THEN 'ambiguous' WHEN k = 1 AND confidence >= 0.9 THEN 'certain' WHEN k = 1 AND confidence >= 0.5 THEN 'ambiguous' ELSE 'rejected' END AS decision FROM r)"""

@@ -59,10 +59,10 @@ def feature_energy_choice(spark, sf):
     return FT.select_assessment(o.where("o_orderstatus = 'F' and o_totalprice > 300000"), o.where("o_orderstatus = 'O' and o_totalprice > 350000"), "subject")
 
 
-@query("feature_observation_choice", """WITH s AS (SELECT l_suppkey AS subject, l_quantity AS floors, l_linenumber AS priority, l_discount AS confidence, l_returnflag = 'R' AS predicted FROM lineitem WHERE l_orderkey < 1500), b AS (SELECT *, rank() OVER (PARTITION BY subject ORDER BY priority) AS r FROM s WHERE NOT predicted AND floors IS NOT NULL), g AS (SELECT subject, count(DISTINCT floors) AS n, min(floors) AS v FROM b WHERE r = 1 GROUP BY 1)
+@query("feature_observation_choice", """WITH s AS (SELECT l_suppkey AS subject, l_quantity AS floors, l_linenumber AS priority, l_discount AS confidence, l_returnflag = 'R' AS predicted FROM lineitem), b AS (SELECT *, rank() OVER (PARTITION BY subject ORDER BY priority) AS r FROM s WHERE NOT predicted AND floors IS NOT NULL), g AS (SELECT subject, count(DISTINCT floors) AS n, min(floors) AS v FROM b WHERE r = 1 GROUP BY 1)
 SELECT t.subject, CASE WHEN n = 1 THEN v END AS floors, CASE WHEN n IS NULL THEN 'source_value_missing' WHEN n > 1 THEN 'ambiguous' END AS missing_reason FROM (SELECT DISTINCT subject FROM s) t LEFT JOIN g ON t.subject = g.subject""")
 def feature_observation_choice(spark, sf):
-    s = table(spark, sf, "lineitem").where("l_orderkey < 1500").select(F.col("l_suppkey").alias("subject"), F.col("l_quantity").alias("floors"), F.col("l_linenumber").alias("priority"), F.col("l_discount").alias("confidence"), (F.col("l_returnflag") == "R").alias("predicted"))
+    s = table(spark, sf, "lineitem").select(F.col("l_suppkey").alias("subject"), F.col("l_quantity").alias("floors"), F.col("l_linenumber").alias("priority"), F.col("l_discount").alias("confidence"), (F.col("l_returnflag") == "R").alias("predicted"))
     return FT.choose_observation(s, "subject", "floors", "priority", "confidence")
 
 
@@ -142,21 +142,34 @@ def score_opportunities(spark, sf):
     return SC.scores(_evidence(spark, sf), confidence, _CONF, ["POS-002"])
 
 
-@query("score_ablation", f"{_SCORED} SELECT subject, feature, round(-round(impact, 6), 6) AS score_delta FROM ev WHERE feature IN ('POS-002', 'NEG-001')")
+_GONE = "(VALUES ('neg', 'NEG-001'), ('needed', 'POS-002'), ('both', 'NEG-001'), ('both', 'POS-001')) g(removed, code)"
+
+
+@query("score_ablation", f"""{_SCORED}, g AS (SELECT DISTINCT removed FROM {_GONE}), x AS (SELECT removed, subject, requirement, feature, value IS NULL OR gone AS absent, weight * cw * 100 * CASE WHEN gone THEN 0.5 ELSE normalized END AS part, weight * cw * 100 * normalized AS whole, value
+  FROM (SELECT g.removed, e.*, EXISTS (SELECT 1 FROM {_GONE.replace('g(', 'v(')} WHERE v.removed = g.removed AND v.code = e.feature) AS gone FROM e CROSS JOIN g)),
+s AS (SELECT removed, subject, bool_or(feature = 'POS-002' AND value IS NULL) AS failed, bool_or(feature = 'POS-002' AND absent) AS failed_without, bool_or(feature = 'POS-001' AND absent) AS lacking, round(least(greatest(sum(whole), 0), 100), 6) AS full_sum, round(least(greatest(sum(part), 0), 100), 6) AS part_sum FROM x GROUP BY 1, 2)
+SELECT subject, removed, CASE WHEN NOT failed THEN full_sum END AS full_score, CASE WHEN NOT failed_without THEN part_sum END AS ablated_score, CASE WHEN NOT failed AND NOT failed_without THEN round(part_sum - full_sum, 6) END AS score_delta, NOT failed_without AND NOT lacking AS ablated_publishable FROM s""")
 def score_ablation(spark, sf):
     inputs = SC.local_percentiles(relation(spark, sf, _INPUTS), "segment", "feature", "value").drop("segment")
     rules, components = _definition(spark)
     subjects = table(spark, sf, "customer").select(F.col("c_custkey").alias("subject"))
-    return SC.ablation(subjects, inputs, rules, components, ["POS-002", "NEG-001"])
+    facts = lambda gone: SC.evidence(subjects, SC.without(inputs, gone), rules, components)
+    none = table(spark, sf, "customer").select(F.col("c_custkey").alias("subject"), *[F.lit(0.0).alias(c) for c in ("match_quality", "freshness")])
+    sets = {"neg": ["NEG-001"], "needed": ["POS-002"], "both": ["NEG-001", "POS-001"]}
+    full, out = SC.scores(facts([]), none, _CONF, ["POS-002"]), None
+    for name, gone in sets.items():
+        one = SC.ablation(full, SC.scores(facts(gone), none, _CONF, ["POS-002"])).select("subject", F.lit(name).alias("removed"), "full_score", "ablated_score", "score_delta", "ablated_publishable")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
-_AMOUNTS = "SELECT p_partkey AS subject, p_retailprice * 0.9 AS purchase_low, p_retailprice AS purchase_central, p_retailprice * 1.1 AS purchase_high, p_size * 1.0 AS works_low, p_size * 2.0 AS works_central, p_size * 4.0 AS works_high, CAST(10 AS DOUBLE) AS fees_low, CAST(20 AS DOUBLE) AS fees_central, CAST(30 AS DOUBLE) AS fees_high, p_retailprice * 1.0 AS resale_low, p_retailprice * 1.08 AS resale_central, p_retailprice * 1.2 AS resale_high FROM part"
+_AMOUNTS = "SELECT p_partkey AS subject, p_retailprice * 0.9 AS purchase_low, p_retailprice AS purchase_central, p_retailprice * 1.1 AS purchase_high, p_size * 1.0 AS works_low, p_size * 2.0 AS works_central, p_size * 4.0 AS works_high, CAST(10 AS DOUBLE) AS fees_low, CAST(20 AS DOUBLE) AS fees_central, CAST(30 AS DOUBLE) AS fees_high, CAST(5 AS DOUBLE) AS financing_low, p_size * 0.5 AS financing_central, p_size * 1.0 + 5 AS financing_high, CAST(0 AS DOUBLE) AS holding_low, CAST(3 AS DOUBLE) AS holding_central, p_size * 0.25 + 3 AS holding_high, p_retailprice * 1.0 AS resale_low, p_retailprice * 1.08 AS resale_central, p_retailprice * 1.2 AS resale_high FROM part"
 
 
-@query("score_scenarios", f"""WITH a AS ({_AMOUNTS}), s AS (SELECT subject, 'prudent' AS "case", purchase_high + works_high + fees_high AS cost_eur, resale_low AS resale_eur FROM a UNION ALL SELECT subject, 'central', purchase_central + works_central + fees_central, resale_central FROM a UNION ALL SELECT subject, 'optimistic', purchase_low + works_low + fees_low, resale_high FROM a)
-SELECT subject, "case", cost_eur::DOUBLE AS cost_eur, resale_eur::DOUBLE AS resale_eur, round(resale_eur - cost_eur, 2)::DOUBLE AS margin_eur, resale_eur >= cost_eur AS breaks_even FROM s""")
+@query("score_scenarios", f"""WITH a AS ({_AMOUNTS}), s AS (SELECT subject, 'prudent' AS "case", purchase_high AS p, works_high + fees_high + financing_high + holding_high AS other, resale_low AS resale FROM a UNION ALL SELECT subject, 'central', purchase_central, works_central + fees_central + financing_central + holding_central, resale_central FROM a UNION ALL SELECT subject, 'optimistic', purchase_low, works_low + fees_low + financing_low + holding_low, resale_high FROM a)
+SELECT subject, "case", round(p + other, 4)::DOUBLE AS total_cost_eur, resale::DOUBLE AS resale_eur, round(resale - p - other, 4)::DOUBLE AS net_margin_eur, CASE WHEN p + other > 0 THEN round((resale - p - other) / (p + other), 6) ELSE 0 END::DOUBLE AS return_on_cost, round(greatest(resale / 1.15 - other, 0), 4)::DOUBLE AS break_even_purchase_price_eur FROM s""")
 def score_scenarios(spark, sf):
-    return SC.scenarios(relation(spark, sf, _AMOUNTS).select("subject", *[F.col(f"{k}_{c}").cast("double").alias(f"{k}_{c}") for k in ("purchase", "works", "fees", "resale") for c in ("low", "central", "high")])).drop("margin_pct")
+    return SC.scenarios(relation(spark, sf, _AMOUNTS).select("subject", *[F.col(f"{k}_{c}").cast("double").alias(f"{k}_{c}") for k in (*SC.COSTS, "resale") for c in ("low", "central", "high")]))
 
 
 @query("score_input_digest", "SELECT o_custkey, sha256(string_agg(o_orderkey || '|' || o_orderstatus || '|' || strftime(o_orderdate, '%Y-%m-%d'), chr(10) ORDER BY o_orderkey || '|' || o_orderstatus || '|' || strftime(o_orderdate, '%Y-%m-%d'))) AS digest FROM orders GROUP BY 1")
@@ -320,18 +333,18 @@ def qualify_contract(spark, sf):
     return p.agg(F.count(F.lit(1)).alias("rows"), F.count_if(F.col("p_name").isNull()).alias("name_missing"), F.count_if(F.split_part("p_brand", F.lit("#"), F.lit(2)).try_cast("int").isNull()).alias("brand_not_number"), F.count_if(~F.col("p_size").between(1, 45)).alias("size_out_of_range"))
 
 
-@query("release_upsert", "WITH n AS (SELECT c_custkey, c_name, CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE c_mktsegment END AS seg FROM customer WHERE c_custkey % 2 = 0), o AS (SELECT c_custkey, 'old ' || c_name AS c_name, 'OLD' AS seg FROM customer WHERE c_custkey % 3 = 0) SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_name ELSE o.c_name END AS c_name, coalesce(n.seg, o.seg) AS seg FROM n FULL JOIN o ON n.c_custkey = o.c_custkey")
+@query("release_upsert", "WITH n AS (SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN NULL ELSE c_mktsegment END AS seg FROM customer WHERE c_acctbal > 0), o AS (SELECT c_custkey, 'old ' || c_name AS c_name, 'OLD' AS seg FROM customer WHERE c_nationkey < 12) SELECT coalesce(n.c_custkey, o.c_custkey) AS c_custkey, CASE WHEN n.c_custkey IS NOT NULL THEN n.c_name ELSE o.c_name END AS c_name, coalesce(n.seg, o.seg) AS seg FROM n FULL JOIN o ON n.c_custkey = o.c_custkey")
 def release_upsert(spark, sf):
     c = table(spark, sf, "customer")
-    new = c.where("c_custkey % 2 = 0").select("c_custkey", "c_name", F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment")).alias("seg"))
-    old = c.where("c_custkey % 3 = 0").select("c_custkey", F.concat(F.lit("old "), "c_name").alias("c_name"), F.lit("OLD").alias("seg"))
+    new = c.where("c_acctbal > 0").select("c_custkey", "c_name", F.when(F.col("c_mktsegment") != "BUILDING", F.col("c_mktsegment")).alias("seg"))
+    old = c.where("c_nationkey < 12").select("c_custkey", F.concat(F.lit("old "), "c_name").alias("c_name"), F.lit("OLD").alias("seg"))
     return RL.keep_latest(new, old, ["c_custkey"], ["c_name"], ["seg"])
 
 
-@query("release_insert_absent", "SELECT s_suppkey, 'old' AS origin FROM supplier WHERE s_suppkey % 2 = 0 UNION ALL SELECT s_suppkey, 'new' FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 2 > 0")
+@query("release_insert_absent", "SELECT s_suppkey, 'old' AS origin FROM supplier WHERE s_acctbal > 0 UNION ALL SELECT s_suppkey, 'new' FROM supplier WHERE s_nationkey < 12 AND s_acctbal <= 0")
 def release_insert_absent(spark, sf):
-    s = table(spark, sf, "supplier").select("s_suppkey")
-    return RL.insert_absent(s.where("s_suppkey % 3 = 0").withColumn("origin", F.lit("new")), s.where("s_suppkey % 2 = 0").withColumn("origin", F.lit("old")), ["s_suppkey"])
+    s = table(spark, sf, "supplier")
+    return RL.insert_absent(s.where("s_nationkey < 12").select("s_suppkey", F.lit("new").alias("origin")), s.where("s_acctbal > 0").select("s_suppkey", F.lit("old").alias("origin")), ["s_suppkey"])
 
 
 @query("release_seen_span", "SELECT o_custkey, arg_min(o_orderpriority, (o_orderdate, o_orderpriority)) AS first_release, arg_max(o_orderpriority, (o_orderdate, o_orderpriority)) AS last_release FROM orders GROUP BY 1")
@@ -345,7 +358,7 @@ def release_conservation(spark, sf):
     return RL.conservation(rows, rows.where("l_quantity > 5 and l_returnflag <> 'R'"), rows.where("l_quantity <= 5"), rows.where("l_quantity > 5 and l_returnflag = 'R'"))
 
 
-@query("release_fingerprint", "SELECT c_nationkey, count(*) AS rows, sha256(string_agg(h, '' ORDER BY h)) AS fingerprint FROM (SELECT c_nationkey, sha256(c_custkey || '|' || c_name || '|' || c_nationkey || '|' || c_mktsegment) AS h FROM customer) GROUP BY 1")
+@query("release_fingerprint", "SELECT c_nationkey, count(*) AS rows, concat_ws(':', sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 31, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 46, 15))::BIGINT)::VARCHAR) AS fingerprint FROM (SELECT c_nationkey, sha256(c_custkey || '|' || c_name || '|' || c_nationkey || '|' || c_mktsegment) AS h FROM customer) GROUP BY 1")
 def release_fingerprint(spark, sf):
     return RL.fingerprint(table(spark, sf, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment"), ["c_nationkey"])
 

@@ -114,10 +114,10 @@ def report_method_volumes(spark, sf):
     return rows.groupBy("method").agg(N("links"), F.min("confidence").alias("lowest"), F.max("confidence").alias("highest"))
 
 
-@query("report_pair_agreement", "SELECT l_orderkey, l_suppkey, count(*) AS relations, count(*) FILTER (WHERE l_linestatus = 'O') AS aligned, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS kinds, count(*) OVER (PARTITION BY l_orderkey) AS partners FROM lineitem WHERE l_orderkey < 4000 GROUP BY 1, 2")
+@query("report_pair_agreement", "SELECT l_orderkey, l_suppkey, count(*) AS relations, count(*) FILTER (WHERE l_linestatus = 'O') AS aligned, string_agg(DISTINCT l_returnflag, ',' ORDER BY l_returnflag) AS kinds, count(*) OVER (PARTITION BY l_orderkey) AS partners FROM lineitem GROUP BY 1, 2")
 def report_pair_agreement(spark, sf):
     """By pair: relations, aligned ones and kinds; and how many partners the group has."""
-    g = table(spark, sf, "lineitem").where("l_orderkey < 4000").groupBy("l_orderkey", "l_suppkey").agg(N("relations"), F.count_if(F.col("l_linestatus") == "O").alias("aligned"), F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("kinds"))
+    g = table(spark, sf, "lineitem").groupBy("l_orderkey", "l_suppkey").agg(N("relations"), F.count_if(F.col("l_linestatus") == "O").alias("aligned"), F.array_join(F.array_sort(F.collect_set("l_returnflag")), ",").alias("kinds"))
     return g.withColumn("partners", F.count(F.lit(1)).over(Window.partitionBy("l_orderkey")))
 
 
@@ -190,12 +190,12 @@ def set_key_difference(spark, sf):
 # --- Matching and space ---------------------------------------------------------------------------------------------
 
 
-@query("match_address_parcel", f"WITH a AS ({_BOX}), p AS (SELECT vec_id, CAST(embedding[5] AS DOUBLE) * 1000 AS xmin, CAST(embedding[6] AS DOUBLE) * 1000 AS ymin, CAST(embedding[5] AS DOUBLE) * 1000 AS xmax, CAST(embedding[6] AS DOUBLE) * 1000 AS ymax FROM embeddings), d AS (SELECT p.vec_id, a.vec_id AS parcel, {_DIST.replace('a.', 'p.').replace('b.', 'a.')} AS dist FROM p JOIN a ON a.vec_id % 10 = p.vec_id % 10) SELECT vec_id, parcel, CASE WHEN dist = 0 THEN 0.99 WHEN dist <= 10 THEN 0.95 ELSE 0.8 END::DOUBLE AS confidence, CASE WHEN dist <= 10 THEN 'certain' ELSE 'ambiguous' END AS decision FROM d WHERE dist <= 60")
+@query("match_address_parcel", f"WITH a AS ({_BOX}), p AS (SELECT vec_id, CAST(embedding[5] AS DOUBLE) * 1000 AS xmin, CAST(embedding[6] AS DOUBLE) * 1000 AS ymin, CAST(embedding[5] AS DOUBLE) * 1000 AS xmax, CAST(embedding[6] AS DOUBLE) * 1000 AS ymax FROM embeddings), d AS (SELECT p.vec_id, a.vec_id AS parcel, {_DIST.replace('a.', 'p.').replace('b.', 'a.')} AS dist FROM p, a WHERE a.xmin <= p.xmax + 60 AND a.xmax >= p.xmin - 60) SELECT vec_id, parcel, CASE WHEN dist = 0 THEN 0.99 WHEN dist <= 10 THEN 0.95 ELSE 0.8 END::DOUBLE AS confidence, CASE WHEN dist <= 10 THEN 'certain' ELSE 'ambiguous' END AS decision FROM d WHERE dist <= 60")
 def match_address_parcel(spark, sf):
-    """A declared parcel that covers its address, or lies within 10, is certain; a farther one is ambiguous."""
+    """A parcel that covers an address, or lies within 10, is certain; one within 60 is ambiguous."""
     e = lambda i: F.col("embedding")[i].cast("double") * 1000
     p = table(spark, sf, "embeddings").select("vec_id", e(4).alias("x"), e(5).alias("y")).withColumn("pbox", G.box(F.col("x"), F.col("y"), F.col("x"), F.col("y")))
-    rows = G.grid_join(p, boxes(spark, sf, "abox", "parcel"), "pbox", "abox", CELL, 60.0).where(F.col("parcel") % 10 == F.col("vec_id") % 10).withColumn("d", G.box_distance("pbox", "abox"))
+    rows = G.grid_join(p, boxes(spark, sf, "abox", "parcel"), "pbox", "abox", CELL, 60.0).withColumn("d", G.box_distance("pbox", "abox"))
     confidence = F.when(F.col("d") == 0, 0.99).when(F.col("d") <= 10, 0.95).otherwise(0.8)
     return rows.select("vec_id", "parcel", confidence.alias("confidence"), F.when(F.col("d") <= 10, "certain").otherwise("ambiguous").alias("decision"))
 
@@ -313,8 +313,8 @@ def card_blocking_matches(spark, sf):
     return g.agg(N("entities"), F.count_if(F.col("a") > 0).alias("blocked"), F.max("a").alias("most"))
 
 
-@query("search_labels", f"SELECT doc_id, trim(regexp_replace(translate(lower(substr(text, 1, 30)), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')) AS label FROM documents WHERE starts_with(trim(regexp_replace(translate(lower(substr(text, 1, 30)), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')), 'th')")
+@query("search_labels", f"SELECT doc_id, trim(regexp_replace(translate(lower(text), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')) AS label FROM documents WHERE starts_with(trim(regexp_replace(translate(lower(text), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g')), 'th')")
 def search_labels(spark, sf):
     """Labels that begin with a query, whatever its case or accents."""
-    rows = table(spark, sf, "documents").select("doc_id", X.address_label(F.substring("text", 1, 30)).alias("label"))
+    rows = table(spark, sf, "documents").select("doc_id", X.address_label(F.col("text")).alias("label"))
     return rows.where(F.col("label").startswith("th"))

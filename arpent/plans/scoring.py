@@ -30,7 +30,7 @@ def normalised() -> Column:
 
 def evidence(subjects: DataFrame, inputs: DataFrame, rules: DataFrame, components: DataFrame, neutral: float = NEUTRAL) -> DataFrame:
     """A row a subject and rule: normalised value (neutral where missing) and impact on the score."""
-    grid = subjects.select("subject").distinct().crossJoin(F.broadcast(rules.join(components, "component", "left")))  # a short rule list
+    grid = subjects.select("subject").distinct().crossJoin(rules.join(components, "component", "left"))  # each subject by the rules of a definition
     rows = grid.join(inputs, ["subject", "feature"], "left").withColumn("_n", normalised())
     only = (F.col("requirement") == "confidence_only") | (F.col("direction") == "confidence_only")
     value = F.when(F.col("_n").isNull() | only, F.lit(neutral)).otherwise(F.col("_n"))
@@ -65,9 +65,18 @@ def scores(facts: DataFrame, confidence: DataFrame, confidence_weights: dict[str
     return out.withColumns({"score_class": band, "confidence_level": level})
 
 
-def ablation(subjects: DataFrame, inputs: DataFrame, rules: DataFrame, components: DataFrame, features: list[str]) -> DataFrame:
-    """Change of the score when one feature at a time is taken away: with neutral filling that is minus its impact."""
-    return evidence(subjects, inputs, rules, components).where(F.col("feature").isin(features)).select("subject", "feature", F.round(-F.col("impact"), 6).alias("score_delta"))
+def without(inputs: DataFrame, features: list[str]) -> DataFrame:
+    """The inputs with all values of some features taken away."""
+    kept = lambda c: F.when(~F.col("feature").isin(features), F.col(c)).alias(c)
+    return inputs.select(*[kept(c) if c in ("value", "local_percentile", "profiled_score") else c for c in inputs.columns]) if features else inputs
+
+
+def ablation(full: DataFrame, ablated: DataFrame) -> DataFrame:
+    """Two scorings of the same subjects, with and without a set of features (``without``): both scores, their difference,
+    null where either has none, and whether the second may still be published."""
+    one = full.select("subject", F.col("score").alias("full_score"))
+    two = ablated.select("subject", F.col("score").alias("ablated_score"), F.col("publishable").alias("ablated_publishable"), F.col("blockers").alias("ablated_blockers"))
+    return one.join(two, "subject").withColumn("score_delta", F.round(F.col("ablated_score") - F.col("full_score"), 6))
 
 
 def definition_gate(rules: DataFrame, components: DataFrame) -> DataFrame:
@@ -81,12 +90,22 @@ def definition_gate(rules: DataFrame, components: DataFrame) -> DataFrame:
     return out.select("definition", F.array_join(list_, ",").alias("blockers"), (F.size(list_) == 0).alias("publishable"))
 
 
-def scenarios(rows: DataFrame) -> DataFrame:
-    """Three financial cases from low, central and high amounts: purchase, works, fees, resale."""
+COSTS = ("purchase", "works", "fees", "financing", "holding")
+
+
+def scenarios(rows: DataFrame, target_return: float = 0.15) -> DataFrame:
+    """Three financial cases from low, central and high amounts of the costs and the resale: total cost, net margin, return
+    on cost (0 without cost), and the purchase price at which the target return is just met."""
     cases = [("prudent", "high", "low"), ("central", "central", "central"), ("optimistic", "low", "high")]
-    parts = [F.struct(F.lit(n).alias("case"), (F.col(f"purchase_{c}") + F.col(f"works_{c}") + F.col(f"fees_{c}")).alias("cost_eur"), F.col(f"resale_{r}").alias("resale_eur")) for n, c, r in cases]
+    other = lambda c: sum((F.col(f"{k}_{c}") for k in COSTS[2:]), F.col(f"works_{c}"))
+    parts = [F.struct(F.lit(n).alias("case"), F.col(f"purchase_{c}").alias("_p"), other(c).alias("_o"), F.col(f"resale_{r}").alias("resale_eur")) for n, c, r in cases]
     long = rows.select("subject", F.explode(F.array(*parts)).alias("s")).select("subject", "s.*")
-    return long.withColumns({"margin_eur": F.round(F.col("resale_eur") - F.col("cost_eur"), 2), "margin_pct": F.bround(F.try_divide(100 * (F.col("resale_eur") - F.col("cost_eur")), F.col("cost_eur")), 2), "breaks_even": F.col("resale_eur") >= F.col("cost_eur")})
+    cost, margin = F.col("_p") + F.col("_o"), F.col("resale_eur") - F.col("_p") - F.col("_o")
+    return long.select(
+        "subject", "case", F.round(cost, 4).alias("total_cost_eur"), "resale_eur", F.round(margin, 4).alias("net_margin_eur"),
+        F.when(cost > 0, F.round(margin / cost, 6)).otherwise(0.0).alias("return_on_cost"),
+        F.round(F.greatest(F.col("resale_eur") / (1 + target_return) - F.col("_o"), F.lit(0.0)), 4).alias("break_even_purchase_price_eur"),
+    )
 
 
 def input_digest(inputs: DataFrame, subject: str, columns: list[str]) -> DataFrame:

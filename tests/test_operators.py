@@ -70,7 +70,7 @@ def test_asof(spark):
     right = spark.createDataFrame([("k", date(2024, 1, 2), "x"), ("k", date(2024, 1, 5), "y")], "k string, e date, v string")
     got = {r["id"]: r["n"] for r in first_after(left, right, "k", "d", "e", "n").collect()}
     assert got == {1: date(2024, 1, 5), 2: None, 3: None}
-    got = {r["id"]: r["l"] for r in latest_before(left, right, "k", "d", "e", "v", "v", 3, "l", "id").collect()}
+    got = {r["id"]: r["l"] for r in latest_before(left, right, "k", "d", "e", "v", "v", 3, "l").collect()}
     assert got == {1: "x", 2: "y", 3: None}
 
 
