@@ -2,10 +2,11 @@
 
 A text is cut into words (a run of blanks and what follows it): no piece of such a model holds a blank after another
 character, so no merge crosses a cut. The words of a batch become one flat array of symbols. In each round every word
-finds the least rank among its neighbouring pairs (a segmented minimum), merges the leftmost pair of that rank, all
-words at once, and the array is compacted; words without a mergeable pair leave. One merge a word and round keeps the
-order that the library's queue has, ties from the left. Words of more than ``LONG`` symbols go through the same queue
-order one by one with a heap. Encoded words are kept from batch to batch, up to a fixed number.
+finds the least rank among its neighbouring pairs (a segmented minimum) and merges the pairs of that rank from the left,
+all words at once, and the array is compacted; words without a mergeable pair leave. Several pairs of a word merge in one
+round only where none of these merges makes a pair that the library's queue would take before the next, so the order is
+the queue's, ties from the left; long words go the same way. Decoding gathers the bytes of all pieces from one table.
+Encoded words are kept from batch to batch, up to a fixed number.
 
 The vocabulary is a fixed file of 32,000 pieces; a task reads it where it runs. Tokenizers are never trained here.
 Defined cases: a null text is empty and gets begin and end only; texts are encoded whole, and in slices only of the
@@ -15,19 +16,20 @@ batch, never of a text; repeated rows give equal results; an empty table gives n
 from __future__ import annotations
 
 import hashlib
-import heapq
+import os
 import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import DataFrame, functions as F
 
 from arpent.plans.shipping import ship
 
 BLANK = "▁"
-#: Words longer than this are merged one by one; the number of encoded words a task remembers.
-LONG, REMEMBERED = 400, 300_000
+#: The number of encoded words that a task remembers.
+REMEMBERED = 300_000
 _NONE = np.int64(1) << 40
 _BITS = 20
 
@@ -59,7 +61,12 @@ class Model:
         if len(self.bytes) != 256:
             raise ValueError("the model has no byte fallback")
         self.pieces = [p.piece if p.type == kinds.NORMAL else None for p in proto.pieces]
-        self.byte_of = {i: b for b, i in self.bytes.items()}
+        byte_of = {i: b for b, i in self.bytes.items()}
+        shown = [bytes([byte_of[i]]) if i in byte_of else (p or "").replace(BLANK, " ").encode() for i, p in enumerate(self.pieces)]
+        self._bytes = np.frombuffer(b"".join(shown), np.uint8)
+        self._lengths = np.array([len(x) for x in shown], np.int64)
+        self._starts = np.cumsum(self._lengths) - self._lengths
+        self._blank_first = np.array([bool(p) and p.startswith(BLANK) for p in self.pieces])
         # Equal scores are equal ranks: then the leftmost pair goes first.
         scores = sorted({proto.pieces[i].score for i in normal.values()}, reverse=True)
         rank = {s: k for k, s in enumerate(scores)}
@@ -130,13 +137,11 @@ class Model:
                 length, least = length[least != _NONE], least[least != _NONE]
                 if not len(symbols):
                     break
-            # The leftmost place of the least rank in each word.
-            place = np.flatnonzero(rank == np.repeat(least, length))
-            lead = place[np.r_[True, word[place][1:] != word[place][:-1]]]
+            lead = self._leads(symbols, word, made, np.flatnonzero(rank == np.repeat(least, length)), rank)
             symbols[lead] = made[lead]
             stay = np.ones(len(symbols), bool)
             stay[lead + 1] = False
-            lead = lead - np.arange(len(lead))  # each earlier merge has taken one place
+            lead = lead - np.arange(len(lead))  # each earlier merge of the round has taken one place
             symbols, word, char, rank, made = symbols[stay], word[stay], char[stay], rank[stay], made[stay]
             # Only the pairs beside a merge have changed.
             near = np.concatenate([lead, lead[lead > 0] - 1])
@@ -149,33 +154,33 @@ class Model:
         order = np.argsort(word, kind="stable")
         return symbols[order], np.searchsorted(word[order], np.arange(len(words) + 1)), char[order]
 
-    def _queued(self, text: str) -> list[int]:
-        """The same merges for one long word: a heap of (rank, place), stale entries skipped."""
-        s = [self.symbol.get(c, -1) for c in text]
-        n = len(s)
-        after, before, alive = list(range(1, n + 1)), list(range(-1, n - 1)), [True] * n
-        heap: list[tuple[int, int, int, int]] = []
-
-        def push(i: int) -> None:
-            j = after[i]
-            if j < n and s[i] >= 0 and s[j] >= 0 and (hit := self.pairs.get(s[i] * (1 << 20) + s[j])):
-                heapq.heappush(heap, (hit[0], i, s[i], s[j]))
-
-        for i in range(n - 1):
-            push(i)
-        while heap:
-            _, i, a, b = heapq.heappop(heap)
-            j = after[i]
-            if not alive[i] or j >= n or s[i] != a or s[j] != b:
-                continue
-            s[i], alive[j] = self.pairs[a * (1 << 20) + b][1], False
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            push(i)
-            if before[i] >= 0:
-                push(before[i])
-        return [x for i in range(n) if alive[i] for x in self._ids(s[i], text[i])]
+    def _leads(self, symbols: np.ndarray, word: np.ndarray, made: np.ndarray, place: np.ndarray, rank: np.ndarray) -> np.ndarray:
+        """The places of the least rank of each word that merge in this round, given all such places.
+
+        One at a time they would merge from the left, skipping those that the one before has used up. They may go together
+        as long as no merge makes a pair that would go before the next of them: a word stops after the first that does."""
+        runs = np.r_[True, np.diff(place) != 1]
+        first = np.flatnonzero(runs)
+        lead = place[(np.arange(len(place)) - np.repeat(first, np.diff(np.r_[first, len(place)]))) % 2 == 0]
+        heads = np.flatnonzero(np.r_[True, word[lead][1:] != word[lead][:-1]])
+        count = np.diff(np.r_[heads, len(lead)])
+        if (count == 1).all():
+            return lead
+        many = np.flatnonzero(np.repeat(count > 1, count))
+        after, gone = symbols.copy(), np.zeros(len(symbols) + 2, bool)
+        at = lead[many]
+        after[at], gone[at + 1] = made[at], True
+        left = np.where(gone[np.maximum(at - 1, 0)], at - 2, at - 1)
+        right = np.minimum(at + 2, len(symbols) - 1)
+        inner = (at > 0) & (word[np.maximum(left, 0)] == word[at])
+        outer = (at + 2 < len(symbols)) & (word[right] == word[at])
+        soonest = np.where(inner, self._look(after[np.maximum(left, 0)], after[at])[0], _NONE)
+        for other in (symbols, after):
+            soonest = np.minimum(soonest, np.where(outer, self._look(after[at], other[right])[0], _NONE))
+        bad = np.zeros(len(lead), np.int64)
+        bad[many] = soonest <= rank[at]
+        before = np.cumsum(bad) - bad
+        return lead[before == np.repeat(before[heads], count)]
 
     def _ids(self, symbol: int, char: str) -> Iterable[int]:
         if 0 <= symbol < self.size:
@@ -186,20 +191,16 @@ class Model:
         """Encode words that are not remembered yet."""
         known = self.known
         new = [w for w in words if w not in known]
-        short = [w for w in new if len(w) <= LONG]
-        if short:
-            symbols, borders, places = self.merged(short)
+        if new:
+            symbols, borders, places = self.merged(new)
             odd = (symbols < 0) | (symbols >= self.size)
             flat = symbols.astype("<u4").tobytes()
             cuts = (4 * borders).tolist()
-            known.update((w, flat[a:b]) for w, a, b in zip(short, cuts, cuts[1:]))
+            known.update((w, flat[a:b]) for w, a, b in zip(new, cuts, cuts[1:]))
             for k in np.unique(np.searchsorted(borders, np.flatnonzero(odd), "right") - 1).tolist():
                 a, b = borders[k], borders[k + 1]
                 ids = [x for s, c in zip(symbols[a:b].tolist(), places[a:b].tolist()) for x in self._ids(s, chr(self._points[c]))]
-                known[short[k]] = np.array(ids, "<u4").tobytes()
-        for w in new:
-            if len(w) > LONG:
-                known[w] = np.array(self._queued(w), "<u4").tobytes()
+                known[new[k]] = np.array(ids, "<u4").tobytes()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers, begin and end included."""
@@ -211,29 +212,34 @@ class Model:
         known = self.known
         return [b"".join([first, *[known[w] for w in ws], last]) for ws in words]
 
+    def decoded(self, texts: list[bytes]) -> list[bytes]:
+        """The texts of ids, in UTF-8: the bytes of all pieces are gathered from one table, blanks turned back; the first
+        blank of a text is dropped, and bytes of no valid character become replacement characters."""
+        ids = np.frombuffer(b"".join(texts), "<u4").astype(np.int64)
+        borders = np.r_[0, np.cumsum([len(t) // 4 for t in texts])]
+        length, start = self._lengths[ids], self._starts[ids]
+        seen = np.flatnonzero(length)
+        first = np.searchsorted(seen, borders)  # the first piece of each text that shows
+        if self.prefix and len(seen):
+            shows = first[:-1] < first[1:]
+            lead = seen[first[:-1][shows]]
+            lead = lead[self._blank_first[ids[lead]]]
+            length[lead] -= 1
+            start[lead] += 1
+        ends = np.cumsum(length)
+        at = np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - length, length) + np.repeat(start, length)
+        flat = self._bytes[at].tobytes()
+        cuts = np.r_[0, ends][borders].tolist()
+        out = [flat[a:b] for a, b in zip(cuts, cuts[1:])]
+        try:
+            flat.decode("utf-8")
+        except UnicodeDecodeError:
+            return [_mended(x) for x in out]
+        return out
+
     def decode(self, ids: bytes) -> str:
-        """The text of ids: pieces joined, blanks turned back, the first blank dropped, bytes read as UTF-8."""
-        out: list[str] = []
-        run = bytearray()
-        fresh = self.prefix
-        for i in np.frombuffer(ids, "<u4").tolist():
-            if i in self.byte_of:
-                run.append(self.byte_of[i])
-                fresh = False
-                continue
-            piece = self.pieces[i]
-            if run:
-                out.append(_utf8(bytes(run)))
-                run.clear()
-            if piece is None:
-                continue
-            if fresh and piece.startswith(BLANK):
-                piece = piece[1:]
-            fresh = False
-            out.append(piece.replace(BLANK, " "))
-        if run:
-            out.append(_utf8(bytes(run)))
-        return "".join(out)
+        """The text of one text's ids."""
+        return self.decoded([ids])[0].decode("utf-8")
 
 
 _WORD = re.compile(f"{BLANK}*[^{BLANK}]+|{BLANK}+")
@@ -243,12 +249,17 @@ def _cut(text: str) -> list[str]:
     return _WORD.findall(text.replace(" ", BLANK))
 
 
-def _utf8(run: bytes) -> str:
-    """Bytes as text; each byte that is part of no valid character gives one replacement character."""
-    try:
-        return run.decode("utf-8")
-    except UnicodeDecodeError as e:
-        return run[: e.start].decode("utf-8") + "�" + _utf8(run[e.start + 1 :])
+def _mended(run: bytes) -> bytes:
+    """UTF-8 in which each byte that is part of no valid character is a replacement character."""
+    out: list[bytes] = []
+    while run:
+        try:
+            run.decode("utf-8")
+            break
+        except UnicodeDecodeError as e:
+            out += [run[: e.start], b"\xef\xbf\xbd"]
+            run = run[e.start + 1 :]
+    return b"".join([*out, run])
 
 
 _models: dict[str, Model] = {}
@@ -280,24 +291,26 @@ def slices(texts: list[str]) -> Iterator[tuple[int, int]]:
 
 def encoded(docs: DataFrame, path: str, text: str = "text", keep: tuple[str, ...] = ("doc_id",), with_ids: bool = False) -> DataFrame:
     """Number of tokens and digests of ids and decoded text; with ``with_ids`` also ``ids`` and ``decoded``."""
+    name = os.path.basename(path)
+    docs.sparkSession.sparkContext.addFile(path)  # the driver hands the vocabulary out
     fields = [f.name for f in docs.select(*keep).schema]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema), SCHEMA, *(["ids array<int>", "decoded string"] * with_ids)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model(path)
+        m = model(SparkFiles.get(name))
         for batch in batches:
             texts = batch.column("_t").to_pylist()
             for a, b in slices(texts):
                 ids = m.encode(texts[a:b])
-                decoded = [m.decode(x) for x in ids]
+                decoded = m.decoded(ids)
                 columns = [batch.column(f).slice(a, b - a) for f in fields]
                 columns += [
                     pa.array([len(x) // 4 for x in ids], pa.int64()),
                     pa.array([hashlib.sha256(x).hexdigest() for x in ids]),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded]),
+                    pa.array([hashlib.sha256(t).hexdigest() for t in decoded]),
                 ]
                 if with_ids:
-                    columns += [pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())), pa.array(decoded)]
+                    columns += [pa.array([np.frombuffer(x, "<i4") for x in ids], pa.list_(pa.int32())), pa.array([t.decode() for t in decoded])]
                 yield pa.RecordBatch.from_arrays(columns, names=[*fields, *(f.split()[0] for f in SCHEMA.split(", ")), *(["ids", "decoded"] * with_ids)])
 
     ship(docs.sparkSession)
