@@ -9,7 +9,8 @@ Within a shard, records take consecutive places from 0: in order of slot, then b
 from counts of blocks, so that neither a shard nor a slot is a single task's sort.
 
 Defined cases: a null text has 8 bytes and the checksum of no bytes; a null id hashes like the text "null"; repeated rows
-hold a place each; an empty table gives an empty result and a version-1 map.
+hold a place each; an empty table gives an empty result and a version-1 map. With ``map_path`` the stored map is read back,
+edited for the bytes of now and, if it changed, stored as the next version; else the map starts anew.
 """
 
 from __future__ import annotations
@@ -46,7 +47,7 @@ def first_map(shards: int = SHARDS) -> list[int]:
 
 def rebalanced(slot_map: list[int], slot_bytes: dict[int, int], shards: int = SHARDS, tolerance: float = TOLERANCE) -> list[int]:
     """The next version: moves, and exchanges where no move helps, between the fullest and the emptiest shard."""
-    slot_map, load, held = list(slot_map), [0] * shards, defaultdict(dict)
+    slot_map, load, held = [s if s < shards else k % shards for k, s in enumerate(slot_map)], [0] * shards, defaultdict(dict)
     for slot, shard in enumerate(slot_map):
         load[shard] += slot_bytes.get(slot, 0)
         if slot_bytes.get(slot):
@@ -89,29 +90,50 @@ def _best(full: dict[int, int], empty: dict[int, int], gap: int) -> tuple[int, i
     return best[1]
 
 
-def map_table(spark: SparkSession, versions: list[list[int]]) -> DataFrame:
-    """The history of a map: (version, vslot, shard)."""
-    rows = [(v, slot, shard) for v, m in enumerate(versions) for slot, shard in enumerate(m)]
-    return spark.createDataFrame(rows, "version int, vslot int, shard int")
+def map_table(spark: SparkSession, version: int, slot_map: list[int]) -> DataFrame:
+    """One version of a map: (version, vslot, shard), a row a slot."""
+    return spark.createDataFrame([(version, slot, shard) for slot, shard in enumerate(slot_map)], "version int, vslot int, shard int")
 
 
-def shard(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), shards: int = SHARDS) -> DataFrame:
-    """Every record with its shard and its place there, under the newest version of the map. The map's history is stored
-    as a table in the shared folder; sizes of shards come near equal (law ``bytes``)."""
+def save_map(spark: SparkSession, path: str, version: int, slot_map: list[int]) -> None:
+    """Add a version to the history of a map; earlier versions stay readable."""
+    map_table(spark, version, slot_map).coalesce(1).write.mode("append").parquet(path)  # a row a slot
+
+
+def load_map(spark: SparkSession, path: str) -> tuple[int, list[int]] | None:
+    """The newest version of a stored map and its number; none if nothing is stored there."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        return None
+    history = spark.read.schema("version int, vslot int, shard int").parquet(path)
+    version = history.agg(F.max("version")).first()[0]
+    rows = {r["vslot"]: r["shard"] for r in history.where(F.col("version") == version).collect()}  # a row a slot
+    if sorted(rows) != list(range(SLOTS)):
+        raise ValueError(f"version {version} of the map at {path} has not {SLOTS} slots")
+    return version, [rows[k] for k in range(SLOTS)]
+
+
+def shard(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: tuple[str, ...] = ("doc_id",), shards: int = SHARDS, map_path: str | None = None) -> DataFrame:
+    """Every record with its shard and its place there, under the newest version of the map; sizes of shards come near
+    equal (law ``bytes``). The map is a table at ``map_path``, or one in the shared folder that starts anew."""
     spark = docs.sparkSession
     rows = staged(records(docs, text, doc_id, keep), "records")
     blocks = rows.groupBy("vslot", "_block").agg(F.sum("size").alias("bytes"), F.count(F.lit(1)).alias("n"))
     blocks = staged(blocks, "blocks")  # at most SLOTS x BLOCKS rows
     slot_bytes = {r["vslot"]: r["bytes"] for r in blocks.groupBy("vslot").agg(F.sum("bytes").alias("bytes")).collect()}
-    versions = [first_map(shards)]
-    versions.append(rebalanced(versions[0], slot_bytes, shards))
-    history = staged(map_table(spark, versions), "slotmap")
-    newest = history.where(F.col("version") == len(versions) - 1).drop("version")
+    stored = load_map(spark, map_path) if map_path else None
+    version, before = stored or (0, first_map(shards))
+    now = rebalanced(before, slot_bytes, shards)
+    if stored is None or now != before:
+        version += 1
+        if map_path:
+            save_map(spark, map_path, version, now)
+    newest = staged(map_table(spark, version, now), "slotmap").drop("version")
     ahead = Window.partitionBy("shard").orderBy("vslot", "_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.join(newest, "vslot").withColumn("_ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).select("vslot", "_block", "shard", "_ahead")
     inside = Window.partitionBy("vslot", "_block").orderBy("_order", *keep)
     placed = rows.withColumn("_at", F.row_number().over(inside) - 1).join(starts, ["vslot", "_block"])
     return placed.select(
         *keep, "size", "text_crc32", F.lit("bytes").alias("law"), "shard", (F.col("_at") + F.col("_ahead")).cast("long").alias("slot"),
-        F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(len(versions) - 1).alias("map_version"),
+        F.lit(None).cast("int").alias("grown_shard"), "vslot", F.lit(version).alias("map_version"),
     )
