@@ -2,7 +2,8 @@
 
 Fit: coarse centroids and residual codebooks come from a bounded sample of vectors (``SAMPLE``), on the driver. Index:
 every distinct vector goes to its nearest centroid and keeps one byte for each of ``PARTS`` parts of its residual.
-Search: a query probes the lists whose centroids have the largest inner product with it; in each list, tables of the
+Search: a query probes the lists whose centroids have the largest inner product with it, as many as a bounded sample of
+queries needed (``FOUND_SHARE``); in each list, tables of the
 query's inner products with all codewords (asymmetric distances) score the codes; the best by score are measured again
 on the original vectors, in double precision. Two passes find the best: the first reports from each block the scores at
 ranks 1, 2, 4 and so on, from which a score follows that surely as many codes reach as are wanted; the second returns
@@ -29,9 +30,10 @@ from arpent.plans.staging import staged
 
 K, QUERY_STEP = 20, 20
 SAMPLE = 20_000
-MAX_LISTS, PARTS, CODES, ROUNDS, SEED = 256, 16, 256, 8, 7
-#: Share of the lists that a query probes, and at least so many lists and vectors.
-PROBE_SHARE, LEAST_LISTS, LEAST_VECTORS = 0.7, 8, 400
+MAX_LISTS, PARTS, CODES, ROUNDS, SEED = 1024, 16, 256, 8, 7
+#: A query probes so many lists that this share of the true neighbours within the sample lies in them, measured with so
+#: many queries of the sample; and at least so many lists and vectors.
+FOUND_SHARE, TRIED, LEAST_LISTS, LEAST_VECTORS = 0.95, 200, 8, 400
 #: Best codes over all blocks that are measured again.
 RERANKED = 300
 BLOCK = 4096
@@ -81,6 +83,20 @@ class Index:
         cut = residual.reshape(len(sample), self.parts, -1)
         self.books = np.stack([_means(cut[:, p], min(CODES, len(sample)), rng) for p in range(self.parts)])
 
+    def probe_share(self, sample: np.ndarray, k: int = K, found: float = FOUND_SHARE) -> float:
+        """The share of the lists, in the order in which a query takes them, that holds ``found`` of the ``k`` nearest
+        within the sample. Vectors that fall into clusters need few lists, evenly spread ones many."""
+        if len(sample) <= k + 1:
+            return 1.0
+        tried = sample[:TRIED]
+        scores = tried @ sample.T
+        scores[np.arange(len(tried)), np.arange(len(tried))] = -np.inf
+        near = np.argpartition(-scores, k, axis=1)[:, :k]
+        lists, _ = _nearest(sample, self.centroids)
+        place = np.argsort(np.argsort(-(tried @ self.centroids.T), axis=1, kind="stable"), axis=1)
+        needed = np.take_along_axis(place, lists[near], axis=1) + 1
+        return float(np.quantile(needed, found)) / len(self.centroids)
+
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, _ = _nearest(x, self.centroids)
         cut = (x - self.centroids[at]).reshape(len(x), self.parts, -1)
@@ -114,7 +130,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     if not len(learned):
         learned = np.array([r["v"] for r in distinct.select("v").limit(1).collect()], np.float64)
     index = Index(learned, int(min(MAX_LISTS, max(LEAST_LISTS, 2 * np.sqrt(n)))))
-    dims = index.dims
+    dims, share = index.dims, index.probe_share(learned, k)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -136,7 +152,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                 continue
             order = np.argsort(-(_matrix(batch.column("v"), dims) @ index.centroids.T), axis=1, kind="stable")
             enough = (np.cumsum(held[order], 1) < LEAST_VECTORS).sum(1) + 1
-            width = np.clip(np.maximum(enough, max(LEAST_LISTS, int(PROBE_SHARE * len(held)))), 1, len(held))
+            width = np.clip(np.maximum(enough, max(LEAST_LISTS, int(np.ceil(share * len(held))))), 1, len(held))
             at, groups, lists = [], [], []
             for k, (o, w) in enumerate(zip(order, width)):
                 mine = np.sort(o[:w])

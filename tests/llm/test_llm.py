@@ -326,6 +326,25 @@ def test_rebalancing_only_moves_what_it_must():
     assert sharding.rebalanced(after, sizes) == after
 
 
+def test_shard_map_is_read_back_and_edited(spark, docs, tmp_path):
+    """A second run starts from the stored map: slots that need not move stay, and only changes are a new version."""
+    at = str(tmp_path / "map")
+    first = {r["doc_id"]: (r["vslot"], r["shard"], r["map_version"]) for r in sharding.shard(docs, map_path=at).collect()}
+    version, slots = sharding.load_map(spark, at)
+    assert version == 1 and len(slots) == sharding.SLOTS
+    assert all(slots[v] == s and n == 1 for v, s, n in first.values())
+    again = {r["doc_id"]: (r["vslot"], r["shard"], r["map_version"]) for r in sharding.shard(docs, map_path=at).collect()}
+    assert again == first and sharding.load_map(spark, at) == (1, slots)
+    more = docs.unionByName(docs.limit(10).withColumn("doc_id", F.col("doc_id") + 100_000))
+    loads = defaultdict(int)
+    for r in sharding.shard(more, map_path=at).collect():
+        loads[r["shard"]] += r["size"]
+        assert r["map_version"] == 2
+    version, edited = sharding.load_map(spark, at)
+    assert version == 2 and 0 < sum(a != b for a, b in zip(slots, edited)) < sharding.SLOTS / 10
+    assert set(sharding.rebalanced([30] * sharding.SLOTS, {k: 1 for k in range(sharding.SLOTS)})) == set(range(sharding.SHARDS))
+
+
 def test_pieces_match_the_library():
     import sentencepiece
 
@@ -333,6 +352,7 @@ def test_pieces_match_the_library():
     lib = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
     rnd = random.Random(3)
     texts = ["", " ", "  a b  ", "▁x ▁▁y", "a\x00b\n\n\t", "😀é́ሴ", "<s> </s> <unk> <0x41>", " " * 1000, "a" * 3000, "ab" * 700 + " " + "é😀" * 500]
+    texts += ["".join(rnd.choice(x) for _ in range(n)) for x in ("a", "aA", "=-", "0123456789", "etaoinshrdlu", "一二三四五六七") for n in (2, 9, 60, 401, 2500)]
     texts += ["".join(rnd.choice("ab eE.\nth é😀\t▁12<0x>") for _ in range(rnd.randint(0, 60))) for _ in range(500)] + [prose(k, 50) for k in range(50)]
     want = lib.encode(texts, add_bos=True, add_eos=True)
     got = m.encode(texts)
