@@ -291,6 +291,55 @@ def test_personal_data_added_spans_and_redaction(spark):
     assert got[200] == "mail me: [EMAIL] now"
 
 
+def test_personal_data_precision_and_recall_on_planted_spans(spark):
+    """Planted spans of every further kind are found, look-alikes are not, and no labeler learns the wrong sign."""
+    rnd = random.Random(8)
+    hexes = lambda n: "".join(rnd.choice("0123456789abcdef") for _ in range(n))
+    digits = lambda n: "".join(rnd.choice("0123456789") for _ in range(n))
+    rows, want = [], {}
+    for k in range(400):
+        kind = ("secret", "email_like", "phone_like", "card", "email", "none_word", "none_id", "none_at")[k % 8]
+        span = {
+            "secret": f"sk-{hexes(32)}", "email_like": f"ann{k} [at] host{k} [dot] com", "phone_like": f"(4{digits(2)}) 555-{digits(4)}", "card": f"4{digits(14)}", "email": f"bob{k}@host{k}.org",
+            "none_word": "averyveryverylongplainwordindeed", "none_id": f"{digits(9)}", "none_at": f"meet at {k}",
+        }[kind]
+        if kind == "card":  # the digit that makes the Luhn sum right
+            total = sum(sum(divmod(2 * int(c), 10)) if i % 2 == 0 else int(c) for i, c in enumerate(span))
+            span += str(-total % 10)
+        before = {"secret": "api key = ", "email_like": "write to ", "phone_like": "call ", "card": "my visa card ", "email": "mail "}.get(kind, "see ")
+        text = f"{prose(k, 12)} {before}{span} {prose(k + 1, 8)}"
+        rows.append((k, text))
+        at = text.index(span)
+        want[k] = set() if kind.startswith("none") else {f"{kind}:{at}:{at + len(span)}"}
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: set(r["spans"].split(",")) - {""} for r in pii.report(df).collect()}
+    hits = sum(len(got[k] & want[k]) for k in want)
+    assert hits / sum(map(len, want.values())) >= 0.95 and hits / max(1, sum(map(len, got.values()))) >= 0.95
+    counts = [r.asDict() for r in pii.vote_counts(pii.found_spans(df)).collect()]
+    _, table = pii.reliabilities(counts)
+    assert all(table[k, v, 1][1] >= table[k, v, 0][1] for k in {r["kind"] for r in counts} for v in pii.LABELERS)
+
+
+def test_personal_data_in_a_text_of_many_matches(spark):
+    """Positions hold beyond one piece of matches, and base spans keep overlapping candidates out."""
+    rnd, text, want = random.Random(3), "", []
+    for k in range(1500):
+        text += prose(k, 2) + " "
+        if k % 3 == 0:
+            want.append(("email", len(text), len(text) + len(f"u{k}@h.org")))
+            text += f"u{k}@h.org "
+        elif k % 3 == 1:
+            span = "(415) 555-" + "".join(rnd.choice("0123456789") for _ in range(4))
+            want.append(("phone_like", len(text), len(text) + len(span)))
+            text += f"{span} "
+        else:
+            token = "k" + "a1B2c3D4" * 4
+            text += f"{token}@x.org "
+            want.append(("email", len(text) - len(token) - 7, len(text) - 1))
+    r = pii.found_spans(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()[0]
+    assert sorted((s["kind"], s["start"], s["end"]) for s in r["base"] + r["more"]) == sorted(want)
+
+
 def test_redaction_covers_overlapping_spans_and_long_secrets(spark):
     token = "eyJ" + "a1B2c3D4" * 40
     rows = [(1, "pay 4111 1111 1111 1111@x.com now"), (2, f'auth token = "{token}" end')]
