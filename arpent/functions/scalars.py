@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, functions as F
 
 # Accented letters and what they fold to.
@@ -92,3 +94,30 @@ def bands(value: Column, edges: list[tuple[float, str]], last: str) -> Column:
 def first_usable(c: Column, length: int) -> Column:
     """The first characters of the first non-null element of an array of ids."""
     return F.substring(F.get(F.filter(c, lambda x: x.isNotNull() & (F.length(x) >= length)), F.lit(0)), 1, length)
+
+
+def id_key(c: Column) -> Column:
+    """The letters and digits of an id, in upper case, for a search by its beginning."""
+    return F.regexp_replace(F.upper(c), "[^0-9A-Z]", "")
+
+
+def code_prefix(c: Column) -> Column:
+    """The code before the first bar of a typed code."""
+    return F.split(c, r"\|")[0]
+
+
+def cell_code(cell: Sequence[Column], codes: dict[tuple[str, ...], str]) -> Column:
+    """The indicator of a cube cell by the values of its dimensions; null for cells that the map does not hold."""
+    out = F.lit(None).cast("string")
+    for values, code in codes.items():
+        same = F.lit(True)
+        for c, v in zip(cell, values):
+            same = same & (c == v)
+        out = F.when(same, code).otherwise(out)
+    return out
+
+
+def facility_code(domain: Column, subdomain: Column, total: str = "_T") -> Column:
+    """The indicator of a count of facilities: of all, of a domain, or of a part of one."""
+    of_domain = F.concat(F.lit("equipements_domaine_"), F.lower(domain))
+    return F.when(domain == total, "equipements_total").when(subdomain == total, of_domain).otherwise(F.concat(F.lit("equipements_sous_domaine_"), F.lower(subdomain)))

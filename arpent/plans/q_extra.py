@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Window, functions as F
 
-from arpent.functions import geometry as G
-from arpent.operators import ranking as R, shapes as S
+from arpent.functions import geometry as G, scalars as X
+from arpent.operators import ranking as R, search as SE, shapes as S
+from arpent.plans import releases as RL
 from arpent.plans.catalog import query, relation, table
 from arpent.plans.q_features import _SCORED, _evidence
 from arpent.plans.q_spatial import _BOX, _CROSS, _OV, CELL, _two, boxes
@@ -111,3 +112,60 @@ def bundle_readiness(spark, sf):
     h = o.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderstatus").alias("s")).agg(N(), F.max(F.year("o_orderdate")).alias("y"))
     g = grid.join(h, ["n_nationkey", "s"], "left").groupBy("n_nationkey").agg(F.count("n").alias("members"), N("k"), F.count_distinct("y").alias("releases"), F.min("n").alias("least"))
     return g.select("n_nationkey", "members", (F.col("k") - F.col("members")).alias("missing"), "releases", ((F.col("members") == 3) & (F.col("least") >= 2)).alias("ready"))
+
+
+# --- Search, codes, labels, refresh ---------------------------------------------------------------------------------
+
+_LABEL = f"trim(regexp_replace(translate(lower({{x}}), '{X.ACCENTED}', '{X.FOLDED}'), '[^a-z0-9]+', ' ', 'g'))"
+_GRAMS = "list_distinct(flatten(list_transform(list_filter(string_split({x}, ' '), lambda w: w <> ''), lambda w: list_transform(range(1, length(w) + 2), lambda i: substr('  ' || w || ' ', i, 3)))))"
+_ENTITIES = "SELECT 'area' AS kind, 'N' || n_nationkey::VARCHAR AS entity_id, n_name AS label FROM nation UNION ALL SELECT 'parcel', 'P' || p_partkey::VARCHAR, p_name FROM part UNION ALL SELECT 'address', 'S' || s_suppkey::VARCHAR, s_name FROM supplier"
+_ASKED = ["Nation_1", "smal ring", "p-12", "Supplier 7"]
+
+
+@query("search_entities", f"""WITH e AS (SELECT *, {_LABEL.format(x="label")} AS l, regexp_replace(upper(entity_id), '[^0-9A-Z]', '', 'g') AS k FROM ({_ENTITIES})), q AS (SELECT *, {_LABEL.format(x="q")} AS ql, regexp_replace(upper(q), '[^0-9A-Z]', '', 'g') AS qk FROM (VALUES {', '.join(f"('{x}')" for x in _ASKED)}) v(q)),
+g AS (SELECT *, {_GRAMS.format(x="l")} AS t, {_GRAMS.format(x="ql")} AS qt FROM e, q), s AS (SELECT q, CASE WHEN l = ql THEN 1.0 WHEN starts_with(l, ql) OR starts_with(k, qk) THEN 0.95 ELSE round(len(list_intersect(t, qt)) / nullif(len(t) + len(qt) - len(list_intersect(t, qt)), 0), 6) END::DOUBLE AS score, kind, entity_id, label FROM g)
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, label, kind, entity_id)::INT AS place FROM s WHERE score >= 0.3) WHERE place <= 8""")
+def search_entities(spark, sf):
+    """Areas, parcels and addresses by one search: label, beginning of label or id, or trigrams."""
+    one = lambda t, kind, letter, key, label: table(spark, sf, t).select(F.lit(kind).alias("kind"), F.concat(F.lit(letter), F.col(key).cast("string")).alias("entity_id"), F.col(label).alias("label"))
+    e = one("nation", "area", "N", "n_nationkey", "n_name").unionByName(one("part", "parcel", "P", "p_partkey", "p_name")).unionByName(one("supplier", "address", "S", "s_suppkey", "s_name"))
+    return SE.search_entities(e, _ASKED, 8)
+
+
+@query("scalar_display_labels", "SELECT c_custkey, concat_ws(' ', nullif(trim(CASE WHEN c_acctbal < 0 THEN ' ' ELSE c_mktsegment END), ''), nullif(trim(c_name), '')) AS label FROM customer")
+def scalar_display_labels(spark, sf):
+    first = F.when(F.col("c_acctbal") < 0, " ").otherwise(F.col("c_mktsegment"))
+    return table(spark, sf, "customer").select("c_custkey", X.display_label(first, F.col("c_name")).alias("label"))
+
+
+@query("scalar_first_commune", "SELECT o_orderkey, substr(list_filter([CASE WHEN o_orderstatus = 'F' THEN NULL ELSE '35' END, CASE WHEN o_orderpriority = '1-URGENT' THEN NULL ELSE '35' || lpad((o_custkey % 1000)::VARCHAR, 3, '0') || 'AB' END], lambda x: x IS NOT NULL AND length(x) >= 5)[1], 1, 5) AS commune FROM orders")
+def scalar_first_commune(spark, sf):
+    """The commune of the first nested id that is long enough."""
+    ids = F.array(F.when(F.col("o_orderstatus") != "F", "35"), F.when(F.col("o_orderpriority") != "1-URGENT", F.concat(F.lit("35"), F.lpad((F.col("o_custkey") % 1000).cast("string"), 3, "0"), F.lit("AB"))))
+    return table(spark, sf, "orders").select("o_orderkey", X.first_usable(ids, 5).alias("commune"))
+
+
+_CELLS = {("F", "_T"): "finished_all", ("O", "R"): "open_returned", ("F", "A"): "finished_accepted"}
+
+
+@query("scalar_cell_codes", """SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN l_linestatus = 'F' AND l_returnflag = 'A' THEN 'finished_accepted' WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 'open_returned' END AS indicator,
+CASE WHEN l_returnflag = 'N' THEN 'equipements_total' WHEN l_linestatus = 'F' THEN 'equipements_domaine_' || lower(l_returnflag) ELSE 'equipements_sous_domaine_' || lower(l_returnflag || l_linestatus) END AS facility, split_part(l_returnflag || '|' || l_linestatus, '|', 1) AS code FROM lineitem""")
+def scalar_cell_codes(spark, sf):
+    flag, status = F.col("l_returnflag"), F.col("l_linestatus")
+    domain, part = F.when(flag == "N", "_T").otherwise(flag), F.when(status == "F", "_T").otherwise(F.concat(flag, status))
+    return table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", X.cell_code([status, flag], _CELLS).alias("indicator"), X.facility_code(domain, part).alias("facility"), X.code_prefix(F.concat_ws("|", flag, status)).alias("code")
+    )
+
+
+@query("release_refresh_dimensions", """WITH s AS (SELECT o_custkey, o_clerk, c_nationkey FROM (SELECT o_custkey, min(o_orderpriority) AS o_clerk, min(c_nationkey) AS c_nationkey FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1))
+SELECT 'parcel' AS dimension, coalesce(s.o_custkey, c.c_custkey)::VARCHAR AS id, CASE WHEN s.o_custkey IS NOT NULL THEN s.o_clerk ELSE c.c_mktsegment END AS label FROM s FULL JOIN customer c ON s.o_custkey = c.c_custkey
+UNION ALL SELECT 'area', coalesce(a.c_nationkey, n.n_nationkey)::VARCHAR, CASE WHEN a.c_nationkey IS NOT NULL THEN a.l ELSE n.n_name END FROM (SELECT c_nationkey, min(o_orderpriority) AS l FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_orderstatus = 'F' GROUP BY 1) a FULL JOIN nation n ON a.c_nationkey = n.n_nationkey""")
+def release_refresh_dimensions(spark, sf):
+    """Areas and parcels refreshed from one release; what it does not hold keeps its old row."""
+    c = table(spark, sf, "customer")
+    source = table(spark, sf, "orders").where("o_orderstatus = 'F'").join(c, F.col("o_custkey") == F.col("c_custkey")).select(F.col("c_custkey").alias("parcel"), F.col("c_nationkey").alias("area"), F.col("o_orderpriority").alias("label"))
+    old_parcels, old_areas = c.select(F.col("c_custkey").alias("parcel"), F.col("c_mktsegment").alias("label")), table(spark, sf, "nation").select(F.col("n_nationkey").alias("area"), F.col("n_name").alias("label"))
+    new = RL.refresh_dimensions(source, {"parcel": (old_parcels, ["parcel"], ["label"], []), "area": (old_areas, ["area"], ["label"], [])})
+    rows = [df.select(F.lit(name).alias("dimension"), F.col(name).cast("string").alias("id"), "label") for name, df in new.items()]
+    return rows[0].unionByName(rows[1])

@@ -30,6 +30,26 @@ def insert_absent(new: DataFrame, old: DataFrame, keys: Sequence[str]) -> DataFr
     return old.unionByName(new.join(old, list(keys), "left_anti").select(*old.columns))
 
 
+def refused_fields(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Columns of ``rows`` whose dictionary entry (column_name, access) is not open, or that have none, and how many
+    values each would give away. A producer's table is refused when there is any."""
+    counts = rows.agg(*[F.count(c).alias(c) for c in rows.columns])
+    values = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("values")) for c in rows.columns])
+    long = counts.select(F.explode(values).alias("v")).select("v.*")
+    return long.join(dictionary.where("access = 'open'").select("column_name"), "column_name", "left_anti")
+
+
+def refresh_dimensions(source: DataFrame, dimensions: dict[str, tuple[DataFrame, list[str], list[str], list[str]]]) -> dict[str, DataFrame]:
+    """The canonical dimensions after an active release: each is (old rows, keys, columns that follow the release, columns
+    that keep their old value where the release has none), and all are upserts from the one source."""
+    out = {}
+    for name, (old, keys, prefer_new, fill_old) in dimensions.items():
+        picked = source.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.min(F.struct(*prefer_new, *fill_old)).alias("_v"))
+        new = picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in (*prefer_new, *fill_old)])
+        out[name] = keep_latest(new, old, keys, prefer_new, fill_old)
+    return out
+
+
 def seen_span(rows: DataFrame, key: str, release: str, published: str) -> DataFrame:
     """First and last release in which an identifier was seen."""
     at = F.struct(published, release)

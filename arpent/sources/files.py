@@ -98,6 +98,13 @@ def read_cube(spark: SparkSession, path: str) -> DataFrame:
     return require(spark.read.csv(path, sep=";", header=True), ["GEO", "GEO_OBJECT", "OBS_VALUE"]).where("GEO_OBJECT = 'COM'").withColumn("OBS_VALUE", F.col("OBS_VALUE").try_cast("double"))
 
 
+def read_dictionary(spark: SparkSession, path: str) -> DataFrame:
+    """Labels of codes (variable, code, label) from the semicolon-separated dictionary of a cube; the last line of a code
+    counts, by label where lines cannot be told apart."""
+    raw = require(spark.read.csv(path, header=True, sep=";"), ["COD_VAR", "COD_MOD", "LIB_MOD"])
+    return raw.groupBy(F.col("COD_VAR").alias("variable"), F.col("COD_MOD").alias("code")).agg(F.max("LIB_MOD").alias("label"))
+
+
 def publish(rows: DataFrame, path: str, partition: str = "release_id") -> None:
     """Replace only the partitions that ``rows`` has, so that other releases stay."""
     rows.write.mode("overwrite").partitionBy(partition).option("partitionOverwriteMode", "dynamic").parquet(path)

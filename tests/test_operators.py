@@ -178,3 +178,19 @@ def test_risk_pages(spark, tmp_path):
     (tmp_path / "1.json").write_text('{"data": [{"code_insee": "35001", "risques_detail": [{"num_risque": "11", "libelle_risque_long": "Inondation"}, {"num_risque": "15"}]}, {"code_insee": "35002"}]}')
     got = sorted(tuple(r)[0:1] + tuple(r)[3:] for r in files.read_risk_pages(spark, str(tmp_path)).collect())
     assert got[:2] == [("35001", "11", "Inondation"), ("35001", "15", None)] and got[2][0] == "35002"
+
+
+def test_projection_and_back(spark):
+    df = spark.createDataFrame([(-1.68, 48.11), (3.0, 46.5), (7.75, 43.7)], "lon double, lat double")
+    x, y = G.lambert93(F.col("lon"), F.col("lat"))
+    lon, lat = G.lambert93_inverse(F.col("x"), F.col("y"))
+    for r in df.withColumns({"x": x, "y": y}).withColumns({"lon2": lon, "lat2": lat}).collect():
+        assert abs(r["lon"] - r["lon2"]) < 1e-9 and abs(r["lat"] - r["lat2"]) < 1e-9
+
+
+def test_dictionary_and_missing_sources(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("COD_VAR;COD_MOD;LIB_VAR;LIB_MOD\nOCS;DW_MAIN;x;main\nOCS;_T;x;all\n")
+    assert {tuple(r) for r in files.read_dictionary(spark, str(tmp_path / "d.csv")).collect()} == {("OCS", "DW_MAIN", "main"), ("OCS", "_T", "all")}
+    (tmp_path / "bad.csv").write_text("A;B\n1;2\n")
+    with pytest.raises(ValueError):
+        files.read_dictionary(spark, str(tmp_path / "bad.csv"))
