@@ -107,8 +107,8 @@ def test_banded_alignment_is_exact():
             assert neardup.edits_within(np.array(a, np.uint32), np.array(b, np.uint32), limit) == (d <= limit)
 
 
-def test_near_duplicates_against_all_pairs(docs):
-    rows = docs.select("doc_id", "text").collect()
+def classes_of_all_pairs(rows):
+    """The smallest id of each row's class, by comparing all pairs."""
     cut = lambda t: neardup.words(np.frombuffer(t.lower().encode(), np.uint8), np.array([0, len(t.lower().encode())]))[0]
     words = [(cut(r["text"] or "") >> np.uint64(32)).astype(np.uint32) for r in rows]
     root = list(range(len(rows)))
@@ -125,7 +125,11 @@ def test_near_duplicates_against_all_pairs(docs):
     least = {}
     for k, r in enumerate(rows):
         least[find(k)] = min(least.get(find(k), r["doc_id"]), r["doc_id"])
-    expected = {r["doc_id"]: least[find(k)] for k, r in enumerate(rows)}
+    return {r["doc_id"]: least[find(k)] for k, r in enumerate(rows)}
+
+
+def test_near_duplicates_against_all_pairs(docs):
+    expected = classes_of_all_pairs(docs.select("doc_id", "text").collect())
     got = {r["doc_id"]: r["class_id"] for r in neardup.classes(docs).collect()}
     assert got == expected
     assert len(set(got.values())) < len(got)
@@ -466,3 +470,45 @@ def test_pipeline_stages(spark, odd, tmp_path):
         docs = out
     assert all(r["n_tokens"] == len(r["ids"]) for r in docs.collect())
     assert P.ORACLE_SQL is None and 4 <= len(P.STAGES) <= 5
+
+
+def test_pipeline_stages_against_plain_versions(spark, docs, tmp_path):
+    """Each stage on what the one before it has kept: verdicts, classes of all pairs, redaction of the reported spans, copies
+    in the order of their positions, and the ids of the library."""
+    import sentencepiece
+
+    import corpus_pipeline as P
+
+    def put(df, name):
+        df.write.parquet(str(tmp_path / name))
+        return spark.read.parquet(str(tmp_path / name))
+
+    stage = {name: f for name, f in P.STAGES}
+    kept = put(stage["quality rules"](spark, docs, SF), "quality")
+    assert {r["doc_id"] for r in kept.collect()} == {r["doc_id"] for r in quality.quality_rules(docs).where("kept").collect()}
+
+    single = put(stage["near duplicates"](spark, kept, SF), "single")
+    assert {r["doc_id"] for r in single.collect()} == set(classes_of_all_pairs(kept.select("doc_id", "text").collect()).values())
+
+    clean = put(stage["personal data"](spark, single, SF), "clean")
+    spans = {r["doc_id"]: r["spans"] for r in pii.report(single).collect()}
+    text = {r["doc_id"]: r["text"] for r in single.collect()}
+    for r in clean.collect():
+        want, at = "", 0
+        for start, end, kind in sorted((int(s), int(e), k) for k, s, e in (x.split(":") for x in spans[r["doc_id"]].split(",") if x)):
+            if start >= at:
+                want += text[r["doc_id"]][at:start] + f"[{kind.upper()}]"
+            at = max(at, end)
+        assert r["text"] == want + text[r["doc_id"]][at:] and r["n_chars"] == len(r["text"])
+
+    plan = mixing.mix(clean, whole=True, every_copy=True).where("copies > 0").collect()
+    order = [d for _, d in sorted((p, r["doc_id"]) for r in plan for p in r["positions"])]
+    mixed = stage["mixing"](spark, clean, SF)
+    assert [r["doc_id"] for r in mixed.select("doc_id").collect()] == order
+    mixed = put(mixed, "mixed")
+
+    lib = sentencepiece.SentencePieceProcessor(model_file=queries.piece_model())
+    text = {r["doc_id"]: r["text"] for r in clean.collect()}
+    done = stage["tokens"](spark, mixed, SF).collect()
+    assert Counter(r["doc_id"] for r in done) == Counter(order)
+    assert all(r["ids"] == lib.encode(text[r["doc_id"]], add_bos=True, add_eos=True) for r in done)
