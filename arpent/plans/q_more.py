@@ -100,7 +100,9 @@ def subset_border(spark, sf):
     known = table(spark, sf, "supplier").where("s_acctbal > 0").select(F.col("s_suppkey").alias("l_suppkey"), F.lit(1).alias("in_parcels"))
     rows = table(spark, sf, "lineitem").select("l_orderkey", "l_suppkey").join(acts, "l_orderkey", "left").join(known, "l_suppkey", "left")
     outcome = F.when(F.col("in_acts").isNull(), "dropped").when(F.col("in_parcels").isNull(), "link_cut").otherwise("kept")
-    return rows.groupBy(outcome.alias("outcome")).agg(N("lots"))
+    names = ("kept", "link_cut", "dropped")
+    counts = rows.select(outcome.alias("o")).agg(*[F.count_if(F.col("o") == x).alias(x) for x in names])  # an outcome without lots is a row too
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(x).alias("outcome"), F.col(x).alias("lots")) for x in names])).alias("r")).select("r.*")
 
 
 # --- Reports --------------------------------------------------------------------------------------------------------
