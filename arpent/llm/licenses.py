@@ -1,8 +1,9 @@
 """License scans: phrase places, and an exact set-similarity join of text blocks with license notices.
 
 A block is a line of a text; for notices wrapped over lines, so is each window of twice the notice's words, of which two
-neighbours overlap by the notice's length (a window must hold all words of a notice of at most ``SHORT``). A block meets a template when it holds at least ``CONTAINMENT`` of the template's distinct
-words. Words are ordered by their frequency over all documents, rarest first. A template needs ``need`` of its words in
+neighbours overlap by the notice's length. A block meets a template when it holds at least ``CONTAINMENT`` of the template's
+distinct words, and all of them where they are at most ``SHORT``: most words of a short notice say nothing by themselves, and
+the one left out may be the license's name. Words are ordered by their frequency over all documents, rarest first. A template needs ``need`` of its words in
 a block, so a block without any of its ``len - need + 1`` rarest words (the prefix) cannot meet it; nor can one with
 fewer than ``need`` words (length), nor one in which the words left after the first common one are too few on either
 side (position). What passes is counted exactly. The filters drop no pair that meets the threshold.
@@ -45,7 +46,7 @@ TEMPLATES = {
     "mpl-2.0": ["this source code form is subject to the terms of the mozilla public license v 2 0"],
 }
 CONTAINMENT = 0.8
-#: Distinct words up to which a window must hold all of a notice.
+#: Distinct words up to which a block must hold all of a notice.
 SHORT = 10
 
 
@@ -67,7 +68,7 @@ def index(counts: dict[str, int], containment: float = CONTAINMENT) -> tuple[lis
     for label, texts in TEMPLATES.items():
         for t in texts:
             ranks = sorted({rank[w] for w in t.split()})
-            need = math.ceil(containment * len(ranks) - 1e-9)
+            need = len(ranks) if len(ranks) <= SHORT else math.ceil(containment * len(ranks) - 1e-9)
             out.append({"label": label, "ranks": ranks, "need": need, "prefix": ranks[: len(ranks) - need + 1], "length": len(t.split())})
     return order, out
 
@@ -147,8 +148,7 @@ def _meeting(blocks: str, template: dict) -> Column:
 
 def _wrapped(words: str, seen: str, template: dict, order: list[str]) -> Column:
     """The windows of a text's words that meet a template, as (label, containment)."""
-    wanted, n, length = F.array(*[F.lit(order[k - 1]) for k in template["ranks"]]), len(template["ranks"]), template["length"]
-    need = n if n <= SHORT else template["need"]
+    wanted, n, length, need = F.array(*[F.lit(order[k - 1]) for k in template["ranks"]]), len(template["ranks"]), template["length"], template["need"]
     common = F.transform(F.sequence(F.lit(0), F.size(words) - 1, F.lit(length)), lambda i: F.size(F.array_intersect(F.slice(words, i + 1, 2 * length), wanted)))
     met = F.transform(F.filter(common, lambda c: c >= need), lambda c: F.struct(F.lit(template["label"]).alias("label"), F.round(c / F.lit(n), 6).alias("score")))
     return F.when(F.size(F.array_intersect(seen, wanted)) >= need, met).otherwise(F.array().cast("array<struct<label:string,score:double>>"))

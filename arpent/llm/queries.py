@@ -222,7 +222,7 @@ b AS ({phrases}),
 bl AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels FROM b GROUP BY doc_id),
 tm(label, words) AS (VALUES {rows}),
 ln AS (SELECT doc_id, list_distinct(regexp_extract_all({low('line')}, '{licenses.WORD}')) AS ws FROM d, unnest(string_split(t, chr(10))) AS u(line)),
-mt AS (SELECT doc_id, label, round(len(list_intersect(ws, words)) / len(words), 6) AS score FROM ln, tm WHERE len(list_intersect(ws, words)) >= ceil({licenses.CONTAINMENT} * len(words) - 1e-9)),
+mt AS (SELECT doc_id, label, round(len(list_intersect(ws, words)) / len(words), 6) AS score FROM ln, tm WHERE len(list_intersect(ws, words)) >= CASE WHEN len(words) <= {licenses.SHORT} THEN len(words) ELSE ceil({licenses.CONTAINMENT} * len(words) - 1e-9) END),
 ml AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(score) AS score FROM mt GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   array_to_string(list_sort(coalesce(bl.labels, [])), ',') AS base_labels,

@@ -438,6 +438,32 @@ def test_license_blocks(spark):
     assert (got[3]["labels"], got[3]["score"], got[4]["n_words"]) == ("mit", 1.0, 0)
 
 
+def test_short_notices_must_be_held_whole(spark):
+    rows = [(1, "Released under the Apache License"), (2, "Licensed under CC BY 4.0"), (3, "Licensed under CC BY-NC 4.0"), (4, "Now released under the MIT license, all of it")]
+    got = {r["doc_id"]: r["labels"] for r in licenses.scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: "apache", 2: "", 3: "cc-by-nc-4.0", 4: "mit"}
+
+
+def test_license_blocks_against_plain_containment(docs):
+    """The filters drop no line that meets a template: all lines of all documents against all templates."""
+    import math
+
+    word = re.compile(licenses.WORD)
+    rows = docs.select("doc_id", "text").collect()
+    got = {r["doc_id"]: set(filter(None, r["labels"].split(","))) for r in licenses.scan(docs).collect()}
+    found = 0
+    for r in rows:
+        for line in (r["text"] or "").split("\n"):
+            ws = {w.lower() if w.isascii() else w for w in word.findall(line)}
+            for label, notices in licenses.TEMPLATES.items():
+                for notice in map(set, map(str.split, notices)):
+                    need = len(notice) if len(notice) <= licenses.SHORT else math.ceil(licenses.CONTAINMENT * len(notice) - 1e-9)
+                    if len(ws & notice) >= need:
+                        found += 1
+                        assert label in got[r["doc_id"]]
+    assert found > 0
+
+
 def test_license_notices_wrapped_over_lines(spark):
     import textwrap
 
