@@ -86,11 +86,29 @@ def read_buildings(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
-def read_features(spark: SparkSession, path: str) -> DataFrame:
-    """A GeoJSON collection as rows of properties (a map of texts) and geometry (type, coordinates as text)."""
-    schema = "features array<struct<properties:map<string,string>,geometry:struct<type:string,coordinates:string>>>"
-    rows = spark.read.json(path, schema=schema, multiLine=True).select(F.explode("features").alias("f"))
-    return rows.select("f.properties", F.col("f.geometry.type").alias("geometry_type"), F.from_json("f.geometry.coordinates", "array<array<array<double>>>").alias("rings"))
+RINGS = "array<array<array<double>>>"
+FEATURE = "struct<type:string,properties:map<string,string>,geometry:struct<type:string,coordinates:string>>"
+
+
+def read_features(spark: SparkSession, path: str, by_line: bool = False) -> DataFrame:
+    """A GeoJSON collection: properties (a map of texts), the rings of a polygon, all polygons of either kind, a point's
+    place, and why a geometry is not read. With ``by_line``, features stand one a line, bare or within a collection, so that a
+    large file is read in splits; the other lines are its frame."""
+    if by_line:
+        lines = spark.read.text(path).select(F.from_json(F.rtrim(F.col("value"), F.lit(", \r\t")), FEATURE).alias("f"))
+        rows = lines.where("f.type = 'Feature'")
+    else:
+        rows = spark.read.json(path, schema=f"features array<{FEATURE}>", multiLine=True).select(F.explode("features").alias("f"))
+    kind, coordinates = F.col("f.geometry.type"), F.col("f.geometry.coordinates")
+    one = F.when(kind == "Polygon", F.from_json(coordinates, RINGS))
+    several = F.when(kind == "MultiPolygon", F.from_json(coordinates, f"array<{RINGS}>"))
+    place = F.when(kind == "Point", F.from_json(coordinates, "array<double>"))
+    out = rows.select("f.properties", kind.alias("geometry_type"), one.alias("rings"), F.coalesce(several, F.when(one.isNotNull(), F.array(one))).alias("polygons"), F.get(place, 0).alias("x"), F.get(place, 1).alias("y"))
+    open_ring = lambda r: r.isNull() | (F.size(r) < 4) | F.exists(r, lambda p: F.get(p, 0).isNull() | F.get(p, 1).isNull())
+    whole = (F.size("polygons") > 0) & ~F.exists("polygons", lambda p: p.isNull() | (F.size(p) < 1) | F.exists(p, open_ring))
+    read = F.when(F.col("geometry_type") == "Point", F.col("x").isNotNull() & F.col("y").isNotNull()).otherwise(F.coalesce(whole, F.lit(False)))
+    known = F.col("geometry_type").isin("Point", "Polygon", "MultiPolygon")
+    return out.withColumn("unread", F.when(F.col("geometry_type").isNull(), "geometry_missing").when(~known, "geometry_type_unsupported").when(~read, "coordinates_unreadable"))
 
 
 def read_cube(spark: SparkSession, path: str) -> DataFrame:

@@ -125,7 +125,6 @@ def test_clipping_and_union():
     square = np.array([(0, 0), (2, 0), (2, 2), (0, 2)], float)
     assert S.area(S.clip_convex(square, square + 1)) == pytest.approx(1)
     assert S.area(S.clip_convex(square, square + 5)) == 0
-    assert S.union_area(np.array([(0, 0, 2, 2), (1, 1, 3, 3), (0, 0, 1, 1)], float)) == pytest.approx(7)
     turn = np.array([(0, 1), (1, 0), (3, 2), (2, 3)], float)
     assert S.shortest_side(turn) == pytest.approx(2**0.5)
 
@@ -194,3 +193,51 @@ def test_dictionary_and_missing_sources(spark, tmp_path):
     (tmp_path / "bad.csv").write_text("A;B\n1;2\n")
     with pytest.raises(ValueError):
         files.read_dictionary(spark, str(tmp_path / "bad.csv"))
+
+
+def test_union_areas_against_unit_squares(spark):
+    import random
+
+    rnd = random.Random(3)
+    rows = [(k % 4 if k % 4 else None, [rnd.randrange(20), rnd.randrange(20)], [rnd.randrange(6), rnd.randrange(6)]) for k in range(60)] + [(9, [1, 1], [0, 5])]
+    df = spark.createDataFrame([(k, (float(x), float(y), float(x + w), float(y + h))) for k, (x, y), (w, h) in rows], "k int, b struct<xmin:double,ymin:double,xmax:double,ymax:double>")
+    covered = {}
+    for k, (x, y), (w, h) in rows:
+        covered.setdefault(k, set()).update((i, j) for i in range(x, x + w) for j in range(y, y + h))
+    assert {r["k"]: r["union_area"] for r in S.union_areas(df, "k", "b").collect()} == {k: float(len(v)) for k, v in covered.items()}
+
+
+def test_features_of_every_geometry(spark, tmp_path):
+    square = "[[0, 0], [1, 0], [1, 1], [0, 0]]"
+    cases = [
+        ("Polygon", f"[{square}, {square}]"), ("MultiPolygon", f"[[{square}], [{square}]]"), ("Point", "[2.5, 48]"), ("LineString", "[[0, 0], [1, 1]]"),
+        ("Polygon", "[[[0, 0], [1, 0]]]"), ("Point", "[]"), ("Polygon", '"x"'),
+    ]
+    features = [f'{{"type": "Feature", "properties": {{"id": "{k}"}}, "geometry": {{"type": "{t}", "coordinates": {c}}}}}' for k, (t, c) in enumerate(cases)]
+    features.append('{"type": "Feature", "properties": {"id": "7"}, "geometry": null}')
+    (tmp_path / "g.json").write_text('{"type": "FeatureCollection", "features": [\n' + ",\n".join(features) + "\n]}\n")
+    frames = [{r["properties"]["id"]: r for r in files.read_features(spark, str(tmp_path / "g.json"), by_line).collect()} for by_line in (False, True)]
+    assert frames[0] == frames[1]
+    got = frames[0]
+    assert [got[str(k)]["unread"] for k in range(8)] == [None, None, None, "geometry_type_unsupported", *["coordinates_unreadable"] * 3, "geometry_missing"]
+    assert (len(got["0"]["rings"]), len(got["0"]["polygons"]), len(got["1"]["polygons"]), got["2"]["x"], got["2"]["y"]) == (2, 1, 2, 2.5, 48.0)
+
+
+def test_diagnostics_and_addresses(spark, tmp_path):
+    (tmp_path / "d.csv").write_text('\ufeffnumero,label,note,more\n1,A,"two\nlines, and a ""quote""",x\n2,B,,y\n', encoding="utf-8")
+    got = files.read_diagnostics(spark, str(tmp_path / "d.csv"), ["numero", "label", "note"]).orderBy("numero").collect()
+    assert [tuple(r) for r in got] == [("1", "A", 'two\nlines, and a "quote"'), ("2", "B", None)]
+    with pytest.raises(ValueError, match="absent"):
+        files.read_diagnostics(spark, str(tmp_path / "d.csv"), ["numero", "absent"])
+    (tmp_path / "a.csv").write_text("id;numero;nom_voie;code_postal;code_insee;nom_commune;x;y;cad_parcelles\n1;2;rue A;35000;35238;Rennes;351000.5;x;P1|P2|\n2;;rue B;35000;35238;Rennes;1;2;\n")
+    got = files.read_addresses(spark, str(tmp_path / "a.csv")).orderBy("id").collect()
+    assert [(r["x"], r["y"], r["parcels"]) for r in got] == [(351000.5, None, ["P1", "P2"]), (1.0, 2.0, [])]
+
+
+def test_cube_and_measure_file(spark, tmp_path):
+    (tmp_path / "c.csv").write_text("GEO;GEO_OBJECT;OBS_VALUE\n35001;COM;12.5\n35;DEP;9\n35002;COM;s\n")
+    cube = files.read_cube(spark, str(tmp_path / "c.csv"))
+    assert sorted((r["GEO"], r["OBS_VALUE"]) for r in cube.collect()) == [("35001", 12.5), ("35002", None)]
+    files.write_measure(cube, str(tmp_path / "m"), ["GEO", "OBS_VALUE"], ["GEO"])
+    parts = list((tmp_path / "m").glob("part-*.csv"))
+    assert len(parts) == 1 and parts[0].read_text().split() == ["GEO,OBS_VALUE", "35001,12.5", "35002,"]
