@@ -9,7 +9,7 @@ from arpent.operators import ranking as R, search as SE, shapes as S
 from arpent.plans import releases as RL
 from arpent.plans.catalog import query, relation, table
 from arpent.plans.q_features import _SCORED, _evidence
-from arpent.plans.q_spatial import _BOX, _CROSS, _OV, CELL, _two, boxes
+from arpent.plans.q_spatial import _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes
 
 N = lambda name="n": F.count(F.lit(1)).alias(name)
 _INSIDE = "b.xmin > a.xmin AND b.xmax < a.xmax AND b.ymin > a.ymin AND b.ymax < a.ymax"
@@ -39,6 +39,37 @@ def geo_split_zones(spark, sf):
     return parts.groupBy("a_id", F.col("b_id_label").alias("b_label")).agg(N("pieces"), F.round(F.sum(G.ring_area(F.col("ring"))), 2).alias("area"))
 
 
+_ROAD = "SELECT vec_id AS r_id, embedding[6]::DOUBLE * 1000 AS rx, embedding[7]::DOUBLE * 1000 AS ry, embedding[6]::DOUBLE * 1000 + embedding[8]::DOUBLE * 200 AS sx, embedding[7]::DOUBLE * 1000 + embedding[9]::DOUBLE * 200 AS sy FROM embeddings WHERE embedding[8]::DOUBLE > 0"
+_DISC = "CASE WHEN abs((px - {x}) * uy - (py - {y}) * ux) <= 3 THEN -((px - {x}) * ux + (py - {y}) * uy) {sign} sqrt(9 - pow((px - {x}) * uy - (py - {y}) * ux, 2)) END"
+
+
+@query("geo_road_frontage", f"""WITH a AS ({_BOX}), b AS (SELECT *, least(rx, sx) AS xmin, least(ry, sy) AS ymin, greatest(rx, sx) AS xmax, greatest(ry, sy) AS ymax FROM ({_ROAD})),
+c AS (SELECT vec_id, a.xmin AS x0, a.ymin AS y0, a.xmax AS x1, a.ymax AS y1, rx, ry, sx, sy, sqrt(pow(sx - rx, 2) + pow(sy - ry, 2)) AS m FROM a JOIN b ON {_DIST} <= 30),
+e AS (SELECT *, (sx - rx) / m AS vx, (sy - ry) / m AS vy, 1 AS e, x0 AS px, y0 AS py, 1.0 AS ux, 0.0 AS uy, x1 - x0 AS len FROM c UNION ALL SELECT *, (sx - rx) / m, (sy - ry) / m, 2, x1, y0, 0.0, 1.0, y1 - y0 FROM c
+  UNION ALL SELECT *, (sx - rx) / m, (sy - ry) / m, 3, x1, y1, -1.0, 0.0, x1 - x0 FROM c UNION ALL SELECT *, (sx - rx) / m, (sy - ry) / m, 4, x0, y1, 0.0, -1.0, y1 - y0 FROM c),
+k AS (SELECT *, (0 - ((px - rx) * vx + (py - ry) * vy)) / (ux * vx + uy * vy) AS a1, (m - ((px - rx) * vx + (py - ry) * vy)) / (ux * vx + uy * vy) AS a2,
+  (-3 - (vx * (py - ry) - vy * (px - rx))) / (vx * uy - vy * ux) AS c1, (3 - (vx * (py - ry) - vy * (px - rx))) / (vx * uy - vy * ux) AS c2 FROM e),
+t AS (SELECT *, greatest(least(a1, a2), least(c1, c2)) AS lo, least(greatest(a1, a2), greatest(c1, c2)) AS hi FROM k),
+s AS (SELECT vec_id, e, greatest(least({_DISC.format(x="rx", y="ry", sign="-")}, {_DISC.format(x="sx", y="sy", sign="-")}, CASE WHEN lo <= hi THEN lo END), 0) AS lo,
+  least(greatest({_DISC.format(x="rx", y="ry", sign="+")}, {_DISC.format(x="sx", y="sy", sign="+")}, CASE WHEN lo <= hi THEN hi END), len) AS hi,
+  coalesce({_DISC.format(x="rx", y="ry", sign="-")}, {_DISC.format(x="sx", y="sy", sign="-")}, CASE WHEN lo <= hi THEN lo END) IS NOT NULL AS near FROM t),
+g AS (SELECT vec_id, CASE WHEN near AND lo < hi THEN greatest(hi - greatest(lo, coalesce(max(CASE WHEN near AND lo < hi THEN hi END) OVER (PARTITION BY vec_id, e, near AND lo < hi ORDER BY lo, hi ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), lo)), 0) ELSE 0 END AS n FROM s),
+f AS (SELECT vec_id, sum(n) AS frontage FROM g GROUP BY 1)
+SELECT a.vec_id, round(frontage, 3) AS frontage, CASE WHEN frontage IS NULL THEN 'source_value_missing' END AS reason FROM a LEFT JOIN f ON a.vec_id = f.vec_id""")
+def geo_road_frontage(spark, sf):
+    """Boundary of each parcel within 3 of a road; missing where no road lies within 30."""
+    a = boxes(spark, sf, "abox", "vec_id")
+    e = lambda i: F.col("embedding")[i].cast("double")
+    x, y = e(5) * 1000, e(6) * 1000
+    point = lambda x, y: F.struct(x.alias("x"), y.alias("y"))
+    roads = table(spark, sf, "embeddings").where(e(7) > 0).select(F.struct(point(x, y).alias("a"), point(x + e(7) * 200, y + e(8) * 200).alias("b")).alias("road"))
+    over = lambda f, c: f(F.col(f"road.a.{c}"), F.col(f"road.b.{c}"))
+    roads = roads.withColumn("rbox", G.box(over(F.least, "x"), over(F.least, "y"), over(F.greatest, "x"), over(F.greatest, "y")))
+    pairs = G.grid_join(a, roads, "abox", "rbox", CELL, 30.0).withColumn("ring", G.box_ring("abox"))
+    rows = a.select("vec_id").join(S.frontages(pairs, "vec_id", "ring", "road", 3.0), "vec_id", "left")
+    return rows.select("vec_id", F.round("frontage", 3).alias("frontage"), F.when(F.col("frontage").isNull(), "source_value_missing").alias("reason"))
+
+
 _POINTS = "SELECT c_custkey, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_acctbal END AS lon, CAST(c_nationkey AS STRING) AS commune_code FROM customer"
 
 

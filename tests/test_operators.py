@@ -241,3 +241,30 @@ def test_cube_and_measure_file(spark, tmp_path):
     files.write_measure(cube, str(tmp_path / "m"), ["GEO", "OBS_VALUE"], ["GEO"])
     parts = list((tmp_path / "m").glob("part-*.csv"))
     assert len(parts) == 1 and parts[0].read_text().split() == ["GEO,OBS_VALUE", "35001,12.5", "35002,"]
+
+
+def test_frontage_against_points_along_the_boundary(spark):
+    import random
+
+    import numpy as np
+
+    rnd, point = random.Random(8), lambda: (rnd.uniform(0, 30), rnd.uniform(0, 30))
+    square = [(5.0, 5.0), (15.0, 5.0), (15.0, 15.0), (5.0, 15.0)]
+    rings = {0: [(5.0, 5.0), (20.0, 8.0), (17.0, 20.0), (9.0, 12.0), (2.0, 18.0)], 1: square, 2: square, 3: square}
+    roads = {0: [(point(), point()) for _ in range(6)], 1: [((0.0, 3.0), (30.0, 3.0)), ((0.0, 2.5), (12.0, 2.5))], 2: [((5.0, 5.0), (5.0, 5.0))], 3: [((90.0, 0.0), (90.0, 9.0))]}
+    rows = [(k, [*ring, ring[0]], (a, b)) for k, ring in rings.items() for a, b in roads[k]]
+    xy = "struct<x:double,y:double>"
+    df = spark.createDataFrame(rows, f"k int, ring array<{xy}>, road struct<a:{xy},b:{xy}>")
+    got = {r["k"]: r["frontage"] for r in S.frontages(df, "k", "ring", "road", 3.0).collect()}
+    for k, ring in rings.items():
+        want = 0.0
+        for p, q in zip(ring, ring[1:] + ring[:1]):
+            at = np.array(p) + (np.arange(20_000)[:, None] + 0.5) / 20_000 * (np.array(q) - np.array(p))
+            hit = np.zeros(len(at), bool)
+            for a, b in roads[k]:
+                d = np.array(b) - np.array(a)
+                t = np.clip(((at - a) @ d) / max(d @ d, 1e-300), 0, 1)
+                hit |= np.hypot(*(at - a - t[:, None] * d).T) <= 3
+            want += hit.mean() * np.hypot(*(np.array(q) - np.array(p)))
+        assert got[k] == pytest.approx(want, abs=0.01), k
+    assert got[3] == 0.0
