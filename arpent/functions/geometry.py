@@ -63,6 +63,11 @@ def overlap_area(a: str, b: str) -> Column:
     return F.greatest(w, F.lit(0.0)) * F.greatest(h, F.lit(0.0))
 
 
+def shared_box(a: str, b: str) -> Column:
+    """The box that two meeting boxes share."""
+    return box(F.greatest(f"{a}.xmin", f"{b}.xmin"), F.greatest(f"{a}.ymin", f"{b}.ymin"), F.least(f"{a}.xmax", f"{b}.xmax"), F.least(f"{a}.ymax", f"{b}.ymax"))
+
+
 def box_distance(a: str, b: str) -> Column:
     """Distance between two boxes; 0 where they meet."""
     dx = F.greatest(F.col(f"{b}.xmin") - F.col(f"{a}.xmax"), F.col(f"{a}.xmin") - F.col(f"{b}.xmax"), F.lit(0.0))

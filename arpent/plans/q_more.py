@@ -6,11 +6,11 @@ from pyspark.sql import Window, functions as F
 
 from arpent.functions import geometry as G, scalars as X
 from arpent.functions.support import share_pct
-from arpent.operators import ranking as R
+from arpent.operators import ranking as R, shapes as S
 from arpent.plans import releases as RL
 from arpent.plans.catalog import query, relation, table
 from arpent.plans.q_core import _RESOLVED, LINKS, resolved
-from arpent.plans.q_spatial import _AREA, _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes
+from arpent.plans.q_spatial import _AREA, _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes, union_sql
 
 N = lambda name="n": F.count(F.lit(1)).alias(name)
 
@@ -224,15 +224,26 @@ def geo_centre_distance(spark, sf):
     return rows.join(poles, "label").select("vec_id", F.round(F.hypot(F.col("x") - F.col("cx"), F.col("y") - F.col("cy")), 3).alias("centre_distance"))
 
 
-@query("geo_built_footprint", f"WITH a AS ({_BOX}), b AS ({_BOX}), o AS (SELECT a.vec_id, sum({_OV}) AS built, count(*) AS buildings FROM a JOIN b ON a.label <> b.label AND {_CROSS} GROUP BY 1) SELECT a.vec_id, round(coalesce(built, 0), 3) AS overlap_m2, coalesce(buildings, 0) AS buildings, CASE WHEN a.vec_id % 13 > 0 THEN round(coalesce(built, 0) / ({_AREA}), 5) END AS ratio, CASE WHEN a.vec_id % 13 = 0 THEN 'buildings_incomplete' END AS missing_reason FROM a LEFT JOIN o ON a.vec_id = o.vec_id")
+_PART = "greatest(a.xmin, b.xmin) AS xmin, greatest(a.ymin, b.ymin) AS ymin, least(a.xmax, b.xmax) AS xmax, least(a.ymax, b.ymax) AS ymax"
+
+
+@query("geo_built_footprint", f"""WITH a AS ({_BOX}), b AS ({_BOX}), p AS (SELECT a.vec_id AS a_id, b.ymax - b.ymin < 8 AS light, {_PART} FROM a JOIN b ON a.label <> b.label AND {_OV} > 0), lp AS (SELECT * FROM p WHERE light),
+n AS (SELECT a_id, count(*) AS buildings FROM p GROUP BY 1), {union_sql("p", "u")}, {union_sql("lp", "v")}, r AS (SELECT a.vec_id, {_AREA} AS size, coalesce(u.area, 0) AS built, coalesce(v.area, 0) AS light, coalesce(buildings, 0) AS buildings FROM a LEFT JOIN u ON a.vec_id = u.a_id LEFT JOIN v ON a.vec_id = v.a_id LEFT JOIN n ON a.vec_id = n.a_id)
+SELECT vec_id, round(built, 3) AS built_m2, buildings, round(size - built, 3) AS free_m2, CASE WHEN size > 0 AND vec_id % 13 > 0 THEN round(built / size, 5) END AS ratio, CASE WHEN vec_id % 13 = 0 THEN 'buildings_incomplete' END AS missing_reason, CASE WHEN built > 0 THEN round(light / built, 5) END AS light_share, CASE WHEN built = 0 THEN 'not_applicable' END AS light_reason FROM r""")
 def geo_built_footprint(spark, sf):
-    """Built area and ratio of a parcel; the ratio only where the buildings of the parcel are complete."""
+    """Built and free area of a parcel, and the part of light buildings; buildings that overlap count once. The ratio stands
+    only where the buildings of the parcel are complete."""
     a, b = _two(spark, sf)
-    o = G.grid_join(a, b, "abox", "bbox", CELL).where("a_id_label <> b_id_label").groupBy("a_id").agg(F.sum(G.overlap_area("abox", "bbox")).alias("built"), N("k"))
-    rows = a.join(o, "a_id", "left").withColumn("built", F.coalesce("built", F.lit(0.0)))
+    pairs = G.grid_join(a, b, "abox", "bbox", CELL).where("a_id_label <> b_id_label")
+    parts = pairs.select("a_id", G.shared_box("abox", "bbox").alias("part"), (F.col("bbox.ymax") - F.col("bbox.ymin") < 8).alias("is_light"))
     size = (F.col("abox.xmax") - F.col("abox.xmin")) * (F.col("abox.ymax") - F.col("abox.ymin"))
+    rows = S.footprints(a.select("a_id", size.alias("size")), parts, "a_id", "part", "is_light")
+    share = F.when(F.col("built") > 0, F.round(F.col("light") / F.col("built"), 5))
     whole = F.col("a_id") % 13 > 0
-    return rows.select(F.col("a_id").alias("vec_id"), F.round("built", 3).alias("overlap_m2"), F.coalesce("k", F.lit(0)).alias("buildings"), F.when(whole, F.round(F.col("built") / size, 5)).alias("ratio"), F.when(~whole, "buildings_incomplete").alias("missing_reason"))
+    return rows.select(
+        F.col("a_id").alias("vec_id"), F.round("built", 3).alias("built_m2"), "buildings", F.round(F.col("size") - F.col("built"), 3).alias("free_m2"),
+        F.when((F.col("size") > 0) & whole, F.round(F.col("built") / F.col("size"), 5)).alias("ratio"), F.when(~whole, "buildings_incomplete").alias("missing_reason"), share.alias("light_share"), F.when(F.col("built") == 0, "not_applicable").alias("light_reason"),
+    )
 
 
 # --- Candidates, publication, cards ---------------------------------------------------------------------------------

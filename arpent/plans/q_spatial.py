@@ -90,10 +90,15 @@ def geo_clipped_areas(spark, sf):
     return S.clipped_areas(rows, "ra", "rb", ["a_id", "b_id"]).withColumn("clipped_area", F.round("clipped_area", 3))
 
 
-@query("geo_union_areas", f"""WITH a AS ({_BOX}), b AS ({_BOX}), m AS (SELECT a.vec_id AS a_id, b.xmin, b.ymin, b.xmax, b.ymax FROM a JOIN b ON {_CROSS}),
-xs AS (SELECT a_id, x AS x0, lead(x) OVER (PARTITION BY a_id ORDER BY x) AS x1 FROM (SELECT a_id, xmin AS x FROM m UNION SELECT a_id, xmax FROM m)),
-l AS (SELECT xs.a_id, x0, x1, ymin, ymax, max(ymax) OVER (PARTITION BY xs.a_id, x0 ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM xs JOIN m ON xs.a_id = m.a_id AND xmin <= x0 AND xmax >= x1)
-SELECT a_id, round(sum((x1 - x0) * greatest(ymax - greatest(ymin, coalesce(below, ymin)), 0)), 3) AS union_area FROM l GROUP BY 1""")
+def union_sql(boxes: str, out: str) -> str:
+    """Relations that end in ``out`` (a_id, area): the union of the boxes of each a_id, by slabs."""
+    return f"""{out}_x AS (SELECT a_id, x AS x0, lead(x) OVER (PARTITION BY a_id ORDER BY x) AS x1 FROM (SELECT a_id, xmin AS x FROM {boxes} UNION SELECT a_id, xmax FROM {boxes})),
+{out}_l AS (SELECT s.a_id, x0, x1, ymin, ymax, max(ymax) OVER (PARTITION BY s.a_id, x0 ORDER BY ymin, ymax ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS below FROM {out}_x s JOIN {boxes} m ON s.a_id = m.a_id AND xmin <= x0 AND xmax >= x1),
+{out} AS (SELECT a_id, sum((x1 - x0) * greatest(ymax - greatest(ymin, coalesce(below, ymin)), 0)) AS area FROM {out}_l GROUP BY 1)"""
+
+
+@query("geo_union_areas", f"""WITH a AS ({_BOX}), b AS ({_BOX}), m AS (SELECT a.vec_id AS a_id, b.xmin, b.ymin, b.xmax, b.ymax FROM a JOIN b ON {_CROSS}), {union_sql("m", "u")}
+SELECT a_id, round(area, 3) AS union_area FROM u""")
 def geo_union_areas(spark, sf):
     """Area of the union of all boxes that meet a box, itself included."""
     a, b = _two(spark, sf)
