@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from arpent.llm import ann, chat, language, licenses, mixing, neardup, pieces, pii, quality, sharding
+from arpent.llm import ann, bytepairs, chat, language, licenses, mixing, neardup, pieces, pii, prefixes, quality, sharding, variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -234,3 +234,80 @@ FROM d LEFT JOIN bl USING (doc_id) LEFT JOIN ml USING (doc_id)"""
 @registered("op10_license_scan", _license_sql())
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+# --- 11. Spelling variants ----------------------------------------------------------------------------------------
+
+#: The checksum of bytes, given as a list; the polynomial is a fixed value.
+_CRC32 = """(4294967295 - list_reduce(list_concat([4294967295::BIGINT], {x}),
+    lambda s, b: list_reduce([xor(s, b), 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda r, z: xor(r >> 1, 3988292384 * (r & 1)))))"""
+_ASCII = "list_transform(string_split({x}, ''), lambda ch: ascii(ch)::BIGINT)"
+_LATIN = "flatten(list_transform(string_split({x}, ''), lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [192 + (unicode(ch) >> 6), 128 + (unicode(ch) & 63)]::BIGINT[] END))"
+
+_VARIANTS_SQL = f"""
+WITH RECURSIVE r AS (
+  SELECT coalesce(doc_id::VARCHAR, '') || ':' AS mark, unnest(regexp_extract_all(translate(text, '{variants.UPPER}', '{variants.LOWER}'), '[a-z\u00C0-\u00FF]+')) AS run FROM documents),
+h AS (SELECT run, {_CRC32.format(x=_LATIN.format(x='mark || run'))} AS h FROM r WHERE length(run) >= {variants.MIN_LETTERS}),
+w AS (SELECT CASE WHEN h % {variants.TYPO} = 0 THEN left(run, (h % length(run))::INT) || substring(run, (h % length(run))::INT + 2) ELSE run END AS word FROM h),
+v AS (SELECT word, count(*) AS n FROM w WHERE length(word) >= {variants.MIN_LETTERS} GROUP BY word HAVING count(*) >= {variants.MIN_COUNT}),
+d AS (SELECT word, n, i, left(word, (i - 1)::INT) || substring(word, (i + 1)::INT) AS less FROM v, unnest(range(1, length(word) + 1)) AS u(i)),
+p AS (
+  SELECT a.word, b.word AS other, b.n FROM d a JOIN d b ON a.i = b.i AND a.less = b.less AND a.word <> b.word
+  UNION SELECT d.word, v.word, v.n FROM d JOIN v ON d.less = v.word
+  UNION SELECT v.word, d.word, d.n FROM d JOIN v ON d.less = v.word),
+k AS (SELECT *, count(*) OVER (PARTITION BY word) AS n_near, row_number() OVER (PARTITION BY word ORDER BY n DESC, other) AS k FROM p),
+f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0)::BIGINT AS n_near, CASE WHEN k.n >= {variants.FORM} * v.n THEN other END AS form, CASE WHEN k.n >= {variants.FORM} * v.n THEN k.n END AS form_n
+  FROM v LEFT JOIN k ON v.word = k.word AND k.k = 1),
+c(word, root, ahead) AS (SELECT word, word, form FROM f UNION ALL SELECT c.word, f.word, f.form FROM c JOIN f ON c.ahead = f.word)
+SELECT f.word, form, root, n, n_near, form_n FROM f JOIN c ON f.word = c.word AND c.ahead IS NULL"""
+
+
+@registered("op11_spelling_variants", _VARIANTS_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))
+
+
+# --- 12. Byte-level BPE: backtracking over longest matches, tested against the library -----------------------------
+
+#: The public pattern with its alternatives for letters and numbers first. Where one of these matches, none that stood
+#: before it could, so the matches are the same; letters are met sooner.
+MATCHES = r""" ?\p{L}+| ?\p{N}+|'s|'t|'re|'ve|'m|'ll|'d| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_ranks() -> str:
+    """The public rank file; other files of the kind can be given to ``bytepairs.encoded``."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+@registered("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bytepairs.encoded(table(spark, sf_dir, "documents"), byte_ranks(), MATCHES)
+
+
+# --- 13. Conversation prefix trie ---------------------------------------------------------------------------------
+
+_TRIE_SQL = f"""
+WITH t AS (
+  SELECT conv_id, list((coalesce(role, ''), coalesce(text, '')) ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS own
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+h AS (SELECT *, ({_CRC32.format(x=_ASCII.format(x='conv_id::VARCHAR'))} % {prefixes.LENT})::BIGINT AS h FROM t),
+r AS (SELECT h.conv_id, list_concat(coalesce(b.own[1:h.h], []), h.own[h.h + 1:]) AS turns FROM h LEFT JOIN t b ON b.conv_id = h.conv_id - h.conv_id % {prefixes.FAMILY}),
+m AS (SELECT conv_id, d, turns[1:d] AS k, len(turns) = d AS ends FROM r, unnest(range(0, len(turns) + 1)) AS u(d)),
+n AS (
+  SELECT k, d, min(conv_id) AS conv_id, count(*) AS n_convs, sha256(coalesce(string_agg(conv_id, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256,
+    (count(*) - 1) * CASE WHEN d = 0 THEN 0 ELSE len(regexp_extract_all(k[d][2], '[^\x20\x09-\x0D]+')) END AS saves
+  FROM m GROUP BY k, d),
+c AS (SELECT k[1:d - 1] AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1),
+l AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN c USING (k)),
+s AS (SELECT k[1:i] AS k, sum((n_children = 0)::INT) AS n_leaves, sum(saves) AS saved_tokens FROM l, unnest(range(0, d + 1)) AS u(i) GROUP BY 1)
+SELECT l.conv_id::BIGINT AS conv_id, l.d::BIGINT AS depth, p.conv_id::BIGINT AS parent_conv_id, l.n_convs::BIGINT AS n_convs, l.n_children::BIGINT AS n_children,
+  n_leaves::BIGINT AS n_leaves, saved_tokens::BIGINT AS saved_tokens, l.ends_sha256
+FROM l JOIN s USING (k) LEFT JOIN l p ON l.d > 0 AND p.k = l.k[1:l.d - 1]"""
+
+
+@registered("op13_prefix_trie", _TRIE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(table(spark, sf_dir, "conversations"))
