@@ -6,7 +6,7 @@ from collections import Counter
 import duckdb
 import pytest
 
-from arpent.plans import catalog, q_barometer, q_core, q_extra, q_features, q_more, q_spatial, q_streaming  # noqa: F401
+from arpent.plans import catalog, q_barometer, q_core, q_extra, q_features, q_more, q_shapes, q_spatial, q_streaming  # noqa: F401
 
 SF = "/root/testdata/sf0.001"
 #: A few of each module here; the driver holds all of them against their SQL.
