@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from arpent.plans.staging import staged
+
 
 def hash_order(seed: str, key: str) -> Column:
     """Pseudo-random order that depends on seed and key alone."""
@@ -33,17 +35,27 @@ def numbered(rows: DataFrame, key: str, seed: str, name: str) -> DataFrame:
     return placed.select(*rows.columns, (own + F.col("_ahead")).alias(name))
 
 
+def running_counts(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """For each group and value: how many rows of the group come before it (``before``), share it (``ties``), are there at
+    all (``all``). Values are sorted over all groups in ranges; counts run within a range, and those of a group's ranges
+    ahead are added, so no task holds a group. A null value comes first; the group is the struct ``_g`` of the keys."""
+    own = rows.groupBy(F.struct(*keys).alias("_g"), F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("ties"))
+    own = staged(own.repartitionByRange("_g", "_v").withColumn("_block", F.spark_partition_id()), "ranks")
+    ahead = Window.partitionBy("_g").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = own.groupBy("_g", "_block").agg(F.sum("ties").alias("_n")).select("_g", "_block", F.coalesce(F.sum("_n").over(ahead), F.lit(0)).alias("_ahead"), F.sum("_n").over(Window.partitionBy("_g")).alias("all"))
+    inside = Window.partitionBy("_g", "_block").orderBy("_v").rowsBetween(Window.unboundedPreceding, -1)
+    own = own.withColumn("_inside", F.coalesce(F.sum("ties").over(inside), F.lit(0)))
+    return own.join(blocks, ["_g", "_block"]).select("_g", "_v", (F.col("_inside") + F.col("_ahead")).alias("before"), "ties", "all")
+
+
 def mean_rank(rows: DataFrame, key: str, signals: dict[str, bool]) -> DataFrame:
     """Mean normalised rank over the signals that a row has, ties sharing theirs; 1 for none. ``signals``: descending?
 
-    Ranks come from counts: values are grouped, and the running count is over distinct values of one signal."""
+    Ranks come from the running counts of a signal's values, which no task holds as a whole."""
     parts = [F.struct(F.lit(s).alias("signal"), (F.col(s).cast("double") * (-1 if down else 1)).alias("v")) for s, down in signals.items()]
     long = rows.select(key, F.explode(F.array(*parts)).alias("s")).select(key, "s.signal", "s.v").where("v is not null")
-    n = long.groupBy("signal", "v").agg(F.count(F.lit(1)).alias("n"))
-    before = F.coalesce(F.sum("n").over(Window.partitionBy("signal").orderBy("v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    shared = n.withColumns({"_before": before, "_all": F.sum("n").over(Window.partitionBy("signal"))})
-    shared = shared.withColumn("share", (F.col("_before") + (F.col("n") + 1) / 2) / F.col("_all"))
-    ranks = long.join(shared.select("signal", "v", "share"), ["signal", "v"]).groupBy(key).agg(F.avg("share").alias("_m"), F.count(F.lit(1)).alias("_n"))
+    shared = running_counts(long, ["signal"], "v").select("_g.signal", F.col("_v").alias("v"), ((F.col("before") + (F.col("ties") + 1) / 2) / F.col("all")).alias("share"))
+    ranks = long.join(shared, ["signal", "v"]).groupBy(key).agg(F.avg("share").alias("_m"), F.count(F.lit(1)).alias("_n"))
     return rows.select(key).join(ranks, key, "left").select(key, F.coalesce("_m", F.lit(1.0)).alias("mean_rank"), F.coalesce("_n", F.lit(0)).alias("signals"))
 
 

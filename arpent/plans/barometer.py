@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from arpent.functions.support import COMMUNE, DEPARTMENT, EPCI, missing_support, quantile, share_pct, supported, with_scopes
+from arpent.functions.support import COMMUNE, DEPARTMENT, EPCI, grouped_quantiles, missing_support, quantile, share_pct, supported, with_scopes
 from arpent.operators.asof import first_after, latest_before
 
 ALL_LEVELS, WIDE_LEVELS = (DEPARTMENT, EPCI, COMMUNE), (DEPARTMENT, EPCI)
@@ -48,11 +48,11 @@ def usable_sales(sales: DataFrame) -> DataFrame:
 def volumes_and_prices(sales: DataFrame, territories: DataFrame, department: str, p: Parameters = Parameters()) -> DataFrame:
     """Volumes and quartiles of the price per square metre by scope, year and type."""
     cells = with_scopes(sales.withColumns({"year": F.year("mutation_date"), "_m2": price_m2()}), territories, department, ALL_LEVELS)
-    out = cells.groupBy("scope_type", "scope_code", "year", "property_type").agg(
-        F.count(F.lit(1)).alias("sales"), F.percentile("_m2", F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75)])).alias("_q")
-    )
+    keys = ["scope_type", "scope_code", "year", "property_type"]
+    quartiles = {f"_q{i}": ("m2", f) for i, f in enumerate((0.25, 0.5, 0.75))}
+    out = grouped_quantiles(cells.select(*keys, "_m2"), keys, [F.count(F.lit(1)).alias("sales")], {"m2": F.col("_m2")}, quartiles)
     n = F.col("sales")
-    q = lambda i: supported(F.bround(F.col("_q")[i], 0), n, p.sales_per_cell)
+    q = lambda i: supported(F.bround(F.col(f"_q{i}"), 0), n, p.sales_per_cell)
     return out.select(
         "scope_type", "scope_code", "year", "property_type", "sales", q(1).alias("median_eur_m2"), q(0).alias("q1_eur_m2"), q(2).alias("q3_eur_m2"),
         missing_support(n, p.sales_per_cell).alias("reason"),
@@ -150,10 +150,10 @@ def margin_by_entry_price(adjusted: DataFrame, territories: DataFrame, departmen
     kept = adjusted.where("fate = 'kept'").withColumn("band", entry_band(F.col("relative_entry"), p.entry_bands))
     scoped = with_scopes(kept, territories, department, WIDE_LEVELS)
     bands = spark.createDataFrame(list(enumerate(band_names(p.entry_bands))), "band int, entry_band string")
-    cells = scoped.groupBy("scope_type", "scope_code", "band").agg(
-        F.count(F.lit(1)).alias("pairs"), quantile("excess", 0.5).alias("_m"), quantile("excess", 0.75).alias("_q"), F.count_if(F.col("excess") > p.excess_threshold).alias("_above")
-    )
-    out = _spine(scoped, bands).join(cells, ["scope_type", "scope_code", "band"], "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
+    keys = ["scope_type", "scope_code", "band"]
+    counts = [F.count(F.lit(1)).alias("pairs"), F.count_if(F.col("excess") > p.excess_threshold).alias("_above")]
+    cells = grouped_quantiles(scoped.select(*keys, "excess"), keys, counts, {"excess": F.col("excess")}, {"_m": ("excess", 0.5), "_q": ("excess", 0.75)})
+    out = _spine(cells, bands).join(cells, ["scope_type", "scope_code", "band"], "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
     n = F.col("pairs")
     return out.select(
         "scope_type", "scope_code", "entry_band", "pairs", supported(F.bround("_m", 2), n, p.repeat_pairs).alias("median_excess"),
@@ -168,11 +168,11 @@ def label_premium(sales: DataFrame, diagnostics: DataFrame, references: DataFram
     labelled = latest_before(houses, diagnostics.where("building_type = 'maison'"), "parcel_id", "mutation_date", "deposited_on", "label", "dpe_number", p.label_lookback_days, "energy_label")
     labelled = labelled.where("energy_label is not null").withColumn("year", F.year("mutation_date")).join(references, ["commune_code", "year"])
     scoped = with_scopes(labelled.withColumn("ratio", price_m2() / F.col("reference_eur_m2")), territories, department, WIDE_LEVELS)
-    cells = scoped.groupBy("scope_type", "scope_code", "energy_label").agg(
-        F.count(F.lit(1)).alias("sales"), *[quantile("ratio", f).alias(f"_{n}") for n, f in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))]
-    )
+    keys = ["scope_type", "scope_code", "energy_label"]
+    quartiles = {f"_{n}": ("ratio", f) for n, f in (("q1", 0.25), ("median", 0.5), ("q3", 0.75))}
+    cells = grouped_quantiles(scoped.select(*keys, "ratio"), keys, [F.count(F.lit(1)).alias("sales")], {"ratio": F.col("ratio")}, quartiles)
     labels = sales.sparkSession.createDataFrame([(x,) for x in "ABCDEFG"], "energy_label string")
-    out = _spine(scoped, labels).join(cells, ["scope_type", "scope_code", "energy_label"], "left").withColumn("sales", F.coalesce("sales", F.lit(0)))
+    out = _spine(cells, labels).join(cells, ["scope_type", "scope_code", "energy_label"], "left").withColumn("sales", F.coalesce("sales", F.lit(0)))
     n = F.col("sales")
     return out.select(
         "scope_type", "scope_code", "energy_label", "sales", *[supported(F.bround(f"_{x}", 2), n, p.label_sales).alias(f"{x}_ratio") for x in ("q1", "median", "q3")],
@@ -236,7 +236,8 @@ def extension_effect(pairs: DataFrame, department: str, p: Parameters = Paramete
     windows = F.array(F.when(F.col("days") <= p.repeat_max_days, F.lit("short")), F.lit("all"))
     wider = pairs.where("exit_surface_m2 > entry_surface_m2").withColumn("window", F.explode(windows)).where("window is not null")
     m2 = (F.col("exit_price_eur") / F.col("exit_surface_m2")) / (F.col("entry_price_eur") / F.col("entry_surface_m2"))
-    cells = wider.groupBy("window").agg(F.count(F.lit(1)).alias("pairs"), quantile(F.col("exit_price_eur") / F.col("entry_price_eur"), 0.5).alias("_r"), quantile(m2, 0.5).alias("_m"))
+    ratios = wider.select("window", (F.col("exit_price_eur") / F.col("entry_price_eur")).alias("r"), m2.alias("m"))
+    cells = grouped_quantiles(ratios, ["window"], [F.count(F.lit(1)).alias("pairs")], {"r": F.col("r"), "m": F.col("m")}, {"_r": ("r", 0.5), "_m": ("m", 0.5)})
     spine = pairs.sparkSession.createDataFrame([("short",), ("all",)], "window string")
     out = spine.join(cells, "window", "left").withColumn("pairs", F.coalesce("pairs", F.lit(0)))
     n = F.col("pairs")

@@ -242,8 +242,10 @@ _YEARS = "(days / 365.25)"
 round(quantile_cont(pow(exit_price_eur / entry_price_eur, 1 / {_YEARS}), 0.5), 4) AS median_annual FROM pairs""")
 def probe_repeat_sales(spark, sf):
     years, ratio = F.col("days") / 365.25, F.col("exit_price_eur") / F.col("entry_price_eur")
-    m = lambda c, name: F.round(B.quantile(c, 0.5), 4).alias(name)
-    return _pairs(spark, sf).agg(F.count(F.lit(1)).alias("n"), m(years, "median_years"), m(ratio, "median_ratio"), m(F.pow(ratio, 1 / years), "median_annual"))
+    rows = _pairs(spark, sf).select(years.alias("years"), ratio.alias("ratio"))
+    values = {"years": F.col("years"), "ratio": F.col("ratio"), "annual": F.pow("ratio", 1 / F.col("years"))}
+    out = B.grouped_quantiles(rows, [], [F.count(F.lit(1)).alias("n")], values, {f"median_{v}": (v, 0.5) for v in values})
+    return out.select("n", *[F.round(f"median_{v}", 4).alias(f"median_{v}") for v in values])
 
 
 _BAND = f"CASE WHEN {_YEARS} < 1 THEN 'under 1' WHEN {_YEARS} < 3 THEN '1 to 3' ELSE '3 and more' END"
@@ -253,15 +255,17 @@ _BAND = f"CASE WHEN {_YEARS} < 1 THEN 'under 1' WHEN {_YEARS} < 3 THEN '1 to 3'
 round_even(100.0::DOUBLE * count(*) FILTER (WHERE entry_surface_m2 <> exit_surface_m2) / count(*), 1) AS changed_surface_pct FROM pairs GROUP BY 1""")
 def probe_holding_bands(spark, sf):
     ratio = F.col("exit_price_eur") / F.col("entry_price_eur")
-    rows = _pairs(spark, sf).withColumn("holding_band", F.expr(_BAND)).groupBy("holding_band")
-    out = rows.agg(F.count(F.lit(1)).alias("n"), F.round(B.quantile(ratio, 0.25), 4).alias("q1"), F.round(B.quantile(ratio, 0.75), 4).alias("q3"), F.count_if(F.col("entry_surface_m2") != F.col("exit_surface_m2")).alias("_c"))
-    return out.withColumn("changed_surface_pct", B.share_pct(F.col("_c"), F.col("n"))).drop("_c")
+    rows = _pairs(spark, sf).select(F.expr(_BAND).alias("holding_band"), ratio.alias("ratio"), (F.col("entry_surface_m2") != F.col("exit_surface_m2")).alias("changed"))
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if("changed").alias("_c")]
+    out = B.grouped_quantiles(rows, ["holding_band"], counts, {"ratio": F.col("ratio")}, {"q1": ("ratio", 0.25), "q3": ("ratio", 0.75)})
+    return out.select("holding_band", "n", F.round("q1", 4).alias("q1"), F.round("q3", 4).alias("q3"), B.share_pct(F.col("_c"), F.col("n")).alias("changed_surface_pct"))
 
 
 @query("probe_excess_by_holding", f"""{BASE}, {REFERENCES}, {PAIRS}, {ADJUSTED} SELECT {_BAND} AS holding_band, count(*) AS n, round(quantile_cont(excess, 0.5), 4) AS median_excess FROM adjusted WHERE excess IS NOT NULL GROUP BY 1""")
 def probe_excess_by_holding(spark, sf):
     rows = B.adjusted_pairs(_pairs(spark, sf), B.reference_medians(sales(spark, sf), P), P).where("excess is not null").withColumn("holding_band", F.expr(_BAND))
-    return rows.groupBy("holding_band").agg(F.count(F.lit(1)).alias("n"), F.round(B.quantile("excess", 0.5), 4).alias("median_excess"))
+    out = B.grouped_quantiles(rows.select("holding_band", "excess"), ["holding_band"], [F.count(F.lit(1)).alias("n")], {"excess": F.col("excess")}, {"m": ("excess", 0.5)})
+    return out.select("holding_band", "n", F.round("m", 4).alias("median_excess"))
 
 
 @query("probe_supported_communes", f"{BASE}, {PAIRS}, n AS (SELECT commune_code, count(*) AS n FROM pairs GROUP BY 1) SELECT count(*) AS communes, count(*) FILTER (WHERE n >= 300) AS at_least_300, count(*) FILTER (WHERE n >= 330) AS at_least_330 FROM n")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from arpent.functions import scalars as X
-from arpent.functions.support import weighted_quantile
+from arpent.functions.support import grouped_quantiles, weighted_quantile
 from arpent.operators import matching as M, ranking as R, sales as T
 from arpent.operators.asof import first_after
 from arpent.plans.catalog import SALES, query, relation, sales, table
@@ -232,9 +232,10 @@ def agg_filtered_counts(spark, sf):
 
 @query("agg_distribution", "SELECT p_type, count(*) AS n, count(*) FILTER (WHERE p_size = 1) AS ones, min(p_size)::DOUBLE AS lo, round(quantile_cont(p_size::DOUBLE, 0.1), 4) AS p10, round(quantile_cont(p_size::DOUBLE, 0.25), 4) AS q1, round(quantile_cont(p_size::DOUBLE, 0.5), 4) AS median, round(quantile_cont(p_size::DOUBLE, 0.75), 4) AS q3, round(quantile_cont(p_size::DOUBLE, 0.9), 4) AS p90, max(p_size)::DOUBLE AS hi, sum(p_size)::BIGINT AS total FROM part GROUP BY 1")
 def agg_distribution(spark, sf):
-    q = F.percentile(F.col("p_size").cast("double"), F.array(*[F.lit(x) for x in (0.1, 0.25, 0.5, 0.75, 0.9)]))
-    out = table(spark, sf, "part").groupBy("p_type").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("p_size") == 1).alias("ones"), F.min("p_size").cast("double").alias("lo"), q.alias("_q"), F.max("p_size").cast("double").alias("hi"), F.sum("p_size").alias("total"))
-    return out.select("p_type", "n", "ones", "lo", *[F.round(F.col("_q")[i], 4).alias(x) for i, x in enumerate(("p10", "q1", "median", "q3", "p90"))], "hi", "total")
+    size, wanted = F.col("p_size").cast("double"), {"p10": 0.1, "q1": 0.25, "median": 0.5, "q3": 0.75, "p90": 0.9}
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("p_size") == 1).alias("ones"), F.min("p_size").cast("double").alias("lo"), F.max("p_size").cast("double").alias("hi"), F.sum("p_size").alias("total")]
+    out = grouped_quantiles(table(spark, sf, "part").select("p_type", "p_size"), ["p_type"], counts, {"size": size}, {k: ("size", f) for k, f in wanted.items()})
+    return out.select("p_type", "n", "ones", "lo", *[F.round(k, 4).alias(k) for k in wanted], "hi", "total")
 
 
 @query("agg_weighted_quantile", "SELECT l_suppkey, min(l_quantity) AS weighted_median FROM (SELECT *, sum(w) OVER (PARTITION BY l_suppkey ORDER BY l_quantity, w ROWS UNBOUNDED PRECEDING) AS run, sum(w) OVER (PARTITION BY l_suppkey) AS whole FROM (SELECT l_suppkey, l_quantity, l_linenumber::BIGINT AS w FROM lineitem)) WHERE run >= 0.5 * whole GROUP BY 1")

@@ -7,14 +7,19 @@ short, fixed lists.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
+
+from arpent.operators.ranking import running_counts
 
 NEUTRAL = 0.5
 
 
 def local_percentiles(inputs: DataFrame, segment: str, feature: str, value: str) -> DataFrame:
-    """Percentile of each value among those of its segment and feature."""
-    return inputs.withColumn("local_percentile", F.percent_rank().over(Window.partitionBy(segment, feature).orderBy(value)))
+    """Percentile of each value among those of its segment and feature: the rows before it over all rows but one. A null
+    value comes first; a segment may be of any size."""
+    ranks = running_counts(inputs, [segment, feature], value).select("_g", "_v", F.coalesce(F.try_divide("before", F.col("all") - 1), F.lit(0.0)).alias("local_percentile"))
+    rows = inputs.withColumn("_s", F.struct(segment, feature))
+    return rows.join(ranks, (F.col("_s") == F.col("_g")) & F.col(value).eqNullSafe(F.col("_v")), "left").drop("_s", "_g", "_v")
 
 
 def normalised() -> Column:
