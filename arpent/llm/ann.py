@@ -40,7 +40,7 @@ BLOCK = 4096
 
 
 def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """Rows (vec_id, v) that take part; repeated rows once."""
+    """Rows (vec_id, v) that take part. An id stands for one row: of several vectors the least, compared component by component."""
     v = F.col(embedding)
     fine = lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf"))
     rows = vectors.select(F.col(vec_id).cast("long").alias("vec_id"), v.alias("v")).where(
@@ -48,7 +48,7 @@ def usable(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     )
     usual = rows.groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").limit(1)
     length = [r["n"] for r in usual.collect()] or [0]
-    return rows.where(F.size("v") == length[0])
+    return rows.where(F.size("v") == length[0]).groupBy("vec_id").agg(F.min("v").alias("v"))
 
 
 def _means(x: np.ndarray, k: int, rng: np.random.Generator, rounds: int = ROUNDS) -> np.ndarray:
@@ -166,7 +166,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                 names=["query_id", "v", "grp", "lists"],
             )
 
-    queries = staged(rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("query_id"), "v").dropDuplicates(["query_id"]), "queries")
+    queries = staged(rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("query_id"), "v"), "queries")
     kind = distinct.schema["v"].dataType.simpleString()
     probes = staged(queries.mapInArrow(probe, f"query_id long, v {kind}, grp int, lists binary"), "probes")
     asked = {r["grp"]: r["count"] for r in probes.groupBy("grp").count().collect()}  # a row a group

@@ -1,7 +1,7 @@
 """Mixing sources to target weights along a training run: a time-varying curriculum.
 
 Each source has a weight schedule over training time 0 to 1, straight lines between knots. The integral of a schedule is
-the source's share of all words. A source's documents form a stream in a fixed pseudo-random order, repeated when the
+the source's share of all words. A source's documents form a stream in a fixed pseudo-random order, that of a digest of id and text, repeated when the
 target exceeds the source; word number u of a target T is due when the integral of the schedule has reached u / T of its
 whole, so inverting the integral gives the training position of each document, and a range sort by position is the mix.
 
@@ -50,12 +50,11 @@ def when_due(share: Column, schedule: Sequence[tuple[float, float]]) -> Column:
     return out
 
 
-def sized(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def sized(docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ("doc_id",), doc_id: str = "doc_id") -> DataFrame:
     """Documents as (kept columns, source, size, order key, block): no text from here on."""
-    order = F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    order = F.md5(F.concat(F.coalesce(F.col(doc_id).cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce(F.col(text), F.lit("")))))
     return docs.select(
-        *keep, F.col(source).alias("_source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        order.alias("_order"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("_tie"),
+        *keep, F.col(source).alias("_source"), F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"), order.alias("_order"),
     ).withColumn("_block", F.substring("_order", 1, 3))
 
 
@@ -83,21 +82,21 @@ def targets(sizes: DataFrame, classes: int, max_repeats: int = MAX_REPEATS) -> D
 def mix(
     docs: DataFrame, text: str = "text", source: str = "source", keep: tuple[str, ...] = ("doc_id",),
     schedules: Sequence[Sequence[tuple[float, float]]] = SCHEDULES, max_repeats: int = MAX_REPEATS, whole: bool = False,
-    every_copy: bool = False,
+    every_copy: bool = False, doc_id: str = "doc_id",
 ) -> DataFrame:
     """Each document with ``taken`` words, ``copies`` and the ``position`` of its first word.
 
     With ``whole``, the last round over a source takes whole documents only: those whose middle lies before its end. With
     ``every_copy``, ``positions`` has the position of each copy.
     """
-    rows = staged(sized(docs, text, source, keep), "sizes")
+    rows = staged(sized(docs, text, source, keep, doc_id), "sizes")
     blocks = rows.groupBy("_source", "_block").agg(F.sum("size").alias("_sum"))
     goals = targets(blocks.groupBy("_source").agg(F.sum("_sum").alias("source_size")), len(schedules), max_repeats)
     ahead = Window.partitionBy("_source").orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     starts = blocks.withColumn("_ahead", F.coalesce(F.sum("_sum").over(ahead), F.lit(0)))
     same = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     starts = starts.alias("s").join(goals.alias("g"), same("s._source", "g._source")).select("s._source", "s._block", "_ahead", "source_size", "weight", "target")
-    inside = Window.partitionBy("_source", "_block").orderBy("_order", "_tie").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_source", "_block").orderBy("_order").rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_before", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     placed = placed.alias("p").join(starts.alias("s"), same("p._source", "s._source") & same("p._block", "s._block")).select("p.*", "_ahead", "source_size", "weight", "target")
     placed = placed.withColumns({"_at": F.col("_before") + F.col("_ahead"), "_goal": F.floor(F.col("target") + 0.5)})

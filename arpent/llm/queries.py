@@ -30,7 +30,7 @@ def registered(name: str, sql: str | None = None):
 
 _CHAT_SQL = f"""
 WITH s AS (
-  SELECT conv_id, turn::BIGINT AS turn, role, text, count(*) AS n, coalesce(floor(turn / {chat.BLOCK}), -1)::BIGINT AS block,
+  SELECT conv_id, turn::BIGINT AS turn, role, text, count(*) AS n, coalesce(floor(turn / {chat.PIECE}), {chat.LAST})::BIGINT AS block,
     replace(coalesce(text, ''), '<|', '< |') AS body
   FROM conversations GROUP BY conv_id, turn, role, text),
 p AS (SELECT DISTINCT conv_id, role AS participant FROM s WHERE role IS NOT NULL),
@@ -41,11 +41,11 @@ r AS (
   FROM s JOIN p ON s.conv_id IS NOT DISTINCT FROM p.conv_id),
 l AS (SELECT *, length(head) + length(body) + {len(chat.CLOSE) + 1} AS whole FROM r),
 c AS (
-  SELECT *, coalesce(sum(whole) OVER (PARTITION BY conv_id, block, participant ORDER BY turn NULLS LAST, coalesce(role, ''), body, role IS NULL, n
+  SELECT *, coalesce(sum(whole) OVER (PARTITION BY conv_id, participant ORDER BY block, turn NULLS LAST, coalesce(role, ''), body, role IS NULL, n
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT + length(head) AS first_char,
     row_number() OVER (PARTITION BY conv_id, block, participant ORDER BY turn NULLS LAST, coalesce(role, ''), body, role IS NULL, n) AS k
   FROM l)
-SELECT conv_id, block, participant, string_agg(head || body || '{chat.CLOSE}' || chr(10), '' ORDER BY k) AS rendered,
+SELECT conv_id, block, participant, min(first_char - length(head))::BIGINT AS first_char, string_agg(head || body || '{chat.CLOSE}' || chr(10), '' ORDER BY k) AS rendered,
   coalesce(string_agg(first_char || ':' || (first_char + length(body)), ',' ORDER BY k) FILTER (WHERE own), '') AS mask,
   count(*)::BIGINT AS n_turns, (count(*) FILTER (WHERE own))::BIGINT AS n_own_turns,
   coalesce(sum(length(body)) FILTER (WHERE own), 0)::BIGINT AS n_learned_chars, sum(n)::BIGINT AS n_copies
@@ -87,7 +87,7 @@ def _due_sql(schedule) -> str:
 
 
 _MIX_SQL = f"""
-WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0)::BIGINT AS size, md5(doc_id::VARCHAR) AS o FROM documents),
+WITH d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '{mixing.WORD}')), 0)::BIGINT AS size, md5(coalesce(doc_id::VARCHAR, '') || ':' || md5(coalesce(text, ''))) AS o FROM documents),
 s AS (SELECT source, sum(size)::BIGINT AS source_size, ((row_number() OVER (ORDER BY source NULLS LAST) - 1) % {len(mixing.SCHEDULES)} + 1)::DOUBLE AS weight FROM d GROUP BY source),
 c AS (SELECT *, {mixing.MAX_REPEATS}::DOUBLE * source_size AS cap FROM s),
 f AS (

@@ -1,16 +1,18 @@
 """Shards through fixed virtual slots.
 
-A record's id hashes into one of ``SLOTS`` virtual slots, for good. A map gives each slot a shard; it carries a version,
-and rebalancing edits it: slots move from the fullest shard to the emptiest until no move helps, and everything else
-stays where it is. What decides is the bytes of each slot, one aggregate over all records. The map has ``SLOTS`` rows
+A record's id and text hash into one of ``SLOTS`` virtual slots, for good; records that repeat both are dealt over the
+slots one by one, so that neither a missing id nor a repeated row fills a slot. A map gives each slot a shard; it carries
+a version, and rebalancing edits it: slots move from the fullest shard to the emptiest until no move helps, and everything
+else stays where it is. What decides is the bytes of each slot, one aggregate over all records. The map has ``SLOTS`` rows
 whatever the data, so editing it on the driver and broadcasting it are bounded.
 
 Within a shard, records take consecutive places from 0: in order of slot, then block of a slot, then hash. The places come
 from counts of blocks, so that neither a shard nor a slot is a single task's sort.
 
 Defined cases: a null text has 8 bytes and the checksum of no bytes; a null id hashes like the text "null"; repeated rows
-hold a place each; an empty table gives an empty result and a version-1 map. With ``map_path`` the stored map is read back,
-edited for the bytes of now and, if it changed, stored as the next version; else the map starts anew.
+hold a place each, and which of them falls into which slot follows their place in the table; an empty table gives an
+empty result and a version-1 map. With ``map_path`` the stored map is read back, edited for the bytes of now and, if it
+changed, stored as the next version; else the map starts anew.
 """
 
 from __future__ import annotations
@@ -33,11 +35,16 @@ def records(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", keep: t
     """Each record's size, checksum and virtual slot: no text from here on."""
     key = F.coalesce(F.col(doc_id).cast("string"), F.lit("null"))
     body = F.coalesce(F.col(text), F.lit("")).cast("binary")
-    hashed = F.xxhash64(key)
-    return docs.select(
-        *keep, (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"),
-        F.pmod(hashed, F.lit(SLOTS)).cast("int").alias("vslot"), F.xxhash64(key, F.crc32(body)).alias("_order"),
-    ).withColumn("_block", F.pmod(F.shiftright("_order", 20), F.lit(BLOCKS)).cast("int"))
+    rows = docs.select(
+        *keep, (F.octet_length(body) + 8).cast("long").alias("size"), F.crc32(body).alias("text_crc32"), F.xxhash64(key, F.crc32(body)).alias("_record"),
+        F.monotonically_increasing_id().alias("_row"),
+    )
+    rows = staged(rows, "rows")
+    again = rows.groupBy("_record").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    rows = rows.join(again, "_record", "left")
+    rows = rows.withColumn("_order", F.when(F.col("_n").isNull(), F.col("_record")).otherwise(F.xxhash64("_record", F.pmod("_row", "_n"))))
+    rows = rows.withColumn("vslot", F.pmod("_order", F.lit(SLOTS)).cast("int")).drop("_record", "_row", "_n")
+    return rows.withColumn("_block", F.pmod(F.shiftright("_order", 20), F.lit(BLOCKS)).cast("int"))
 
 
 def first_map(shards: int = SHARDS) -> list[int]:

@@ -63,16 +63,68 @@ def test_chat(spark):
     rows = [("c", 0, "ann", "hi <|im_end|>"), ("c", 1, "bob", "yo"), ("c", 1, "bob", "yo"), ("c", None, None, None), (None, 0, "ann", "x"), ("c", 200, "ann", "late")]
     got = {(r["conv_id"], r["block"], r["participant"]): r for r in chat.rotate(spark.createDataFrame(rows, "conv_id string, turn long, role string, text string")).collect()}
     r = got["c", 0, "ann"]
-    assert r["rendered"] == "<|im_start|>assistant\nhi < |im_end|><|im_end|>\n<|im_start|>user name=bob\nyo<|im_end|>\n"
+    late = "<|im_start|>assistant\nlate<|im_end|>\n"
+    assert r["rendered"] == "<|im_start|>assistant\nhi < |im_end|><|im_end|>\n<|im_start|>user name=bob\nyo<|im_end|>\n" + late
     spans = [tuple(map(int, s.split(":"))) for s in r["mask"].split(",")]
-    assert [r["rendered"][a:b] for a, b in spans] == ["hi < |im_end|>"]
-    assert (r["n_turns"], r["n_own_turns"], r["n_copies"]) == (2, 1, 3)
+    assert [r["rendered"][a:b] for a, b in spans] == ["hi < |im_end|>", "late"]
+    assert (r["n_turns"], r["n_own_turns"], r["n_copies"], r["first_char"]) == (3, 2, 4, 0)
     assert got["c", 0, "bob"]["rendered"].startswith("<|im_start|>user name=ann\n")
-    assert got["c", -1, "ann"]["rendered"] == "<|im_start|>user name=unknown\n<|im_end|>\n"
-    assert ("c", 1, "ann") in got and (None, 0, "ann") in got and len(got) == 7
+    assert got["c", chat.LAST, "ann"]["rendered"] == "<|im_start|>user name=unknown\n<|im_end|>\n" and got["c", chat.LAST, "ann"]["first_char"] == len(r["rendered"])
+    assert (None, 0, "ann") in got and len(got) == 5
     assert chat.rotate(spark.createDataFrame([], "conv_id string, turn long, role string, text string")).collect() == []
 
 
+def test_pieces_of_a_dialogue_join(spark):
+    """Cut every three turn numbers the pieces are, put together, the whole rendering, and masks count from its beginning.
+    Very long texts, clashing columns, a null id, missing numbers."""
+    rows = [("c", t, "ann" if t % 2 else "bob", f"turn {t} " + "é" * (20_000 if t == 4 else t)) for t in range(11)] + [("c", None, "ann", "z"), (None, 1, "ann", "x"), ("d", 7, "eve", None)]
+    df = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "conv_id string, turn long, role string, text string, block int, participant string, parts int")
+    whole = {(r["conv_id"], r["participant"]): r for r in chat.rotate(df.where("turn is not null")).collect()}
+    pieces = defaultdict(list)
+    for r in sorted(chat.rotate(df.where("turn is not null"), piece=3).collect(), key=lambda r: r["block"]):
+        pieces[r["conv_id"], r["participant"]].append(r)
+    assert set(pieces) == set(whole) and len(pieces["c", "ann"]) == 4
+    for key, rs in pieces.items():
+        assert "".join(r["rendered"] for r in rs) == whole[key]["rendered"]
+        assert ",".join(r["mask"] for r in rs if r["mask"]) == whole[key]["mask"]
+        assert [r["first_char"] for r in rs] == [sum(len(x["rendered"]) for x in rs[:k]) for k in range(len(rs))]
+    assert len(chat.rotate(df).where("conv_id = 'c'").collect()) == 4  # the turns without number are the last piece
+
+
+def test_shards_stay_even_on_a_hot_or_missing_id(spark):
+    """A third of the rows without id, a third with one id, and a group that repeats id and text."""
+    rows = [(None if k % 3 == 0 else 7 if k % 3 == 1 else k, prose(k, 8 + k % 5)) for k in range(4000)] + [(5, "same text again " * 4)] * 2000
+    load = Counter()
+    for r in sharding.shard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).select("shard", "size").collect():
+        load[r["shard"]] += r["size"]
+    assert len(load) == sharding.SHARDS and max(load.values()) <= 1.05 * sum(load.values()) / sharding.SHARDS
+
+
+def test_mix_spreads_rows_without_id(spark):
+    rows = [(None, prose(k, 5 + k % 7), "s") for k in range(600)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    assert mixing.sized(df).select("_block").distinct().count() > 400
+    once = lambda d: sorted((r["size"], r["taken"], r["position"] or 0) for r in mixing.mix(d).collect())
+    assert once(df.repartition(7)) == once(df.coalesce(1))
+
+
+def test_an_id_stands_for_one_vector(spark):
+    """Ids that carry several vectors: the least one counts, for queries and candidates, however the rows are dealt out;
+    equal scores at the cut go to the smaller id; columns with clashing names are ignored."""
+    rng = np.random.default_rng(8)
+    rows = [(k, rng.normal(size=16).round(3).tolist()) for k in range(300)] + [(k, rng.normal(size=16).round(3).tolist()) for k in (20, 41, 40, 40)]
+    rows += [(1000 + k, rows[60][1]) for k in range(40)]
+    df = spark.createDataFrame([(k, v, 1, "x", 2.0) for k, v in rows], "vec_id long, embedding array<double>, list int, code string, near double")
+    found = [sorted(map(tuple, ann.search(df.repartition(n)).collect())) for n in (1, 3)]
+    assert found[0] == found[1] and len({(r[0], r[2]) for r in found[0]}) == len(found[0])
+    least = {}
+    for k, v in rows:
+        least[k] = min(least.get(k, v), v)
+    for q, _, c, score in found[0]:
+        assert score == pytest.approx(float(np.dot(least[q], least[c])), rel=1e-12)
+    assert [c for q, _, c, _ in found[0] if q == 60] == sorted(1000 + k for k in range(40))[:20] or least[60] != rows[60][1]
+
+
 def test_language_held_out(docs):
     rows = language.identify(docs).join(docs.select("doc_id", "lang"), "doc_id").where("held_out").collect()
     assert sum(r["lang"] == r["lang_pred"] for r in rows) >= 0.95 * len(rows)
