@@ -244,6 +244,17 @@ def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
     return _cut(docs.select(text_key(text).alias("node"), F.col(text).alias("_text")), "_text", "keys array<long>, n long, bits binary", columns)
 
 
+def _folded(texts: DataFrame) -> DataFrame:
+    """Rows (node, _text) with each node once a batch, so that a text with very many copies is few rows before they meet."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            _, first = np.unique(batch.column("node").to_numpy(), return_index=True)
+            yield batch if len(first) == batch.num_rows else batch.take(pa.array(np.sort(first)))
+
+    return texts.where("node is not null").mapInArrow(run, "node long, _text string")
+
+
 def word_rows(texts: DataFrame) -> DataFrame:
     """(node, words) of rows (node, _text): the words of each text as 32-bit numbers, in bytes."""
 
@@ -255,27 +266,42 @@ def word_rows(texts: DataFrame) -> DataFrame:
 
 
 def edits_within(a: np.ndarray, b: np.ndarray, limit: int) -> bool:
-    """Whether at most ``limit`` words must be put in, taken out or replaced. A column of the table of distances is held as
-    the bits of two numbers, rises and falls, so a word of ``b`` costs a few operations on them (Myers, 1999)."""
+    """Whether at most ``limit`` words must be put in, taken out or replaced, by an alignment within the band of that width.
+
+    With so few edits the alignment never leaves the diagonals within ``limit`` of the main one. A column of the table of
+    distances is held in that band only, as the bits of two numbers, rises and falls, which slide down a row with each
+    word of ``b`` (Myers, 1999; Hyyro, 2003). The cost is followed along the lower edge of the band, then along the last
+    row; outside the band it could only be too high, so the answer is exact."""
+    if len(a) < len(b):
+        a, b = b, a
     n, m = len(a), len(b)
-    if abs(n - m) > limit:
+    if n - m > limit:
         return False
-    if not n or not m:
-        return True
+    if limit >= n or not m:
+        return limit >= n
     places: dict[int, int] = {}
     for i, x in enumerate(a.tolist()):
         places[x] = places.get(x, 0) | 1 << i
-    full, last = (1 << n) - 1, 1 << (n - 1)
-    rise, fall, cost = full, 0, n
-    for left, y in zip(range(m - 1, -1, -1), b.tolist()):
-        same = places.get(y, 0)
-        level = ((((same & rise) + rise) ^ rise) | same | fall) & full
-        up, down = fall | (full ^ (level | rise)), level & rise
-        cost += 1 if up & last else -1 if down & last else 0
-        if cost - left > limit:  # each word left takes off one at most
-            return False
-        up, down = (up << 1 | 1) & full, (down << 1) & full
-        rise, fall = down | (full ^ (level | up)), up & level
+    width = 2 * limit + 1  # bit k of column j is row j - limit + k
+    full, edge = (1 << width) - 1, 1 << 2 * limit
+    rise, fall, cost = full ^ ((1 << limit) - 1), 0, limit  # column 0, seen from the band of column 1
+    most = limit + m - (n - limit)
+    for j, y in enumerate(b.tolist(), 1):
+        found, at = places.get(y, 0), j - limit - 1
+        same = (found >> at if at > 0 else found << -at) & full
+        level = (((same & rise) + rise) ^ rise | same | fall) & full
+        up, down = fall | full ^ (level | rise), level & rise
+        if j <= n - limit:  # the lower edge still runs along a diagonal
+            cost += not level & edge
+            if cost > most:
+                return False
+        else:  # the last row: one bit higher with each column
+            edge >>= 1
+            cost += 1 if up & edge else -1 if down & edge else 0
+            if cost - (m - j) > limit:  # each word left takes off one at most
+                return False
+        level >>= 1
+        rise, fall = down | full ^ (level | up), level & up
     return cost <= limit
 
 
@@ -381,7 +407,7 @@ def _labels_of(docs: DataFrame, text: str, threshold: float) -> DataFrame:
     shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
     members = staged(keyed.join(shared, "bucket"), "members")
     wanted = members.select("node").distinct()
-    texts = docs.select(text_key(text).alias("node"), F.col(text).alias("_text")).join(wanted, "node", "left_semi")
+    texts = _folded(docs.select(text_key(text).alias("node"), F.col(text).alias("_text"))).join(wanted, "node", "left_semi")
     texts = staged(word_rows(texts.dropDuplicates(["node"])), "words")  # the join has brought equal texts together
     pairs = members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct()
     links = staged(_verified(pairs, texts, threshold), "links")

@@ -149,6 +149,16 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def test_a_long_pair_at_the_threshold_stays_in_its_band():
+    """20,000 words with exactly as many edits as the threshold allows, and with one more."""
+    a = np.random.default_rng(1).integers(0, 2000, 20_000).astype(np.uint32)
+    at = np.random.default_rng(2).choice(20_000, 4_001, replace=False)
+    b, c = a.copy(), a.copy()
+    b[at[:4_000]] = c[at] = 9_999
+    assert neardup.similar(a, b) and not neardup.similar(a, c)
+    assert neardup.edits_within(a, np.delete(a, at[:4_000]), 4_000) and not neardup.edits_within(a, np.delete(a, at), 4_000)
+
+
 def test_banded_alignment_is_exact():
     rnd = random.Random(5)
     for _ in range(400):
