@@ -244,7 +244,7 @@ def sketched(docs: DataFrame, text: str = "text") -> DataFrame:
     return _cut(docs.select(text_key(text).alias("node"), F.col(text).alias("_text")), "_text", "keys array<long>, n long, bits binary", columns)
 
 
-def _folded(texts: DataFrame) -> DataFrame:
+def _once_a_batch(texts: DataFrame) -> DataFrame:
     """Rows (node, _text) with each node once a batch, so that a text with very many copies is few rows before they meet."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -407,7 +407,7 @@ def _labels_of(docs: DataFrame, text: str, threshold: float) -> DataFrame:
     shared = keyed.groupBy("bucket").agg(F.min("node").alias("hub"), F.max("node").alias("last")).where("hub < last").drop("last")
     members = staged(keyed.join(shared, "bucket"), "members")
     wanted = members.select("node").distinct()
-    texts = _folded(docs.select(text_key(text).alias("node"), F.col(text).alias("_text"))).join(wanted, "node", "left_semi")
+    texts = _once_a_batch(docs.select(text_key(text).alias("node"), F.col(text).alias("_text"))).join(wanted, "node", "left_semi")
     texts = staged(word_rows(texts.dropDuplicates(["node"])), "words")  # the join has brought equal texts together
     pairs = members.where("node <> hub").select(F.col("hub").alias("src"), F.col("node").alias("dst")).distinct()
     links = staged(_verified(pairs, texts, threshold), "links")
