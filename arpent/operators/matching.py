@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 
-def resolve(candidates: DataFrame, group: str, confidence: str, tie: str, certain: float = 0.9, reject: float = 0.5, delta: float = 0.05, allow_multiple: bool = False) -> DataFrame:
+def resolve(candidates: DataFrame, group: str, confidence: str, tie: str, certain: float = 0.9, reject: float = 0.5, delta: float = 0.05, allow_multiple: bool = False, critical: str | None = None) -> DataFrame:
     """A decision for each candidate of a group. The best is certain from ``certain`` on, ambiguous from ``reject`` on;
-    candidates within ``delta`` of a best that has a rival that close are all ambiguous."""
+    candidates within ``delta`` of a best that has a rival that close are all ambiguous. With ``critical``, a column of truth
+    values, ``blocks_publication`` marks the critical candidates that stay ambiguous; null is not critical."""
     order = Window.partitionBy(group).orderBy(F.desc(confidence), tie)
     whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     rows = candidates.withColumns({"_k": F.row_number().over(order), "_top": F.max(confidence).over(whole), "_second": F.nth_value(confidence, 2).over(whole)})
@@ -20,7 +21,8 @@ def resolve(candidates: DataFrame, group: str, confidence: str, tie: str, certai
         .when((F.col("_k") == 1) & (c >= reject), "ambiguous")
         .otherwise("rejected")
     )
-    return rows.withColumn("decision", decision).drop("_k", "_top", "_second")
+    rows = rows.withColumn("decision", decision).drop("_k", "_top", "_second")
+    return rows.withColumn("blocks_publication", F.coalesce(critical, F.lit(False)) & (F.col("decision") == "ambiguous")) if critical else rows
 
 
 def unique_winner(shares: DataFrame, key: str, share: str) -> DataFrame:

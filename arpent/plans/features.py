@@ -65,13 +65,28 @@ def market_features(decisions: DataFrame, subject: str, min_trend_count: int = 6
     return out.select(subject, "comparables", "weighted_median_m2", spread.alias("dispersion_m2"), "median_age_months", "trend", F.when(spread.isNull(), "source_value_missing").alias("dispersion_missing"), F.when(F.col("trend").isNull(), "source_value_missing").alias("trend_missing"))
 
 
-def select_assessment(direct: DataFrame, by_address: DataFrame, subject: str) -> DataFrame:
-    """The latest direct diagnostic; else the only address candidate; else ambiguous. Columns: subject, number, day, label."""
+def eligible_assessments(rows: DataFrame, snapshot: str) -> DataFrame:
+    """Diagnostics that stand on the day of the snapshot: deposited, not simulated, made by then, not cancelled by then.
+    Columns: deposited, simulated, day, cancelled_on; a null flag counts as not deposited and not simulated."""
+    day = F.lit(snapshot).cast("date")
+    standing = F.col("cancelled_on").isNull() | (F.col("cancelled_on") > day)
+    return rows.where(F.coalesce("deposited", F.lit(False)) & ~F.coalesce("simulated", F.lit(False)) & (F.col("day") <= day) & standing)
+
+
+def select_assessment(direct: DataFrame, by_address: DataFrame, subject: str, subjects: DataFrame | None = None) -> DataFrame:
+    """The latest direct diagnostic (ties: largest number); else the only address candidate; else none, with the reason:
+    ``ambiguous_match`` for several at the address, ``source_value_missing`` for none. Columns: subject, number, day. With
+    ``subjects`` each of them is a row, else those with a candidate."""
     d = direct.groupBy(subject).agg(F.max_by("number", F.struct("day", "number")).alias("_d"))
     a = by_address.groupBy(subject).agg(F.count_distinct("number").alias("_n"), F.min("number").alias("_a"))
     out = d.join(a, subject, "full_outer")
-    chosen = F.coalesce("_d", F.when(F.col("_n") == 1, F.col("_a")))
-    return out.select(subject, chosen.alias("number"), F.when(F.col("_d").isNotNull(), "direct").when(F.col("_n") == 1, "single_address").otherwise("ambiguous").alias("choice"))
+    if subjects is not None:
+        out = subjects.select(subject).distinct().join(out, subject, "left")
+    single = F.coalesce(F.col("_n") == 1, F.lit(False))
+    chosen = F.coalesce("_d", F.when(single, F.col("_a")))
+    choice = F.when(F.col("_d").isNotNull(), "direct").when(single, "single_address")
+    reason = F.when(chosen.isNull(), F.when(F.col("_n") > 1, "ambiguous_match").otherwise("source_value_missing"))
+    return out.select(subject, chosen.alias("number"), choice.alias("choice"), reason.alias("missing_reason"))
 
 
 def choose_observation(rows: DataFrame, subject: str, value: str, priority: str, confidence: str) -> DataFrame:
@@ -107,3 +122,14 @@ def risk_features(rows: DataFrame, subject: str) -> DataFrame:
         F.count_if(fine).alias("fine_risks"), F.count_if(~fine).alias("commune_risks"), kinds(fine).alias("fine_kinds"), kinds(~fine).alias("commune_kinds"),
         F.max(F.when(fine, F.col("severity"))).alias("severity"), F.bool_or(~F.col("coverage_known")).alias("coverage_unknown"),
     )
+
+
+def indicators(territories: DataFrame, source: DataFrame, territory: str, code: str) -> DataFrame:
+    """A value for each territory and code of the source: the number of its rows, 0 where a cited territory has none, null
+    with ``commune_not_cited`` where the source does not name the territory. Both sides of the grid are small dimensions."""
+    cells = source.groupBy(territory, code).agg(F.count(F.lit(1)).alias("_n"))
+    grid = territories.select(territory).distinct().crossJoin(source.select(code).distinct())
+    cited = source.select(F.col(territory).alias("_t")).distinct()
+    rows = grid.join(cited, F.col(territory) == F.col("_t"), "left").join(cells, [territory, code], "left")
+    value = F.when(F.col("_t").isNotNull(), F.coalesce("_n", F.lit(0)))
+    return rows.select(territory, code, value.alias("value"), F.when(F.col("_t").isNull(), "commune_not_cited").alias("missing_reason"))

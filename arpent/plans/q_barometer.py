@@ -163,14 +163,14 @@ def bar_extension_effect(spark, sf):
     return B.extension_effect(_pairs(spark, sf), DEP, P)
 
 
-@query("bar_coverage_gaps", f"""{BASE}, a AS (SELECT commune_code, count(*) AS m, count(*) FILTER (WHERE sale_id % 9 = 0) AS u FROM sales WHERE commune_code <> '3' GROUP BY ALL),
-d AS (SELECT commune_code, count(*) AS n, count(*) FILTER (WHERE label IS NULL) AS u FROM diagnostics WHERE commune_code <> '5' GROUP BY ALL),
+@query("bar_coverage_gaps", f"""{BASE}, a AS (SELECT commune_code, count(*) AS m, count(*) FILTER (WHERE sale_id % 9 = 0) AS u FROM sales GROUP BY ALL),
+d AS (SELECT commune_code, count(*) AS n, count(*) FILTER (WHERE label IS NULL) AS u FROM diagnostics GROUP BY ALL),
 j AS (SELECT coalesce(a.commune_code, d.commune_code) AS c, coalesce(m, 0) AS m, coalesce(a.u, 0) AS mu, coalesce(n, 0) AS n, coalesce(d.u, 0) AS nu FROM a FULL JOIN d ON a.commune_code = d.commune_code)
 SELECT 'commune' AS scope_type, c AS scope_code, m AS mutations, mu AS mutations_without_allocatable_price, CASE WHEN m > 0 THEN round_even(100.0::DOUBLE * mu / m, 1) END AS share_without_allocatable_price_pct,
 n AS diagnostics, nu AS diagnostics_without_building, CASE WHEN n > 0 THEN round_even(100.0::DOUBLE * nu / n, 1) END AS share_without_building_pct, CASE WHEN m = 0 OR n = 0 THEN 'no observation' END AS reason FROM j""")
 def bar_coverage_gaps(spark, sf):
-    acts = sales(spark, sf).where("commune_code <> '3'").withColumn("allocatable", F.col("sale_id") % 9 != 0)
-    return B.coverage_gaps(acts, diagnostics(spark, sf).where("commune_code <> '5'").withColumn("attached", F.col("label").isNotNull()))
+    acts = sales(spark, sf).withColumn("allocatable", F.col("sale_id") % 9 != 0)
+    return B.coverage_gaps(acts, diagnostics(spark, sf).withColumn("attached", F.col("label").isNotNull()))
 
 
 @query("bar_strict_conversion", f"""{BASE.replace("WITH sales AS", "WITH every_sale AS")}, sales AS (SELECT * FROM every_sale WHERE property_type = 'Maison'), {COHORT}, s AS ({scoped("cohort")})

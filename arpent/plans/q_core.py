@@ -156,10 +156,10 @@ def join_first_after(spark, sf):
     return first_after(e.where("event_type = 'signup'").drop("event_type"), e.where("event_type = 'purchase'"), "user_id", "ts", "ts", "next_purchase")
 
 
-@query("join_semi_anti", "SELECT c_nationkey, count(*) FILTER (WHERE has) AS with_urgent, count(*) FILTER (WHERE NOT has) AS without_urgent FROM (SELECT c_nationkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT' AND o_totalprice > 400000) AS has FROM customer) GROUP BY 1")
+@query("join_semi_anti", "SELECT c_nationkey, count(*) FILTER (WHERE has) AS with_urgent, count(*) FILTER (WHERE NOT has) AS without_urgent FROM (SELECT c_nationkey, EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_orderpriority = '1-URGENT') AS has FROM customer) GROUP BY 1")
 def join_semi_anti(spark, sf):
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
-    o = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT' and o_totalprice > 400000").select(F.col("o_custkey").alias("c_custkey"))
+    o = table(spark, sf, "orders").where("o_orderpriority = '1-URGENT'").select(F.col("o_custkey").alias("c_custkey"))
     n = lambda how, name: c.join(o, "c_custkey", how).groupBy("c_nationkey").agg(F.count(F.lit(1)).alias(name))
     both = n("left_semi", "with_urgent").join(n("left_anti", "without_urgent"), "c_nationkey", "full_outer")
     return both.select("c_nationkey", *[F.coalesce(x, F.lit(0)).alias(x) for x in ("with_urgent", "without_urgent")])
@@ -178,10 +178,10 @@ def join_priority_resolution(spark, sf):
     return rows.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", F.coalesce("p_name", "s_name").alias("resolved"), F.when(first, "building").when(second, "address").otherwise("none").alias("resolved_by"), confidence.alias("confidence"))
 
 
-@query("join_full_outer_counts", "SELECT coalesce(a.k, b.k) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS customers FROM customer WHERE c_acctbal < -900 GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier WHERE s_acctbal > 0 GROUP BY 1) b ON a.k = b.k")
+@query("join_full_outer_counts", "SELECT coalesce(a.k, b.k) AS nation, coalesce(customers, 0) AS customers, coalesce(suppliers, 0) AS suppliers FROM (SELECT c_nationkey AS k, count(*) AS customers FROM customer GROUP BY 1) a FULL JOIN (SELECT s_nationkey AS k, count(*) AS suppliers FROM supplier GROUP BY 1) b ON a.k = b.k")
 def join_full_outer_counts(spark, sf):
-    a = table(spark, sf, "customer").where("c_acctbal < -900").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
-    b = table(spark, sf, "supplier").where("s_acctbal > 0").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
+    a = table(spark, sf, "customer").groupBy(F.col("c_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("customers"))
+    b = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("nation")).agg(F.count(F.lit(1)).alias("suppliers"))
     return a.join(b, "nation", "full_outer").select("nation", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("customers", "suppliers")])
 
 
@@ -190,11 +190,11 @@ def join_delimited_lists(spark, sf):
     return table(spark, sf, "part").select(F.explode(F.split("p_name", " ")).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("parts"))
 
 
-@query("join_zero_filled_grid", "SELECT n_name, s.status, count(o_orderkey) AS acts FROM nation CROSS JOIN (VALUES ('F'), ('O'), ('P'), ('X')) s(status) LEFT JOIN (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 495000) o ON c_nationkey = n_nationkey AND o_orderstatus = s.status GROUP BY 1, 2")
+@query("join_zero_filled_grid", "SELECT n_name, s.status, count(o_orderkey) AS acts FROM nation CROSS JOIN (VALUES ('F'), ('O'), ('P'), ('X')) s(status) LEFT JOIN (SELECT * FROM orders JOIN customer ON o_custkey = c_custkey) o ON c_nationkey = n_nationkey AND o_orderstatus = s.status GROUP BY 1, 2")
 def join_zero_filled_grid(spark, sf):
     """Areas by sources, empty cells included: both sides of the product are small dimensions."""
     grid = table(spark, sf, "nation").select("n_nationkey", "n_name").crossJoin(spark.createDataFrame([(x,) for x in "FOPX"], "status string"))
-    o = table(spark, sf, "orders").where("o_totalprice > 495000").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
     n = o.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderstatus").alias("status")).agg(F.count(F.lit(1)).alias("acts"))
     return grid.join(n, ["n_nationkey", "status"], "left").select("n_name", "status", F.coalesce("acts", F.lit(0)).alias("acts"))
 
@@ -405,10 +405,10 @@ def set_union_distinct(spark, sf):
     return y("orders", "o_orderdate").union(y("lineitem", "l_shipdate")).union(y("events", "ts")).distinct()
 
 
-@query("set_shared_acts", "SELECT a.l_suppkey AS a_id, b.l_suppkey AS b_id, count(*) AS shared FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem WHERE l_quantity > 45) a JOIN (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem WHERE l_quantity > 45) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2")
+@query("set_shared_acts", "SELECT a.l_suppkey AS a_id, b.l_suppkey AS b_id, count(*) AS shared FROM (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) a JOIN (SELECT DISTINCT l_suppkey, l_orderkey FROM lineitem) b ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey GROUP BY 1, 2")
 def set_shared_acts(spark, sf):
     """Pairs sold together: the acts that two parcels share. An act holds a handful of parcels."""
-    a = table(spark, sf, "lineitem").where("l_quantity > 45").select("l_suppkey", "l_orderkey").distinct()
+    a = table(spark, sf, "lineitem").select("l_suppkey", "l_orderkey").distinct()
     b = a.select(F.col("l_suppkey").alias("b_id"), "l_orderkey")
     return a.withColumnRenamed("l_suppkey", "a_id").join(b, "l_orderkey").where("a_id < b_id").groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("shared"))
 
@@ -426,6 +426,13 @@ def resolved(spark, sf):
     return M.resolve(relation(spark, sf, LINKS), "l_orderkey", "confidence", "link_id")
 
 
+@query("match_blocked_publication", f"{_RESOLVED} SELECT d.l_orderkey, d.link_id, decision, critical AND decision = 'ambiguous' AS blocks_publication FROM d JOIN (SELECT l_orderkey, link_id, confidence < 0.92 AS critical FROM ({LINKS}) x) c ON d.l_orderkey = c.l_orderkey AND d.link_id = c.link_id")
+def match_blocked_publication(spark, sf):
+    """An ambiguous decision on a critical candidate holds its publication back (critical here: below a confidence)."""
+    links = relation(spark, sf, LINKS).withColumn("critical", F.col("confidence") < 0.92)
+    return M.resolve(links, "l_orderkey", "confidence", "link_id", critical="critical").select("l_orderkey", "link_id", "decision", "blocks_publication")
+
+
 @query("match_resolve", f"{_RESOLVED} SELECT * FROM d")
 def match_resolve(spark, sf):
     return resolved(spark, sf)

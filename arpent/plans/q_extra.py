@@ -96,12 +96,12 @@ def window_best_component(spark, sf):
     return R.first_by(parts, ["l_orderkey"], [F.desc("size"), F.asc("component")])
 
 
-@query("territory_attraction_areas", "SELECT n_nationkey, CASE WHEN n_regionkey = 4 THEN NULL ELSE 'A' || n_regionkey END AS area_code, CASE WHEN n_regionkey = 4 THEN NULL WHEN n_nationkey = m THEN 'pole' ELSE 'ring' END AS category, CASE WHEN n_regionkey = 4 THEN 'not_applicable' WHEN c IS NULL THEN 'source_value_missing' END AS missing_reason, CASE WHEN n_regionkey <> 4 THEN c END AS residents FROM nation JOIN (SELECT n_regionkey AS r, min(n_nationkey) AS m FROM nation GROUP BY 1) ON r = n_regionkey LEFT JOIN (SELECT c_nationkey, count(*) AS c FROM customer WHERE c_nationkey % 8 > 0 GROUP BY 1) ON c_nationkey = n_nationkey")
+@query("territory_attraction_areas", "SELECT n_nationkey, CASE WHEN n_regionkey = 4 THEN NULL ELSE 'A' || n_regionkey END AS area_code, CASE WHEN n_regionkey = 4 THEN NULL WHEN n_nationkey = m THEN 'pole' ELSE 'ring' END AS category, CASE WHEN n_regionkey = 4 THEN 'not_applicable' WHEN c IS NULL THEN 'source_value_missing' END AS missing_reason, CASE WHEN n_regionkey <> 4 THEN c END AS residents FROM nation JOIN (SELECT n_regionkey AS r, min(n_nationkey) AS m FROM nation GROUP BY 1) ON r = n_regionkey LEFT JOIN (SELECT s_nationkey, count(*) AS c FROM supplier GROUP BY 1) ON s_nationkey = n_nationkey")
 def territory_attraction_areas(spark, sf):
     """Area, category and residents of a commune: outside every area is not applicable, an uncited commune is missing."""
     n = table(spark, sf, "nation").select("n_nationkey", "n_regionkey")
     pole = n.groupBy("n_regionkey").agg(F.min("n_nationkey").alias("pole"))
-    c = table(spark, sf, "customer").where("c_nationkey % 8 > 0").groupBy(F.col("c_nationkey").alias("n_nationkey")).agg(N("residents"))
+    c = table(spark, sf, "supplier").groupBy(F.col("s_nationkey").alias("n_nationkey")).agg(N("residents"))
     rows, member = n.join(pole, "n_regionkey").join(c, "n_nationkey", "left"), F.col("n_regionkey") != 4
     category = F.when(member, F.when(F.col("n_nationkey") == F.col("pole"), "pole").otherwise("ring"))
     reason = F.when(~member, "not_applicable").when(F.col("residents").isNull(), "source_value_missing")

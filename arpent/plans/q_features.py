@@ -52,11 +52,21 @@ def feature_market(spark, sf):
     return out.withColumns({"weighted_median_m2": F.round("weighted_median_m2", 2), "dispersion_m2": F.round("dispersion_m2", 2), "trend": F.round("trend", 6)})
 
 
-@query("feature_energy_choice", """WITH d AS (SELECT o_custkey AS subject, arg_max(o_orderkey, (CAST(o_orderdate AS DATE), o_orderkey)) AS number FROM orders WHERE o_orderstatus = 'F' AND o_totalprice > 300000 GROUP BY 1), a AS (SELECT o_custkey AS subject, count(DISTINCT o_orderkey) AS n, min(o_orderkey) AS number FROM orders WHERE o_orderstatus = 'O' AND o_totalprice > 350000 GROUP BY 1)
-SELECT coalesce(d.subject, a.subject) AS subject, coalesce(d.number, CASE WHEN n = 1 THEN a.number END) AS number, CASE WHEN d.number IS NOT NULL THEN 'direct' WHEN n = 1 THEN 'single_address' ELSE 'ambiguous' END AS choice FROM d FULL JOIN a ON d.subject = a.subject""")
+_ASSESSED = """SELECT o_custkey AS subject, o_orderkey AS number, CAST(o_orderdate AS DATE) AS day, o_orderstatus <> 'P' AS deposited, o_orderpriority = '5-LOW' AS simulated,
+  CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(o_orderdate AS DATE) + INTERVAL '200' DAY END AS cancelled_ts, o_orderpriority = '1-URGENT' AS direct FROM orders"""
+_SNAPSHOT = "1996-06-30"
+
+
+@query("feature_energy_choice", f"""WITH e AS (SELECT * FROM ({_ASSESSED}) x WHERE deposited AND NOT simulated AND day <= DATE '{_SNAPSHOT}' AND (cancelled_ts IS NULL OR CAST(cancelled_ts AS DATE) > DATE '{_SNAPSHOT}')),
+d AS (SELECT subject, arg_max(number, (day, number)) AS number FROM e WHERE direct GROUP BY 1), a AS (SELECT subject, count(*) AS n, min(number) AS number FROM e WHERE NOT direct GROUP BY 1)
+SELECT c_custkey AS subject, coalesce(d.number, CASE WHEN n = 1 THEN a.number END) AS number, CASE WHEN d.number IS NOT NULL THEN 'direct' WHEN n = 1 THEN 'single_address' END AS choice,
+  CASE WHEN d.number IS NOT NULL OR n = 1 THEN NULL WHEN n > 1 THEN 'ambiguous_match' ELSE 'source_value_missing' END AS missing_reason
+FROM customer LEFT JOIN d ON d.subject = c_custkey LEFT JOIN a ON a.subject = c_custkey""")
 def feature_energy_choice(spark, sf):
-    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("subject"), F.col("o_orderkey").alias("number"), F.to_date("o_orderdate").alias("day"), "o_orderstatus", "o_totalprice")
-    return FT.select_assessment(o.where("o_orderstatus = 'F' and o_totalprice > 300000"), o.where("o_orderstatus = 'O' and o_totalprice > 350000"), "subject")
+    """The diagnostic of each subject among those that stand on the day of the snapshot; a subject without any is a row."""
+    rows = relation(spark, sf, _ASSESSED).withColumn("cancelled_on", F.to_date("cancelled_ts"))
+    rows = FT.eligible_assessments(rows, _SNAPSHOT)
+    return FT.select_assessment(rows.where("direct"), rows.where("not direct"), "subject", table(spark, sf, "customer").select(F.col("c_custkey").alias("subject")))
 
 
 @query("feature_observation_choice", """WITH s AS (SELECT l_suppkey AS subject, l_quantity AS floors, l_linenumber AS priority, l_discount AS confidence, l_returnflag = 'R' AS predicted FROM lineitem), b AS (SELECT *, rank() OVER (PARTITION BY subject ORDER BY priority) AS r FROM s WHERE NOT predicted AND floors IS NOT NULL), g AS (SELECT subject, count(DISTINCT floors) AS n, min(floors) AS v FROM b WHERE r = 1 GROUP BY 1)
@@ -289,16 +299,13 @@ def review_results(spark, sf):
     return out.withColumn("accuracy_pct", share_pct(F.col("correct"), F.col("correct") + F.col("wrong")))
 
 
-@query("territory_indicators", "WITH c AS (SELECT c_nationkey AS k, c_mktsegment AS code, count(*) AS n FROM customer WHERE c_nationkey % 6 > 0 AND c_acctbal > 7000 GROUP BY 1, 2), cited AS (SELECT DISTINCT c_nationkey AS k FROM customer WHERE c_nationkey % 6 > 0) SELECT n_nationkey, s.code, CASE WHEN cited.k IS NOT NULL THEN coalesce(n, 0) END AS value, CASE WHEN cited.k IS NULL THEN 'commune_not_cited' END AS missing_reason FROM nation CROSS JOIN (SELECT DISTINCT c_mktsegment AS code FROM customer) s LEFT JOIN cited ON cited.k = n_nationkey LEFT JOIN c ON c.code = s.code AND c.k = n_nationkey")
+@query("territory_indicators", """WITH t AS (SELECT s_nationkey AS k, CAST(floor(s_acctbal / 2500) AS INT) AS code FROM supplier), c AS (SELECT k, code, count(*) AS n FROM t GROUP BY 1, 2), cited AS (SELECT DISTINCT k FROM t)
+SELECT n_nationkey, s.code, CASE WHEN cited.k IS NOT NULL THEN coalesce(n, 0) END AS value, CASE WHEN cited.k IS NULL THEN 'commune_not_cited' END AS missing_reason
+FROM nation CROSS JOIN (SELECT DISTINCT code FROM t) s LEFT JOIN cited ON cited.k = n_nationkey LEFT JOIN c ON c.code = s.code AND c.k = n_nationkey""")
 def territory_indicators(spark, sf):
     """A cell of a cited commune without observations is zero; of a commune that the source does not cite, missing."""
-    c = table(spark, sf, "customer")
-    source = c.where("c_nationkey % 6 > 0").select(F.col("c_nationkey").alias("n_nationkey"), F.col("c_mktsegment").alias("code"), "c_acctbal")
-    cells = source.where("c_acctbal > 7000").groupBy("n_nationkey", "code").agg(F.count(F.lit(1)).alias("n"))
-    cited = source.select("n_nationkey").distinct().withColumn("cited", F.lit(True))
-    grid = table(spark, sf, "nation").select("n_nationkey").crossJoin(c.select(F.col("c_mktsegment").alias("code")).distinct())  # communes by codes
-    rows = grid.join(cited, "n_nationkey", "left").join(cells, ["n_nationkey", "code"], "left")
-    return rows.select("n_nationkey", "code", F.when(F.col("cited"), F.coalesce("n", F.lit(0))).alias("value"), F.when(F.col("cited").isNull(), "commune_not_cited").alias("missing_reason"))
+    source = table(spark, sf, "supplier").select(F.col("s_nationkey").alias("n_nationkey"), F.floor(F.col("s_acctbal") / 2500).cast("int").alias("code"))
+    return FT.indicators(table(spark, sf, "nation").select("n_nationkey"), source, "n_nationkey", "code")
 
 
 # --- Qualification and releases -------------------------------------------------------------------------------------

@@ -41,11 +41,11 @@ def refused_fields(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def refresh_dimensions(source: DataFrame, dimensions: dict[str, tuple[DataFrame, list[str], list[str], list[str]]]) -> dict[str, DataFrame]:
     """The canonical dimensions after an active release: each is (old rows, keys, columns that follow the release, columns
-    that keep their old value where the release has none), and all are upserts from the one source."""
+    that keep their old value where the release has none), and all are upserts from the one source. Of several values of a
+    key each column takes the least, a missing one never; rows that lack a part of the key belong to no dimension."""
     out = {}
     for name, (old, keys, prefer_new, fill_old) in dimensions.items():
-        picked = source.where(F.col(keys[0]).isNotNull()).groupBy(*keys).agg(F.min(F.struct(*prefer_new, *fill_old)).alias("_v"))
-        new = picked.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in (*prefer_new, *fill_old)])
+        new = source.dropna(subset=keys).groupBy(*keys).agg(*[F.min(c).alias(c) for c in (*prefer_new, *fill_old)])
         out[name] = keep_latest(new, old, keys, prefer_new, fill_old)
     return out
 
