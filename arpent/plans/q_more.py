@@ -7,7 +7,7 @@ from pyspark.sql import Window, functions as F
 from arpent.functions import geometry as G, scalars as X
 from arpent.functions.support import share_pct
 from arpent.operators import ranking as R, shapes as S
-from arpent.plans import releases as RL
+from arpent.plans import contract as CT, releases as RL
 from arpent.plans.catalog import query, relation, table
 from arpent.plans.q_core import _RESOLVED, LINKS, resolved
 from arpent.plans.q_spatial import _AREA, _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes, union_sql
@@ -329,3 +329,22 @@ def search_labels(spark, sf):
     """Labels that begin with a query, whatever its case or accents."""
     rows = table(spark, sf, "documents").select("doc_id", X.address_label(F.col("text")).alias("label"))
     return rows.where(F.col("label").startswith("th"))
+
+
+# --- Contract of properties -----------------------------------------------------------------------------------------
+
+_PROPERTIES = """CASE WHEN p_size = 50 THEN '[1]' ELSE concat('{"id": ', CAST(p_partkey AS STRING), ', "size": ', CASE WHEN p_size > 45 THEN concat('"', CAST(p_size AS STRING), '"') WHEN p_size > 40 THEN 'true' WHEN p_size > 35 THEN 'null' WHEN p_size > 30 THEN '1.5' ELSE CAST(p_size AS STRING) END,
+  CASE WHEN p_size % 3 = 0 THEN '' ELSE concat(', "name": "', p_name, '"') END, CASE WHEN p_size % 5 = 0 THEN ', "colour": {}' WHEN p_size % 7 = 0 THEN ', "note": 7' ELSE '' END, '}') END"""
+_KIND = "json_type(properties::JSON, '$.{}')"
+
+
+@query("qualify_property_types", f"""WITH f AS (SELECT p_partkey, {_PROPERTIES} AS properties FROM part), o AS (SELECT * FROM f WHERE json_type(properties::JSON) = 'OBJECT'), v AS (
+  SELECT NULL AS property, 'unreadable' AS violation FROM f WHERE json_type(properties::JSON) <> 'OBJECT'
+  UNION ALL SELECT 'size', 'type' FROM o WHERE {_KIND.format("size")} NOT IN ('UBIGINT', 'BIGINT', 'NULL')
+  UNION ALL SELECT 'name', 'missing' FROM o WHERE {_KIND.format("name")} IS NULL
+  UNION ALL SELECT 'note', 'type' FROM o WHERE {_KIND.format("note")} NOT IN ('VARCHAR')
+  UNION ALL SELECT 'colour', 'undeclared' FROM o WHERE {_KIND.format("colour")} IS NOT NULL)
+SELECT property, violation, count(*) AS rows FROM v GROUP BY 1, 2""")
+def qualify_property_types(spark, sf):
+    """Violations of a contract by property: missing, of another type (a truth value is no integer), undeclared."""
+    return CT.violations(table(spark, sf, "part").select(F.expr(_PROPERTIES).alias("properties")), "properties", {"id": "integer", "size": "integer|null", "name": "string"}, {"note": "string"})
