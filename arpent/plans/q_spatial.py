@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from arpent.functions import geometry as G
-from arpent.operators import shapes as S
+from arpent.operators import nearby as N, shapes as S
 from arpent.operators.graph import connected_components
 from arpent.plans.catalog import query, table
 
@@ -47,7 +47,7 @@ def geo_overlap_join(spark, sf):
 @query("geo_distance_join", f"WITH a AS ({_BOX}), b AS ({_BOX}) SELECT a.vec_id AS a_id, count(*) AS near, round(min({_DIST}), 4) AS nearest FROM a JOIN b ON a.vec_id <> b.vec_id AND {_DIST} <= 30 GROUP BY 1")
 def geo_distance_join(spark, sf):
     a, b = _two(spark, sf)
-    rows = G.grid_join(a, b, "abox", "bbox", CELL, 30.0).where("a_id <> b_id").withColumn("d", G.box_distance("abox", "bbox"))
+    rows = N.adaptive_join(a, b, "abox", "bbox", 30.0).where("a_id <> b_id").withColumn("d", G.box_distance("abox", "bbox"))
     return rows.groupBy("a_id").agg(F.count(F.lit(1)).alias("near"), F.round(F.min("d"), 4).alias("nearest"))
 
 
@@ -55,10 +55,18 @@ def geo_distance_join(spark, sf):
 def geo_k_nearest(spark, sf):
     """Six nearest within 80."""
     a, b = _two(spark, sf)
-    rows = G.grid_join(a, b, "abox", "bbox", CELL, 80.0).where("a_id <> b_id")
+    rows = N.adaptive_join(a, b, "abox", "bbox", 80.0).where("a_id <> b_id")
     return G.k_nearest(rows, ["a_id"], G.box_distance("abox", "bbox"), "b_id", 6).select("a_id", "b_id", F.round("distance", 4).alias("distance"), "place")
 
 
+@query("geo_k_nearest_any", f"WITH a AS ({_BOX}), b AS ({_BOX}), d AS (SELECT a.vec_id AS a_id, b.vec_id AS b_id, {_DIST} AS distance FROM a JOIN b ON a.vec_id <> b.vec_id) SELECT a_id, b_id, round(distance, 4) AS distance, place FROM (SELECT *, row_number() OVER (PARTITION BY a_id ORDER BY distance, b_id)::INT AS place FROM d) WHERE place <= 6")
+def geo_k_nearest_any(spark, sf):
+    """Six nearest, however far."""
+    a, b = _two(spark, sf)
+    rows = N.nearest(a, b, ["a_id"], "abox", "bbox", "b_id", 6, but=F.col("a_id") != F.col("b_id"))
+    return rows.select("a_id", "b_id", F.round("distance", 4).alias("distance"), "place")
+
+
 _POINT = "SELECT vec_id, CAST(embedding[5] AS DOUBLE) * 1000 AS x, CAST(embedding[6] AS DOUBLE) * 1000 AS y FROM embeddings"
 
 
