@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import MapType, VariantType
 
 from arpent.functions.geometry import box_distance, inside_ring, k_nearest
-from arpent.operators.overlay import CHUNK, SHAPE, SNAP, _fields, _spread, sides_of
+from arpent.operators.overlay import CHUNK, SHAPE, SNAP, _fields, _spread, shape_box, sides_of
 from arpent.plans.shipping import ship
 from arpent.plans.staging import staged, unstage
 
@@ -227,3 +227,20 @@ def shape_distances(pairs: DataFrame, keep: list[str], a: str, b: str, name: str
 
     rows = pairs.select(*keep, F.col(a).cast(SHAPE).alias("_a"), F.col(b).cast(SHAPE).alias("_b"))
     return rows.mapInArrow(run, f"{_fields(pairs, keep)}`{name}` double")
+
+
+def nearest_shapes(left: DataFrame, right: DataFrame, keys: Sequence[str], partner: str, lshape: str, rshape: str, where: Column | None = None) -> DataFrame:
+    """``distance`` from the shape of each key to the nearest shape of the right side for which ``where`` holds.
+
+    The partner with the nearest box gives an upper bound; only shapes whose box lies within it are measured, so the result
+    is exact for shapes that are no boxes. A key without partner has no row; of a repeated key the nearest counts."""
+    extra = [c for c in left.columns if c not in (*keys, lshape)]
+    mine = staged(left.withColumn("_lbox", shape_box(lshape)), "subjects")
+    theirs = staged(right.withColumn("_rbox", shape_box(rshape)), "partners")
+    close = nearest(mine.drop(lshape), theirs, [*keys, *extra], "_lbox", "_rbox", partner, 1, but=where).select(*keys, F.col(rshape))
+    bound = shape_distances(mine.join(close, list(keys)), list(keys), lshape, rshape, "_bound").groupBy(*keys).agg(F.max("_bound").alias("_bound"))
+    by = F.col("_bound") * (1 + 1e-9) + SNAP
+    reach = mine.join(bound, list(keys)).withColumn("_lbox", F.struct(*[(F.col(f"_lbox.{c}") + (by if c.endswith("max") else -by)).alias(c) for c in _SIDES]))
+    pairs = adaptive_join(reach, theirs, "_lbox", "_rbox")
+    pairs = pairs if where is None else pairs.where(where)
+    return shape_distances(pairs, list(keys), lshape, rshape).groupBy(*keys).agg(F.min("distance").alias("distance"))

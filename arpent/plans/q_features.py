@@ -7,8 +7,8 @@ from pyspark.sql import Window, functions as F
 from arpent.functions.scalars import age_in_months
 from arpent.functions.support import share_pct
 from arpent.operators import ranking as R
-from arpent.plans import features as FT, releases as RL, scoring as SC
-from arpent.plans.catalog import query, relation, table
+from arpent.plans import features as FT, releases as RL, scoring as SC, subject_features as SF
+from arpent.plans.catalog import ORACLES, query, relation, table
 
 # --- Features -------------------------------------------------------------------------------------------------------
 
@@ -69,6 +69,32 @@ def feature_energy_choice(spark, sf):
     return FT.select_assessment(rows.where("direct"), rows.where("not direct"), "subject", table(spark, sf, "customer").select(F.col("c_custkey").alias("subject")))
 
 
+_OBSERVED = """SELECT o_custkey AS subject, o_orderkey AS source_id, CASE WHEN o_orderpriority <> '1-URGENT' THEN substr(CAST(o_orderdate AS STRING), 1, 3) || '0s' END AS period, CASE WHEN o_orderkey % 4 > 0 THEN o_totalprice / 1000 END AS area_m2,
+  CASE WHEN o_orderkey % 3 > 0 THEN CAST(o_orderkey % 17 AS DOUBLE) END AS height_m, CAST(o_orderkey % 5 AS INT) AS floors, o_orderstatus = 'P' AS predicted, CAST(substr(o_orderpriority, 1, 1) AS INT) AS priority, CAST(o_orderkey % 10 AS DOUBLE) / 10 AS confidence FROM orders"""
+_FACTS = """SELECT o_orderkey AS number, CASE WHEN o_orderkey % 6 > 0 THEN substr('ABCDEFG', CAST(o_orderkey % 7 AS INT) + 1, 1) END AS label, CASE WHEN o_orderkey % 8 > 0 THEN o_totalprice / 500 END AS consumption, CAST(o_orderdate AS DATE) AS day,
+  CASE WHEN o_orderkey % 9 > 0 THEN o_orderpriority END AS envelope, CASE WHEN o_orderpriority = '1-URGENT' THEN CAST(1 AS DOUBLE) END AS match_confidence FROM orders"""
+_BEST = lambda held, n, what: f"{n} AS (SELECT subject, {what}, confidence FROM (SELECT *, row_number() OVER (PARTITION BY subject ORDER BY priority DESC, confidence DESC, source_id) AS rn FROM o WHERE NOT predicted AND {held}) WHERE rn = 1)"
+
+
+@query("feature_renovation", f"""WITH z AS ({ORACLES["feature_energy_choice"]}), o AS ({_OBSERVED}), t AS ({_FACTS}), e AS (SELECT z.subject, z.missing_reason, t.* FROM z LEFT JOIN t ON z.number = t.number),
+{_BEST("length(period) > 0", "p", "period")}, {_BEST("area_m2 > 0", "a", "area_m2")}, {_BEST("height_m IS NOT NULL AND floors <> 0", "h", "height_m / floors AS storey")},
+m AS (SELECT *, date_part('year', DATE '{_SNAPSHOT}') * 12 + date_part('month', DATE '{_SNAPSHOT}') - date_part('year', day) * 12 - date_part('month', day) - CASE WHEN date_part('day', day) > date_part('day', DATE '{_SNAPSHOT}') THEN 1 ELSE 0 END AS months FROM e),
+u AS (SELECT subject, 'REN-001' AS code, NULL::DOUBLE AS numeric_value, period AS text_value, p.confidence, CASE WHEN period IS NULL THEN 'source_value_missing' END AS missing_reason FROM z LEFT JOIN p USING (subject)
+UNION ALL SELECT subject, 'REN-002', area_m2, NULL, a.confidence, CASE WHEN area_m2 IS NULL THEN 'source_value_missing' END FROM z LEFT JOIN a USING (subject)
+UNION ALL SELECT subject, 'REN-003', NULL, CASE WHEN storey BETWEEN 2 AND 5 THEN 'consistent' WHEN storey IS NOT NULL THEN 'review' END, h.confidence, CASE WHEN storey IS NULL THEN 'not_applicable' END FROM z LEFT JOIN h USING (subject)
+UNION ALL SELECT subject, 'REN-004', NULL, label, NULL, CASE WHEN label IS NULL THEN coalesce(missing_reason, 'source_value_missing') END FROM m
+UNION ALL SELECT subject, 'REN-005', consumption, NULL, NULL, CASE WHEN consumption IS NULL THEN coalesce(missing_reason, 'source_value_missing') END FROM m
+UNION ALL SELECT subject, 'REN-006', months, NULL, NULL, CASE WHEN months IS NULL THEN coalesce(missing_reason, 'source_value_missing') END FROM m
+UNION ALL SELECT subject, 'REN-007', NULL, envelope, NULL, CASE WHEN envelope IS NULL THEN coalesce(missing_reason, 'source_value_missing') END FROM m
+UNION ALL SELECT subject, 'REN-008', match_confidence, NULL, NULL, CASE WHEN match_confidence IS NULL THEN coalesce(missing_reason, 'source_value_missing') END FROM m) SELECT subject, code, round(numeric_value, 6) AS numeric_value, text_value, confidence, missing_reason FROM u""")
+def feature_renovation(spark, sf):
+    """The eight renovation codes of each subject, from its observations and the diagnostic that stands for it."""
+    choice = feature_energy_choice(spark, sf).select("subject", "number", "missing_reason")
+    energy = choice.join(relation(spark, sf, _FACTS), "number", "left").drop("number")
+    rows = SF.renovation_features(choice.select("subject"), relation(spark, sf, _OBSERVED), energy, "subject", _SNAPSHOT)
+    return rows.withColumn("numeric_value", F.round("numeric_value", 6))
+
+
 @query("feature_observation_choice", """WITH s AS (SELECT l_suppkey AS subject, l_quantity AS floors, l_linenumber AS priority, l_discount AS confidence, l_returnflag = 'R' AS predicted FROM lineitem), b AS (SELECT *, rank() OVER (PARTITION BY subject ORDER BY priority) AS r FROM s WHERE NOT predicted AND floors IS NOT NULL), g AS (SELECT subject, count(DISTINCT floors) AS n, min(floors) AS v FROM b WHERE r = 1 GROUP BY 1)
 SELECT t.subject, CASE WHEN n = 1 THEN v END AS floors, CASE WHEN n IS NULL THEN 'source_value_missing' WHEN n > 1 THEN 'ambiguous' END AS missing_reason FROM (SELECT DISTINCT subject FROM s) t LEFT JOIN g ON t.subject = g.subject""")
 def feature_observation_choice(spark, sf):
