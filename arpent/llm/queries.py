@@ -214,15 +214,18 @@ def _license_sql() -> str:
         for p, label in licenses.PHRASES.items()
     )
     rows = ", ".join(
-        f"('{label}', [{', '.join(repr(w) for w in sorted(set(t.split())))}])" for label, texts in licenses.TEMPLATES.items() for t in texts
+        f"({k}, '{label}', {licenses.SPAN * len(licenses.notice_words(t))}, {licenses.needed(share, len(set(licenses.notice_words(t))))}, [{', '.join(repr(w) for w in sorted(set(licenses.notice_words(t))))}])"
+        for k, (label, share, t) in enumerate(licenses.NOTICES)
     )
     return f"""
 WITH d AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all({low("coalesce(text, '')")}, '{licenses.WORD}') AS w FROM documents),
 b AS ({phrases}),
 bl AS (SELECT doc_id, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, list_distinct(list(label)) AS labels FROM b GROUP BY doc_id),
-tm(label, words) AS (VALUES {rows}),
-ln AS (SELECT doc_id, list_distinct(regexp_extract_all({low('line')}, '{licenses.WORD}')) AS ws FROM d, unnest(string_split(t, chr(10))) AS u(line)),
-mt AS (SELECT doc_id, label, round(len(list_intersect(ws, words)) / len(words), 6) AS score FROM ln, tm WHERE len(list_intersect(ws, words)) >= CASE WHEN len(words) <= {licenses.SHORT} THEN len(words) ELSE ceil({licenses.CONTAINMENT} * len(words) - 1e-9) END),
+tm(k, label, span, need, words) AS (VALUES {rows}),
+tw AS (SELECT k, span, unnest(words) AS x FROM tm),
+ht AS (SELECT doc_id, k, span, i AS pos, x FROM (SELECT doc_id, i, w[i] AS x FROM d, unnest(range(1, len(w) + 1)) AS u(i)) JOIN tw USING (x)),
+wn AS (SELECT doc_id, k, count(DISTINCT x) OVER (PARTITION BY doc_id, k ORDER BY pos RANGE BETWEEN CURRENT ROW AND (span - 1) FOLLOWING) AS n FROM ht),
+mt AS (SELECT doc_id, label, round(n / len(words), 6) AS score FROM wn JOIN tm USING (k) WHERE n >= need),
 ml AS (SELECT doc_id, list_distinct(list(label)) AS labels, max(score) AS score FROM mt GROUP BY doc_id)
 SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
   array_to_string(list_sort(coalesce(bl.labels, [])), ',') AS base_labels,
