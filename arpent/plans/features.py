@@ -8,7 +8,14 @@ from arpent.functions.scalars import months_between
 from arpent.functions.support import weighted_quantile
 from arpent.plans.staging import staged
 
+# Natures of a market sale, and the codes of each strategy's features.
 MARKET_NATURES = ("Vente", "Vente terrain à bâtir", "Adjudication")
+MARKET_CODES = {
+    "division_extension": {"MKT-001": "level", "MKT-002": "range", "MKT-003": "count", "MKT-004": "spread", "MKT-005": "liquidity"},
+    "renovation_resale": {"MKT-101": "level", "MKT-102": "count", "MKT-103": "spread", "MKT-104": "age", "MKT-105": "trend"},
+}
+#: Comparables that an interquartile range asks for.
+MIN_SPREAD = 4
 
 
 def comparable_decisions(rows: DataFrame, snapshot: Column, max_distance_m: float = 10_000, max_age_months: int = 60, ratio: tuple[float, float] = (0.5, 2.0)) -> DataFrame:
@@ -43,13 +50,16 @@ def comparable_decisions(rows: DataFrame, snapshot: Column, max_distance_m: floa
     return out.withColumns({"normalized_price_m2": F.when(kept, price_m2), "weight": F.when(kept, weight)})
 
 
-def market_features(decisions: DataFrame, subject: str, min_trend_count: int = 6, min_trend_days: int = 365) -> DataFrame:
-    """By subject: number of comparables, weighted median and interquartile range of prices, median age, yearly trend."""
+def market_measures(decisions: DataFrame, subject: str, min_trend_count: int = 6, min_trend_days: int = 365) -> DataFrame:
+    """By subject with comparables: their number, those of the last twelve months, weighted quartiles of prices, median age,
+    yearly trend between the medians of the older and the newer half (null for too few or too short)."""
     # Read five times below, so computed once.
     kept = staged(decisions.where("reason = 'included'").select(subject, "mutation_date", "age_months", "normalized_price_m2", "weight"), "comparables")
-    facts = kept.groupBy(subject).agg(F.count(F.lit(1)).alias("comparables"), F.percentile("age_months", F.lit(0.5)).alias("median_age_months"))
+    facts = kept.groupBy(subject).agg(
+        F.count(F.lit(1)).alias("comparables"), F.count_if(F.col("age_months") <= 12).alias("recent"), F.percentile("age_months", F.lit(0.5)).alias("median_age_months")
+    )
     q = lambda f, n: weighted_quantile(kept, [subject], "normalized_price_m2", "weight", f, n)
-    quart = q(0.25, "_q1").join(q(0.5, "weighted_median_m2"), subject).join(q(0.75, "_q3"), subject)
+    quart = q(0.25, "q1_m2").join(q(0.5, "weighted_median_m2"), subject).join(q(0.75, "q3_m2"), subject)
     order = Window.partitionBy(subject).orderBy("mutation_date", "normalized_price_m2")
     whole = Window.partitionBy(subject)
     halves = kept.withColumns({"_k": F.row_number().over(order), "_n": F.count(F.lit(1)).over(whole)})
@@ -60,11 +70,46 @@ def market_features(decisions: DataFrame, subject: str, min_trend_count: int = 6
     )
     enough = (F.col("_n") >= min_trend_count) & (F.col("_days") >= min_trend_days)
     yearly = F.when(enough, F.pow(F.col("_new") / F.col("_old"), 365.25 / F.col("_days")) - 1)
-    out = facts.join(quart, subject, "left").join(trend.select(subject, yearly.alias("trend")), subject, "left")
-    spread = F.when(F.col("comparables") >= 4, F.col("_q3") - F.col("_q1"))
+    return facts.join(quart, subject, "left").join(trend.select(subject, yearly.alias("trend")), subject, "left")
+
+
+def market_features(decisions: DataFrame, subject: str, min_trend_count: int = 6, min_trend_days: int = 365) -> DataFrame:
+    """By subject: number of comparables, weighted median and interquartile range of prices, median age, yearly trend."""
+    out = market_measures(decisions, subject, min_trend_count, min_trend_days)
+    spread = F.when(F.col("comparables") >= MIN_SPREAD, F.col("q3_m2") - F.col("q1_m2"))
     return out.select(subject, "comparables", "weighted_median_m2", spread.alias("dispersion_m2"), "median_age_months", "trend", F.when(spread.isNull(), "source_value_missing").alias("dispersion_missing"), F.when(F.col("trend").isNull(), "source_value_missing").alias("trend_missing"))
 
 
+def market_codes(decisions: DataFrame, subjects: DataFrame, subject: str, min_trend_count: int = 6, min_trend_days: int = 365) -> DataFrame:
+    """The five market features of each subject and strategy, a row a code: a value, or a range (MKT-002), or the reason why not.
+
+    ``subjects``: the subject, strategy (a key of ``MARKET_CODES``; others have no codes), source_accepted,
+    observable_stock, scenario_surface_m2. A source that is not accepted (null included) gives no value at all; a subject
+    without comparables has a count of 0. Liquidity is the number of comparables of the last twelve months for each unit on
+    offer; without stock or with none it is missing. A null subject is a row without comparables; repeated rows repeat."""
+    measured = market_measures(decisions, subject, min_trend_count, min_trend_days)
+    rows = subjects.select(subject, "strategy", "source_accepted", "observable_stock", "scenario_surface_m2").join(measured, subject, "left")
+    c, n = F.col, F.coalesce(F.col("comparables"), F.lit(0)).cast("double")
+    held = n > 0
+    scaled = lambda q: F.when(held & (c("scenario_surface_m2") > 0), c(q) * c("scenario_surface_m2"))
+    value = {
+        "count": n, "level": c("weighted_median_m2"), "spread": F.when(n >= MIN_SPREAD, c("q3_m2") - c("q1_m2")), "age": c("median_age_months"), "trend": c("trend"),
+        "liquidity": F.when(c("observable_stock") > 0, F.coalesce("recent", F.lit(0)) / c("observable_stock")),
+    }
+    accepted, none = F.coalesce("source_accepted", F.lit(False)), F.lit(None).cast("double")
+
+    def feature(code: str, what: str) -> Column:
+        x, low, high = (none, scaled("q1_m2"), scaled("q3_m2")) if what == "range" else (value[what].cast("double"), none, none)
+        reason = F.when(~accepted, "source_not_accepted").when(low.isNull() if what == "range" else x.isNull(), "source_value_missing")
+        given = [F.when(accepted, v).alias(name) for v, name in ((x, "value"), (low, "lower_eur"), (high, "upper_eur"))]
+        return F.struct(F.lit(code).alias("code"), *given, reason.alias("missing_reason"))
+
+    codes = F.lit(None)
+    for strategy, listed in MARKET_CODES.items():
+        codes = F.when(c("strategy") == strategy, F.array(*[feature(*x) for x in listed.items()])).otherwise(codes)
+    return rows.select(subject, "strategy", F.inline(codes))
+
+
 def eligible_assessments(rows: DataFrame, snapshot: str) -> DataFrame:
     """Diagnostics that stand on the day of the snapshot: deposited, not simulated, made by then, not cancelled by then.
     Columns: deposited, simulated, day, cancelled_on; a null flag counts as not deposited and not simulated."""

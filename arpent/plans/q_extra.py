@@ -135,14 +135,12 @@ def score_strongest_evidence(spark, sf):
     return _evidence(spark, sf).withColumn("k", F.row_number().over(w)).where("k <= 2").select("subject", "feature", "impact")
 
 
-@query("bundle_readiness", "WITH w AS (SELECT n_nationkey, v.s FROM nation, (VALUES ('F'), ('O'), ('P')) v(s)), h AS (SELECT c_nationkey AS k, o_orderstatus AS s, count(*) AS n, max(year(o_orderdate)) AS y FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 490000 GROUP BY 1, 2) SELECT n_nationkey, count(h.n) AS members, count(*) - count(h.n) AS missing, count(DISTINCT h.y) AS releases, count(h.n) = 3 AND min(h.n) >= 2 AS ready FROM w LEFT JOIN h ON h.k = n_nationkey AND h.s = w.s GROUP BY 1")
+@query("bundle_readiness", "WITH w AS (SELECT c_custkey, v.s FROM customer, (VALUES ('F'), ('O'), ('P')) v(s)), h AS (SELECT o_custkey AS k, o_orderstatus AS s, count(*) AS n, max(year(o_orderdate)) AS y FROM orders GROUP BY 1, 2) SELECT c_custkey, count(h.n)::INT AS members, (count(*) - count(h.n))::INT AS missing, count(DISTINCT h.y) AS releases, count(h.n) = 3 AND min(h.n) >= 2 AS ready FROM w LEFT JOIN h ON h.k = c_custkey AND h.s = w.s GROUP BY 1")
 def bundle_readiness(spark, sf):
-    """Whether a territory has every dataset of a bundle with enough rows."""
-    grid = table(spark, sf, "nation").select("n_nationkey").crossJoin(spark.createDataFrame([(x,) for x in "FOP"], "s string"))  # territories by datasets
-    o = table(spark, sf, "orders").where("o_totalprice > 490000").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    h = o.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderstatus").alias("s")).agg(N(), F.max(F.year("o_orderdate")).alias("y"))
-    g = grid.join(h, ["n_nationkey", "s"], "left").groupBy("n_nationkey").agg(F.count("n").alias("members"), N("k"), F.count_distinct("y").alias("releases"), F.min("n").alias("least"))
-    return g.select("n_nationkey", "members", (F.col("k") - F.col("members")).alias("missing"), "releases", ((F.col("members") == 3) & (F.col("least") >= 2)).alias("ready"))
+    """Whether a customer has every dataset of a bundle with enough rows."""
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderstatus", F.year("o_orderdate").alias("y"))
+    out = RL.coverage(table(spark, sf, "customer"), o, "c_custkey", "o_orderstatus", ["F", "O", "P"], least=2, release="y")
+    return out.select("c_custkey", "members", F.size("missing").alias("missing"), "releases", (F.size("weak") == 0).alias("ready"))
 
 
 # --- Search, codes, labels, refresh ---------------------------------------------------------------------------------

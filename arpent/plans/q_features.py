@@ -52,6 +52,28 @@ def feature_market(spark, sf):
     return out.withColumns({"weighted_median_m2": F.round("weighted_median_m2", 2), "dispersion_m2": F.round("dispersion_m2", 2), "trend": F.round("trend", 6)})
 
 
+_SUBJECTS = f"""SELECT c_custkey AS subject, x.strategy, c_custkey % 10 <> 3 AS source_accepted, CASE WHEN c_custkey % 4 > 0 THEN c_custkey % 4 * 5 - 5 END AS observable_stock,
+  CASE WHEN c_custkey % 3 > 0 THEN CAST(c_custkey % 3 * 60 - 60 AS DOUBLE) END AS scenario_surface_m2 FROM customer CROSS JOIN (SELECT 'division_extension' AS strategy UNION ALL SELECT 'renovation_resale') x"""
+_ACC = "CASE WHEN source_accepted THEN {} END"
+
+
+@query("feature_market_codes", f"""{_DECIDED}, w AS (SELECT *, sum(weight) OVER (PARTITION BY subject ORDER BY price_m2, weight ROWS UNBOUNDED PRECEDING) AS run, sum(weight) OVER (PARTITION BY subject) AS whole,
+  row_number() OVER (PARTITION BY subject ORDER BY mutation_date, price_m2) AS rn, count(*) OVER (PARTITION BY subject) AS n FROM k),
+g AS (SELECT subject, count(*) AS comparables, count(*) FILTER (WHERE age_months <= 12) AS recent, min(price_m2) FILTER (WHERE run >= 0.25 * whole) AS q1, min(price_m2) FILTER (WHERE run >= 0.5 * whole) AS q2, min(price_m2) FILTER (WHERE run >= 0.75 * whole) AS q3,
+  quantile_cont(age_months::DOUBLE, 0.5) AS age, quantile_cont(price_m2, 0.5) FILTER (WHERE rn <= n // 2) AS o, quantile_cont(price_m2, 0.5) FILTER (WHERE rn > n // 2) AS nw, date_diff('day', min(mutation_date), max(mutation_date)) AS days FROM w GROUP BY 1),
+s AS (SELECT s.*, coalesce(comparables, 0) AS n, recent, q1, q2, q3, age, CASE WHEN comparables >= 6 AND days >= 365 THEN pow(nw / o, 365.25 / days) - 1 END AS trend FROM ({_SUBJECTS}) s LEFT JOIN g USING (subject)),
+l AS (SELECT *, unnest(CASE strategy WHEN 'division_extension' THEN ['MKT-001', 'MKT-002', 'MKT-003', 'MKT-004', 'MKT-005'] ELSE ['MKT-101', 'MKT-102', 'MKT-103', 'MKT-104', 'MKT-105'] END) AS code FROM s),
+v AS (SELECT *, CASE WHEN code IN ('MKT-001', 'MKT-101') THEN q2 WHEN code IN ('MKT-003', 'MKT-102') THEN n WHEN code IN ('MKT-004', 'MKT-103') THEN CASE WHEN n >= 4 THEN q3 - q1 END
+    WHEN code = 'MKT-005' THEN CASE WHEN observable_stock > 0 THEN coalesce(recent, 0) / observable_stock END WHEN code = 'MKT-104' THEN age WHEN code = 'MKT-105' THEN trend END AS x,
+  CASE WHEN code = 'MKT-002' AND n > 0 AND scenario_surface_m2 > 0 THEN q1 * scenario_surface_m2 END AS lo, CASE WHEN code = 'MKT-002' AND n > 0 AND scenario_surface_m2 > 0 THEN q3 * scenario_surface_m2 END AS hi FROM l)
+SELECT subject, strategy, code, round({_ACC.format('x')}, 4)::DOUBLE AS value, round({_ACC.format('lo')}, 1) AS lower_eur, round({_ACC.format('hi')}, 1) AS upper_eur,
+  CASE WHEN NOT source_accepted THEN 'source_not_accepted' WHEN x IS NULL AND lo IS NULL THEN 'source_value_missing' END AS missing_reason FROM v""")
+def feature_market_codes(spark, sf):
+    """Both strategies' market features of every customer, most of which have no comparables."""
+    out = FT.market_codes(decisions(spark, sf), relation(spark, sf, _SUBJECTS), "subject")
+    return out.withColumns({"value": F.round("value", 4), "lower_eur": F.round("lower_eur", 1), "upper_eur": F.round("upper_eur", 1)})
+
+
 _ASSESSED = """SELECT o_custkey AS subject, o_orderkey AS number, CAST(o_orderdate AS DATE) AS day, o_orderstatus <> 'P' AS deposited, o_orderpriority = '5-LOW' AS simulated,
   CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN CAST(o_orderdate AS DATE) + INTERVAL '200' DAY END AS cancelled_ts, o_orderpriority = '1-URGENT' AS direct FROM orders"""
 _SNAPSHOT = "1996-06-30"
@@ -304,15 +326,13 @@ def pilot_coverage_regression(spark, sf):
     return both.where(F.col("a") - F.col("b") > 0.005).select("o_orderpriority", F.round(F.col("a") - F.col("b"), 6).alias("regression"))
 
 
-@query("pilot_acceptance_matrix", "WITH g AS (SELECT n_nationkey, s FROM nation, (VALUES ('F'), ('O')) v(s)), c AS (SELECT c_nationkey, o_orderstatus, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 480000 GROUP BY 1, 2) SELECT n_nationkey, string_agg(CASE WHEN coalesce(n, 0) < 8 THEN s || ':support' END, ',' ORDER BY s) AS blockers, bool_and(coalesce(n, 0) >= 8) AS accepted FROM g LEFT JOIN c ON c_nationkey = n_nationkey AND o_orderstatus = s GROUP BY 1")
+@query("pilot_acceptance_matrix", "SELECT c_custkey, string_agg(CASE WHEN coalesce(n, 0) < 5 THEN s || ':support' END, ',' ORDER BY s) AS blockers, bool_and(coalesce(n, 0) >= 5) AS accepted FROM customer CROSS JOIN (VALUES ('F'), ('O')) v(s) LEFT JOIN (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2) ON o_custkey = c_custkey AND o_orderstatus = s GROUP BY 1")
 def pilot_acceptance_matrix(spark, sf):
-    """Territory by source, with what blocks each; cells without any row count as blocked."""
-    grid = table(spark, sf, "nation").select("n_nationkey").crossJoin(spark.createDataFrame([("F",), ("O",)], "s string"))
-    o = table(spark, sf, "orders").where("o_totalprice > 480000").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    n = o.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderstatus").alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    rows = grid.join(n, ["n_nationkey", "s"], "left").withColumn("ok", F.coalesce(F.col("n") >= 8, F.lit(False)))
-    out = rows.groupBy("n_nationkey").agg(F.array_sort(F.collect_list(F.when(~F.col("ok"), F.concat("s", F.lit(":support"))))).alias("b"), F.bool_and("ok").alias("accepted"))
-    return out.select("n_nationkey", F.when(F.size("b") > 0, F.array_join("b", ",")).alias("blockers"), "accepted")
+    """What blocks each customer by source; cells without any row count as blocked."""
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    out = RL.coverage(table(spark, sf, "customer"), o, "c_custkey", "o_orderstatus", ["F", "O"], least=5)
+    why = F.transform("weak", lambda s: F.concat(s, F.lit(":support")))
+    return out.select("c_custkey", F.when(F.size("weak") > 0, F.array_join(why, ",")).alias("blockers"), (F.size("weak") == 0).alias("accepted"))
 
 
 @query("review_results", "WITH v AS (SELECT o_custkey, arg_max(o_orderstatus, (o_orderdate, o_orderkey)) AS verdict FROM orders GROUP BY 1) SELECT c_nationkey, count(*) AS cases, count(verdict) AS reviewed, count(*) FILTER (WHERE verdict = 'F') AS correct, count(*) FILTER (WHERE verdict = 'O') AS wrong, round_even(100.0::DOUBLE * count(*) FILTER (WHERE verdict = 'F') / nullif(count(*) FILTER (WHERE verdict IN ('F', 'O')), 0), 1) AS accuracy_pct FROM customer LEFT JOIN v ON o_custkey = c_custkey GROUP BY 1")
@@ -436,15 +456,12 @@ def card_parcels(spark, sf):
     return g.select("o_custkey", "acts", F.array_join(F.transform("h", lambda x: F.concat_ws(":", x["o_orderkey"].cast("string"), x["state"])), ",").alias("history"))
 
 
-@query("card_source_coverage", "SELECT n_name, string_agg(CASE WHEN coalesce(n, 0) = 0 THEN s END, ',' ORDER BY s) AS missing, CASE WHEN min(coalesce(n, 0)) > 0 THEN 'covered' WHEN max(coalesce(n, 0)) > 0 THEN 'partial' ELSE 'not_covered' END AS coverage FROM nation CROSS JOIN (VALUES ('F'), ('O'), ('P')) v(s) LEFT JOIN (SELECT c_nationkey, o_orderstatus, count(*) AS n FROM orders JOIN customer ON o_custkey = c_custkey WHERE o_totalprice > 499000 GROUP BY 1, 2) ON c_nationkey = n_nationkey AND o_orderstatus = s GROUP BY 1")
+@query("card_source_coverage", "SELECT c_custkey, string_agg(CASE WHEN n IS NULL THEN s END, ',' ORDER BY s) AS missing, CASE WHEN count(n) = 3 THEN 'covered' WHEN count(n) > 0 THEN 'partial' ELSE 'not_covered' END AS coverage FROM customer CROSS JOIN (VALUES ('F'), ('O'), ('P')) v(s) LEFT JOIN (SELECT o_custkey, o_orderstatus, count(*) AS n FROM orders GROUP BY 1, 2) ON o_custkey = c_custkey AND o_orderstatus = s GROUP BY 1")
 def card_source_coverage(spark, sf):
-    grid = table(spark, sf, "nation").select("n_nationkey", "n_name").crossJoin(spark.createDataFrame([(x,) for x in "FOP"], "s string"))  # areas by sources
-    o = table(spark, sf, "orders").where("o_totalprice > 499000").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey"))
-    n = o.groupBy(F.col("c_nationkey").alias("n_nationkey"), F.col("o_orderstatus").alias("s")).agg(F.count(F.lit(1)).alias("n"))
-    rows = grid.join(n, ["n_nationkey", "s"], "left").withColumn("n", F.coalesce("n", F.lit(0))).groupBy("n_name")
-    out = rows.agg(F.array_sort(F.collect_list(F.when(F.col("n") == 0, F.col("s")))).alias("m"), F.min("n").alias("lo"), F.max("n").alias("hi"))
-    state = F.when(F.col("lo") > 0, "covered").when(F.col("hi") > 0, "partial").otherwise("not_covered")
-    return out.select("n_name", F.when(F.size("m") > 0, F.array_join("m", ",")).alias("missing"), state.alias("coverage"))
+    """Which sources each customer's card lacks; customers without any row lack all."""
+    o = table(spark, sf, "orders").withColumnRenamed("o_custkey", "c_custkey")
+    out = RL.coverage(table(spark, sf, "customer"), o, "c_custkey", "o_orderstatus", ["F", "O", "P"])
+    return out.select("c_custkey", F.when(F.size("missing") > 0, F.array_join("missing", ",")).alias("missing"), "coverage")
 
 
 @query("report_vocabulary_gap", "SELECT 'only_signup' AS side, count(*) AS users FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'signup' AND value > 60 EXCEPT SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 60) UNION ALL SELECT 'only_purchase', count(*) FROM (SELECT DISTINCT user_id FROM events WHERE event_type = 'purchase' AND value > 60 EXCEPT SELECT DISTINCT user_id FROM events WHERE event_type = 'signup' AND value > 60)")

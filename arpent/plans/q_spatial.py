@@ -142,10 +142,12 @@ def graph_contact_clusters(spark, sf):
     return connected_components(rows.select("a_id", "b_id"), "a_id", "b_id")
 
 
-@query("graph_shared_signals", "WITH RECURSIVE l AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem WHERE l_quantity > 49 AND l_discount > 0.07), e AS (SELECT DISTINCT a.l_orderkey AS x, b.l_orderkey AS y FROM l a JOIN l b ON a.l_suppkey = b.l_suppkey AND a.l_orderkey <> b.l_orderkey), r(x, y) AS (SELECT x, x FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x), c AS (SELECT x AS node, min(y) AS component FROM r GROUP BY 1) SELECT component, count(*) AS members FROM c GROUP BY 1")
+@query("graph_shared_signals", "WITH RECURSIVE l AS (SELECT DISTINCT l_orderkey, (l_partkey, l_suppkey, date_trunc('month', l_shipdate)) AS k FROM lineitem), e AS (SELECT DISTINCT a.l_orderkey AS x, b.l_orderkey AS y FROM l a JOIN l b ON a.k = b.k AND a.l_orderkey <> b.l_orderkey), r(x, y) AS (SELECT x, x FROM e UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x), c AS (SELECT x AS node, min(y) AS component FROM r GROUP BY 1) SELECT component, count(*) AS members FROM c GROUP BY 1")
 def graph_shared_signals(spark, sf):
-    """Groups chained by a shared parcel. Members of a parcel hang on its smallest one, so edges grow with the links."""
-    links = table(spark, sf, "lineitem").where("l_quantity > 49 and l_discount > 0.07").select("l_orderkey", "l_suppkey").distinct()
-    hub = links.groupBy("l_suppkey").agg(F.min("l_orderkey").alias("hub"))
-    labels = connected_components(links.join(hub, "l_suppkey"), "l_orderkey", "hub")
+    """Orders chained by a supplier's part that both had sent in the same month. Members of such a parcel hang on its
+    smallest one, so edges grow with the links; a parcel of one order links nothing."""
+    parcel = ["l_partkey", "l_suppkey", F.date_trunc("month", "l_shipdate").alias("month")]
+    links = table(spark, sf, "lineitem").select("l_orderkey", *parcel).distinct()
+    hub = links.groupBy("l_partkey", "l_suppkey", "month").agg(F.min("l_orderkey").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    labels = connected_components(links.join(hub, ["l_partkey", "l_suppkey", "month"]), "l_orderkey", "hub")
     return labels.groupBy("component").agg(F.count(F.lit(1)).alias("members"))

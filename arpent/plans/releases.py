@@ -96,3 +96,17 @@ def time_violations(snapshots: DataFrame, releases: DataFrame) -> DataFrame:
     rows = used.join(releases.select("release", "published_at"), "release", "left")
     why = first_reason((F.col("published_at").isNull(), "unknown_release"), (F.col("published_at") > F.col("snapshot_at"), "later_release"))
     return rows.withColumn("violation", why).where("violation is not null").select("snapshot", "release", "violation")
+
+
+def coverage(areas: DataFrame, rows: DataFrame, area: str, source: str, wanted: list[str], least: int = 1, release: str | None = None) -> DataFrame:
+    """Of each area: how many of the wanted sources it has (members), which it lacks, which have fewer than ``least`` rows,
+    the number of distinct latest releases among them, and covered / partial / not_covered. An area without any row lacks
+    all; a null area is none; sources that are not wanted do not count. ``wanted`` is a short list."""
+    latest = F.max(release if release else F.lit(None).cast("string"))
+    cells = rows.where(F.col(source).isin(wanted)).groupBy(area, source).agg(F.count(F.lit(1)).alias("_n"), latest.alias("_r"))
+    held = cells.groupBy(area).agg(F.collect_set(source).alias("_any"), F.collect_set(F.when(F.col("_n") >= least, F.col(source))).alias("_enough"), F.count_distinct("_r").alias("releases"))
+    out = areas.select(area).where(F.col(area).isNotNull()).distinct().join(held, area, "left")
+    listed, none = F.array(*[F.lit(w) for w in sorted(wanted)]), F.array().cast("array<string>")
+    out = out.withColumns({"missing": F.array_except(listed, F.coalesce("_any", none)), "weak": F.array_except(listed, F.coalesce("_enough", none))})
+    state = F.when(F.size("missing") == 0, "covered").when(F.size("missing") < len(wanted), "partial").otherwise("not_covered")
+    return out.select(area, (F.lit(len(wanted)) - F.size("missing")).alias("members"), "missing", "weak", F.coalesce("releases", F.lit(0)).alias("releases"), state.alias("coverage"))
