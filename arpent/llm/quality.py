@@ -1,7 +1,9 @@
 """Quality rules: word and line counts with hard limits, and divergence from language references.
 
 Every count is a built-in function of the text; the references are one small aggregate over all documents of a language,
-junk included, and no text is shuffled. Languages without a list of common words have no word test. Defined cases: a null
+junk included, and no text is shuffled. A document is compared with the other documents of its language, itself left out, and
+only where there are at least ``MIN_OTHERS``: one alone would be its own measure, and among few a poor one would set it.
+Languages without a list of common words have no word test. Defined cases: a null
 text counts as empty; a document without words fails the base rule; a null or unknown language is compared with its own
 pooled reference; equal rows give equal verdicts; of the other columns only those named in ``keep`` are carried along.
 """
@@ -24,6 +26,8 @@ COMMON_WORDS = {
 MIN_WORDS, MAX_REPEAT_PERCENT = 50, 50
 #: A histogram over fewer characters or words than this says too little, and is not compared.
 MIN_CHARS, MIN_COMPARED_WORDS = 200, 50
+#: Other documents of a language that a comparison asks for.
+MIN_OTHERS = 10
 #: Jensen-Shannon distances (0 to 1) beyond which a document is unlike its language.
 MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE = 0.3, 0.45
 
@@ -93,9 +97,9 @@ def _places(words: str, listed: list[str]) -> Column:
 
 
 def references(measured: DataFrame) -> DataFrame:
-    """One row a language: its summed histograms over all documents. Sums combine before the shuffle."""
+    """One row a language: its number of documents and summed histograms over all of them. Sums combine before the shuffle."""
     sums = lambda c, n: F.array(*[F.sum(F.get(c, F.lit(i))) for i in range(n)])
-    return measured.groupBy("lang_ref").agg(sums("char_hist", len(CHAR_BINS)).alias("char_ref"), sums("word_hist", 13).alias("word_ref"))
+    return measured.groupBy("lang_ref").agg(F.count(F.lit(1)).alias("n_ref"), sums("char_hist", len(CHAR_BINS)).alias("char_ref"), sums("word_hist", 13).alias("word_ref"))
 
 
 def distance(p: str, q: str) -> Column:
@@ -116,12 +120,12 @@ def verdicts(measured: DataFrame) -> DataFrame:
     # Staged, the references have a size that Spark knows: a few rows are broadcast, so no text is shuffled.
     pooled = staged(references(measured), "references")
     joined = measured.alias("m").join(pooled.alias("r"), F.col("m.lang_ref").eqNullSafe(F.col("r.lang_ref")), "left")
-    known = F.col("m.lang_ref").isin(list(COMMON_WORDS))
-    out = joined.select(
-        "m.*",
-        F.when(F.col("n_text_chars") >= MIN_CHARS, F.round(distance("char_hist", "char_ref"), 6)).alias("char_distance"),
-        F.when(known & (F.col("n_words") >= MIN_COMPARED_WORDS), F.round(distance("word_hist", "word_ref"), 6)).alias("word_distance"),
-    )
+    others = lambda ref, own: F.zip_with(ref, own, lambda a, b: a - b)
+    joined = joined.select("m.*", "n_ref", others("char_ref", "char_hist").alias("char_ref"), others("word_ref", "word_hist").alias("word_ref"))
+    known, enough = F.col("lang_ref").isin(list(COMMON_WORDS)), F.col("n_ref") > MIN_OTHERS
+    char_distance = F.when(enough & (F.col("n_text_chars") >= MIN_CHARS), F.round(distance("char_hist", "char_ref"), 6))
+    word_distance = F.when(enough & known & (F.col("n_words") >= MIN_COMPARED_WORDS), F.round(distance("word_hist", "word_ref"), 6))
+    out = joined.withColumns({"char_distance": char_distance, "word_distance": word_distance}).drop("n_ref", "char_ref", "word_ref")
     unlike = (F.coalesce(F.col("char_distance"), F.lit(0.0)) > MAX_CHAR_DISTANCE) | (F.coalesce(F.col("word_distance"), F.lit(0.0)) > MAX_WORD_DISTANCE)
     return out.withColumn("kept", ~F.col("base_failed") & ~unlike).drop("char_hist", "word_hist", "lang_ref", "n_text_chars")
 

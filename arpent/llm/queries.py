@@ -184,13 +184,13 @@ h AS (
     list_append(list_transform(range(1, 13), lambda i: len(list_filter(common, lambda x: lower(x) = listed[i]))), n_words - len(common))::DOUBLE[] AS wh
   FROM m),
 r AS (
-  SELECT lang, {', '.join(f'sum(ch[{i}]) AS c{i}' for i in range(1, 9))}, {', '.join(f'sum(wh[{i}]) AS w{i}' for i in range(1, 14))} FROM h GROUP BY lang),
+  SELECT lang, count(*) AS docs, {', '.join(f'sum(ch[{i}]) AS c{i}' for i in range(1, 9))}, {', '.join(f'sum(wh[{i}]) AS w{i}' for i in range(1, 14))} FROM h GROUP BY lang),
 j AS (
-  SELECT h.*, [{', '.join(f'c{i}' for i in range(1, 9))}] AS cr, [{', '.join(f'w{i}' for i in range(1, 14))}] AS wr
+  SELECT h.*, docs, [{', '.join(f'c{i} - ch[{i}]' for i in range(1, 9))}] AS cr, [{', '.join(f'w{i} - wh[{i}]' for i in range(1, 14))}] AS wr
   FROM h JOIN r ON h.lang IS NOT DISTINCT FROM r.lang),
 v AS (
-  SELECT *, CASE WHEN chars >= {quality.MIN_CHARS} THEN round({jsd.format(p='ch', q='cr')}, 6) END AS char_distance,
-    CASE WHEN lang IN ({langs}) AND n_words >= {quality.MIN_COMPARED_WORDS} THEN round({jsd.format(p='wh', q='wr')}, 6) END AS word_distance
+  SELECT *, CASE WHEN docs > {quality.MIN_OTHERS} AND list_sum(cr) > 0 AND chars >= {quality.MIN_CHARS} THEN round({jsd.format(p='ch', q='cr')}, 6) END AS char_distance,
+    CASE WHEN docs > {quality.MIN_OTHERS} AND list_sum(wr) > 0 AND lang IN ({langs}) AND n_words >= {quality.MIN_COMPARED_WORDS} THEN round({jsd.format(p='wh', q='wr')}, 6) END AS word_distance
   FROM j)
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
   (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, char_distance, word_distance,

@@ -491,6 +491,29 @@ def test_quality_counts(docs):
         assert not (r["kept"] and r["base_failed"])
 
 
+def plain_distance(p, q):
+    share = lambda c: [x / sum(c) for x in c]
+    part = lambda x, y: x * np.log2(2 * x / (x + y)) if x else 0.0
+    return max(sum(part(x, y) + part(y, x) for x, y in zip(share(p), share(q))) / 2, 0) ** 0.5
+
+
+def test_quality_references_leave_the_document_out(spark):
+    """Distances to the other documents of the language by plain sums; none where a language has too few others."""
+    rows = [(k, prose(k, 90), "en") for k in range(quality.MIN_OTHERS + 1)] + [(100, "#" * 90 + " 12345 " * 60, "en")]
+    rows += [(200 + k, prose(k, 90) if k else "%&" * 200, "de") for k in range(quality.MIN_OTHERS)] + [(300, prose(1, 90), "fr"), (301, prose(2, 90), None), (400, None, "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in quality.quality_rules(docs).collect()}
+    hist = {r["doc_id"]: r for r in quality.measures(docs).collect()}
+    english = [k for k, _, lang in rows if lang == "en"]
+    for k in english[:-1]:
+        for column, name in (("char_hist", "char_distance"), ("word_hist", "word_distance")):
+            others = np.sum([hist[j][column] for j in english if j != k], axis=0).tolist()
+            assert abs(got[k][name] - plain_distance(hist[k][column], others)) < 2e-6
+    assert not got[100]["kept"] and got[100]["char_distance"] > quality.MAX_CHAR_DISTANCE and not got[400]["kept"]
+    for k in list(range(200, 200 + quality.MIN_OTHERS)) + [300, 301]:
+        assert got[k]["char_distance"] is None and got[k]["word_distance"] is None and got[k]["kept"] != got[k]["base_failed"]
+
+
 def test_license_blocks(spark):
     notice = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation"
     rows = [(1, f"x MIT LICENSE y\n{notice}\nmit\nlicense"), (2, "the software is free to any person"), (3, "released under MIT License"), (4, None)]
