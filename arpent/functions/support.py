@@ -115,3 +115,16 @@ def grouped_quantiles(
         out = out.withColumn(name, F.when(F.col(f"_n{i}") > 0, F.when(low == high, v(low)).otherwise((high - at) * v(low) + (at - low) * v(high))))
     drop = ["_found", *[f"_{n}{i}" for i in fractions for n in ("n", "lo", "hi")]]
     return out.drop(*drop).select(*[F.col(f"_g.{k}").alias(k) for k in keys], "*").drop("_g")
+
+
+def distribution(rows: DataFrame, group: str, value: str, decision: str, discrete: int = 12, low: float = 0.0, high: float = 1.0, buckets: int = 10) -> DataFrame:
+    """How the values of each group spread, by decision: a row a value where the group has at most ``discrete`` distinct
+    ones, else a row a bucket of equal width, with the least and greatest value seen. Values below ``low`` are in the bucket
+    before the first, those from ``high`` on in the one after the last; nulls are a row without a bound."""
+    shapes = rows.groupBy(F.col(group).alias("_g")).agg(F.count_distinct(value).alias("_n"))
+    width = (high - low) / buckets
+    bucket = (F.width_bucket(value, F.lit(low), F.lit(high), F.lit(buckets)) - 1) * width + low
+    kind = F.when(F.col("_n") <= discrete, "value").otherwise("bucket").alias("kind")
+    bound = F.when(F.col("_n") <= discrete, F.col(value)).otherwise(F.round(bucket, 9)).alias("lower_bound")
+    out = rows.join(shapes, F.col(group).eqNullSafe(F.col("_g"))).groupBy(group, decision, kind, bound)
+    return out.agg(F.count(F.lit(1)).alias("volume"), F.round(F.min(value), 5).alias("observed_min"), F.round(F.max(value), 5).alias("observed_max"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window, functions as F
 
 from arpent.functions import scalars as X
-from arpent.functions.support import grouped_quantiles, weighted_quantile
+from arpent.functions.support import distribution, grouped_quantiles, weighted_quantile
 from arpent.operators import matching as M, ranking as R, sales as T
 from arpent.operators.asof import first_after
 from arpent.plans.catalog import SALES, query, relation, sales, table
@@ -250,6 +250,15 @@ def agg_histogram(spark, sf):
     return table(spark, sf, "orders").groupBy("o_orderstatus", bucket.alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
+_SHARES = "SELECT 'discount' AS algorithm, l_discount AS confidence, l_returnflag AS decision FROM lineitem UNION ALL SELECT 'price', l_extendedprice / 80000, l_linestatus FROM lineitem"
+
+
+@query("agg_distribution_shapes", f"WITH r AS ({_SHARES}), n AS (SELECT algorithm, count(DISTINCT confidence) <= 12 AS few FROM r GROUP BY 1) SELECT algorithm, decision, CASE WHEN few THEN 'value' ELSE 'bucket' END AS kind, CASE WHEN few THEN confidence ELSE round(CASE WHEN confidence < 0 THEN -1 WHEN confidence >= 1 THEN 10 ELSE floor(confidence * 10) END * 0.1, 9) END AS lower_bound, count(*) AS volume, round(min(confidence), 5) AS observed_min, round(max(confidence), 5) AS observed_max FROM r JOIN n USING (algorithm) GROUP BY 1, 2, 3, 4")
+def agg_distribution_shapes(spark, sf):
+    """Discrete confidences value by value, continuous ones in ten buckets."""
+    return distribution(relation(spark, sf, _SHARES), "algorithm", "confidence", "decision")
+
+
 @query("agg_cardinality", "SELECT count(*) AS entities, max(n) AS most, round(avg(n), 4) AS mean, count(*) FILTER (WHERE n > 1) AS several FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1)")
 def agg_cardinality(spark, sf):
     n = table(spark, sf, "orders").groupBy("o_custkey").agg(F.count(F.lit(1)).alias("n"))

@@ -442,6 +442,30 @@ def release_time_violations(spark, sf):
     return RL.time_violations(snaps, releases)
 
 
+@query("release_evidence_violations", "WITH s AS (SELECT o_custkey AS snapshot, min(CAST(o_orderdate AS DATE)) + 900 AS day, list(DISTINCT year(o_orderdate)) AS ids FROM orders GROUP BY 1) SELECT * FROM (SELECT l_orderkey || '-' || l_linenumber AS evidence, snapshot, CASE WHEN CAST(l_shipdate AS DATE) > s.day THEN 'newer_than_snapshot' WHEN NOT list_contains(ids, year(l_shipdate)) THEN 'release_outside_snapshot' END AS violation FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN s ON snapshot = o_custkey) WHERE violation IS NOT NULL")
+def release_evidence_violations(spark, sf):
+    """Evidence newer than its snapshot, or from a release that the snapshot does not name."""
+    o = table(spark, sf, "orders")
+    snaps = o.groupBy(F.col("o_custkey").alias("snapshot")).agg(F.date_add(F.to_date(F.min("o_orderdate")), 900).alias("snapshot_at"), F.collect_set(F.year("o_orderdate")).alias("release_ids"))
+    lines = table(spark, sf, "lineitem").join(o, F.col("l_orderkey") == F.col("o_orderkey"))
+    evidence = lines.select(F.concat_ws("-", "l_orderkey", "l_linenumber").alias("evidence"), F.col("o_custkey").alias("snapshot"), F.to_date("l_shipdate").alias("observed_at"), F.array(F.year("l_shipdate")).alias("release_ids"))
+    return RL.evidence_violations(evidence, snaps, "evidence")
+
+
+_PRINTS = lambda seg: f"SELECT c_nationkey, concat_ws(':', sum(('0x' || substr(h, 1, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 16, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 31, 15))::BIGINT)::VARCHAR, sum(('0x' || substr(h, 46, 15))::BIGINT)::VARCHAR) AS fingerprint FROM (SELECT c_nationkey, sha256(c_custkey || '|' || c_nationkey || '|' || {seg}) AS h FROM customer) GROUP BY 1"
+_BEFORE = "CASE WHEN c_nationkey % 3 = 0 THEN lower(c_mktsegment) ELSE c_mktsegment END"
+
+
+@query("release_attestations", f"WITH m AS ({_PRINTS('c_mktsegment')}), a AS (SELECT fingerprint, 1 AS number FROM ({_PRINTS(_BEFORE)}) UNION ALL SELECT fingerprint, 2 FROM m WHERE c_nationkey % 2 = 0), l AS (SELECT fingerprint, max(number) AS number FROM a GROUP BY 1) SELECT c_nationkey, number, number IS NOT NULL AS recounted FROM m LEFT JOIN l USING (fingerprint)")
+def release_attestations(spark, sf):
+    """The last recount of each area that still holds: a first one before some segments changed, a second of some areas."""
+    c = table(spark, sf, "customer")
+    now = RL.fingerprint(c.select("c_custkey", "c_nationkey", "c_mktsegment"), ["c_nationkey"])
+    before = RL.fingerprint(c.select("c_custkey", "c_nationkey", F.expr(_BEFORE).alias("c_mktsegment")), ["c_nationkey"])
+    written = before.select("fingerprint", F.lit(1).alias("number")).unionByName(now.where("c_nationkey % 2 = 0").select("fingerprint", F.lit(2).alias("number")))
+    return RL.attested(now, written).select("c_nationkey", "number", "recounted")
+
+
 @query("release_volumes", "SELECT 'orders' AS table_name, year(o_orderdate)::INT AS release, count(*) AS rows FROM orders GROUP BY 2 UNION ALL SELECT 'lineitem', year(l_shipdate)::INT, count(*) FROM lineitem GROUP BY 2")
 def release_volumes(spark, sf):
     n = lambda t, c: table(spark, sf, t).groupBy(F.year(c).alias("release")).agg(F.count(F.lit(1)).alias("rows")).select(F.lit(t).alias("table_name"), "release", "rows")

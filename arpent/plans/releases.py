@@ -110,3 +110,26 @@ def coverage(areas: DataFrame, rows: DataFrame, area: str, source: str, wanted:
     out = out.withColumns({"missing": F.array_except(listed, F.coalesce("_any", none)), "weak": F.array_except(listed, F.coalesce("_enough", none))})
     state = F.when(F.size("missing") == 0, "covered").when(F.size("missing") < len(wanted), "partial").otherwise("not_covered")
     return out.select(area, (F.lit(len(wanted)) - F.size("missing")).alias("members"), "missing", "weak", F.coalesce("releases", F.lit(0)).alias("releases"), state.alias("coverage"))
+
+
+def attested(measures: DataFrame, attestations: DataFrame) -> DataFrame:
+    """Measures (with a fingerprint) and the last attestation (number) written for exactly these; none of them counts once
+    a measure has changed. An attestation without fingerprint or number stops the job: the mention must not hang on a slip."""
+    if not attestations.where("fingerprint is null or number is null").isEmpty():
+        raise ValueError("an attestation lacks its fingerprint or number")
+    last = attestations.groupBy("fingerprint").agg(F.max("number").alias("number"))
+    return measures.join(last, "fingerprint", "left").withColumn("recounted", F.col("number").isNotNull())
+
+
+def evidence_violations(evidence: DataFrame, snapshots: DataFrame, key: str) -> DataFrame:
+    """Evidence that its snapshot must not carry, with the first reason: no such snapshot, observed after it, or taken from a
+    release outside its set. Evidence: key, snapshot, observed_at (null: undated, no fault), release_ids (null: none).
+    Snapshots: snapshot (once each), snapshot_at, release_ids."""
+    known = snapshots.select("snapshot", "snapshot_at", F.col("release_ids").alias("_set"))
+    rows = evidence.select(key, "snapshot", "observed_at", "release_ids").join(known, "snapshot", "left")
+    outside = F.size(F.array_except("release_ids", F.coalesce("_set", F.array_distinct(F.slice("release_ids", 1, 0))))) > 0
+    why = first_reason(
+        (F.col("snapshot_at").isNull(), "unknown_snapshot"), (F.col("observed_at") > F.col("snapshot_at"), "newer_than_snapshot"),
+        (F.col("release_ids").isNotNull() & outside, "release_outside_snapshot"),
+    )
+    return rows.withColumn("violation", why).where("violation is not null").select(key, "snapshot", "violation")

@@ -4,8 +4,10 @@ import datetime as dt
 import random
 from statistics import median
 
+import pytest
 from pyspark.sql import functions as F
 
+from arpent.functions.support import distribution
 from arpent.plans import features as FT, releases as RL
 
 DECIDED = "subject long, reason string, mutation_date date, age_months int, normalized_price_m2 double, weight double, strategy string, recent int"
@@ -76,3 +78,33 @@ def test_coverage(spark):
     }
     assert RL.coverage(areas.limit(0), rows, "area", "source", ["x"]).collect() == []
     assert RL.coverage(areas, rows.where(F.lit(False)), "area", "source", ["x"]).where("members > 0").collect() == []
+
+
+def test_distribution_of_discrete_and_continuous_values(spark):
+    rnd = random.Random(8)
+    rows = [("d", rnd.choice([0.0, 0.5, 1.0]), "yes") for _ in range(50)] + [("c", rnd.uniform(-0.2, 1.3), rnd.choice(["yes", "no"])) for _ in range(300)] + [("c", None, "no"), (None, 0.5, None), (None, 0.5, None)]
+    got = distribution(spark.createDataFrame([(*r, 1) for r in rows], "g string, v double, d string, kind int"), "g", "v", "d").collect()
+    want = {}
+    for g, v, d in rows:
+        k = v if g != "c" or v is None else round((-1 if v < 0 else 10 if v >= 1 else int(v * 10)) / 10, 9)
+        want.setdefault((g, d, "bucket" if g == "c" else "value", k), []).append(v)
+    assert {(r["g"], r["d"], r["kind"], r["lower_bound"]): (r["volume"], r["observed_min"]) for r in got} == {
+        k: (len(v), None if v[0] is None else round(min(v), 5)) for k, v in want.items()
+    }
+
+
+def test_attestations(spark):
+    m = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", None)], "area string, fingerprint string")
+    written = spark.createDataFrame([("1", 1), ("1", 3), ("1", 2), ("9", 4)], "fingerprint string, number int")
+    assert sorted(map(tuple, RL.attested(m, written).select("area", "number", "recounted").collect())) == [("a", 3, True), ("b", None, False), ("c", None, False)]
+    with pytest.raises(ValueError):
+        RL.attested(m, written.unionByName(spark.createDataFrame([("1", None)], written.schema)))
+
+
+def test_evidence_of_snapshots(spark):
+    day = dt.date
+    snaps = spark.createDataFrame([(1, day(2020, 1, 1), ["r1", "r2"]), (2, day(2020, 1, 1), None)], "snapshot int, snapshot_at date, release_ids array<string>")
+    rows = [("ok", 1, day(2020, 1, 1), ["r2", "r1"]), ("undated", 1, None, []), ("late", 1, day(2020, 1, 2), ["r9"]), ("outside", 1, None, ["r1", "r9"]), ("lost", 3, None, None), ("none", 2, None, ["r1"]), ("bare", 2, None, None)]
+    df = spark.createDataFrame([(*r, 1) for r in rows], "id string, snapshot int, observed_at date, release_ids array<string>, _set int")
+    got = {r["id"]: r["violation"] for r in RL.evidence_violations(df, snaps, "id").collect()}
+    assert got == {"late": "newer_than_snapshot", "outside": "release_outside_snapshot", "lost": "unknown_snapshot", "none": "release_outside_snapshot"}
