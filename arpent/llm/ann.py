@@ -3,9 +3,9 @@
 Fit: coarse centroids and residual codebooks come from a bounded sample of vectors (``SAMPLE``), on the driver. Index:
 every distinct vector goes to its nearest centroid and keeps one byte for each of ``PARTS`` parts of its residual.
 Search: a query probes the lists whose centroids have the largest inner product with it, as many as a bounded sample of
-queries needed (``FOUND_SHARE``); in each list, tables of the
-query's inner products with all codewords (asymmetric distances) score the codes; the best by score are measured again
-on the original vectors, in double precision. Two passes find the best: the first reports from each block the scores at
+the queries themselves needed (``FOUND_SHARE``); in each list, tables of the
+query's inner products with all codewords (asymmetric distances) score the codes; the best by score, as many as those
+queries needed, are measured again on the original vectors, in double precision. Two passes find the best: the first reports from each block the scores at
 ranks 1, 2, 4 and so on, from which a score follows that surely as many codes reach as are wanted; the second returns
 what reaches it. So a query gets one or two times that many codes, however many blocks it has probed.
 
@@ -32,10 +32,10 @@ K, QUERY_STEP = 20, 20
 SAMPLE = 20_000
 MAX_LISTS, PARTS, CODES, ROUNDS, SEED = 1024, 16, 256, 8, 7
 #: A query probes so many lists that this share of the true neighbours within the sample lies in them, measured with so
-#: many queries of the sample; and at least so many lists and vectors.
-FOUND_SHARE, TRIED, LEAST_LISTS, LEAST_VECTORS = 0.95, 200, 8, 400
-#: Best codes over all blocks that are measured again.
-RERANKED = 300
+#: many of the queries; and at least so many lists and vectors.
+FOUND_SHARE, TRIED, LEAST_LISTS, LEAST_VECTORS = 0.95, 400, 8, 400
+#: Best codes over all blocks that are measured again: so many at least, and as many as keep this share of the true neighbours.
+RERANKED, KEPT_SHARE = 300, 0.99
 BLOCK = 4096
 
 
@@ -83,20 +83,44 @@ class Index:
         cut = residual.reshape(len(sample), self.parts, -1)
         self.books = np.stack([_means(cut[:, p], min(CODES, len(sample)), rng) for p in range(self.parts)])
 
-    def probe_share(self, sample: np.ndarray, k: int = K, found: float = FOUND_SHARE) -> float:
+    def _near(self, tried: np.ndarray, sample: np.ndarray, k: int) -> np.ndarray:
+        """Places of the ``k`` vectors of the sample nearest to each tried query, itself left out."""
+        scores = tried @ sample.T
+        place = {v.tobytes(): i for i, v in enumerate(sample)}
+        for i, q in enumerate(tried):
+            if (own := place.get(q.tobytes())) is not None:
+                scores[i, own] = -np.inf
+        return np.argpartition(-scores, k, axis=1)[:, :k]
+
+    def probe_share(self, sample: np.ndarray, k: int = K, found: float = FOUND_SHARE, tried: np.ndarray | None = None) -> float:
         """The share of the lists, in the order in which a query takes them, that holds ``found`` of the ``k`` nearest
-        within the sample. Vectors that fall into clusters need few lists, evenly spread ones many."""
+        within the sample. Vectors that fall into clusters need few lists, evenly spread ones many, and queries that lie
+        apart from the vectors other ones than those, so ``tried`` should be queries (default: some of the sample)."""
         if len(sample) <= k + 1:
             return 1.0
-        tried = sample[:TRIED]
-        scores = tried @ sample.T
-        scores[np.arange(len(tried)), np.arange(len(tried))] = -np.inf
-        near = np.argpartition(-scores, k, axis=1)[:, :k]
+        tried = sample[:TRIED] if tried is None else tried
+        near = self._near(tried, sample, k)
         lists, _ = _nearest(sample, self.centroids)
         place = np.argsort(np.argsort(-(tried @ self.centroids.T), axis=1, kind="stable"), axis=1)
         needed = np.take_along_axis(place, lists[near], axis=1) + 1
         return float(np.quantile(needed, found)) / len(self.centroids)
 
+    def rerank(self, sample: np.ndarray, tried: np.ndarray, n: int, k: int = K, kept: float = KEPT_SHARE) -> int:
+        """How many of ``n`` codes, best scores first, hold ``kept`` of the ``k`` nearest. Ranks within the sample stand for
+        as many more as the table is larger; codes that tell a crowd of close vectors apart no more ask for many."""
+        if len(sample) <= k + 1:
+            return RERANKED
+        near = self._near(tried, sample, k)
+        at, codes = self.encode(sample)
+        need = np.empty(near.shape)
+        for i, q in enumerate(tried):
+            score = self.centroids[at] @ q
+            for p, part in enumerate(q.reshape(self.parts, -1)):
+                score += (self.books[p] @ part)[codes[:, p]]
+            # Equal codes count as before, so that a tie is never settled by chance.
+            need[i] = len(score) - np.searchsorted(np.sort(score), score[near[i]] - 1e-9 * np.abs(score).max(), "left")
+        return int(max(RERANKED, np.ceil(np.quantile(need, kept) * max(1.0, n / len(sample)))))
+
     def encode(self, x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         at, _ = _nearest(x, self.centroids)
         cut = (x - self.centroids[at]).reshape(len(x), self.parts, -1)
@@ -130,7 +154,12 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     if not len(learned):
         learned = np.array([r["v"] for r in distinct.select("v").limit(1).collect()], np.float64)
     index = Index(learned, int(min(MAX_LISTS, max(LEAST_LISTS, 2 * np.sqrt(n)))))
-    dims, share = index.dims, index.probe_share(learned, k)
+    queries = staged(rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("query_id"), "v"), "queries")
+    asking = queries.select("v").orderBy(F.xxhash64("query_id"), "query_id").limit(TRIED).collect()
+    if not asking:
+        return spark.createDataFrame([], schema)
+    tried = np.array([r["v"] for r in asking], np.float64)
+    dims, share, reranked = index.dims, index.probe_share(learned, k, tried=tried), index.rerank(learned, tried, n, k)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -166,7 +195,6 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
                 names=["query_id", "v", "grp", "lists"],
             )
 
-    queries = staged(rows.where(F.col("vec_id") % query_step == 0).select(F.col("vec_id").alias("query_id"), "v"), "queries")
     kind = distinct.schema["v"].dataType.simpleString()
     probes = staged(queries.mapInArrow(probe, f"query_id long, v {kind}, grp int, lists binary"), "probes")
     asked = {r["grp"]: r["count"] for r in probes.groupBy("grp").count().collect()}  # a row a group
@@ -174,7 +202,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     left = probes.join(sizes, "grp").withColumn("vblock", F.explode(F.sequence(F.lit(0), F.col("vb") - 1))).withColumn("qblock", F.pmod(F.xxhash64("query_id"), "qb").cast("int"))
     right = coded.join(cut, "list").join(sizes, "grp").withColumn("qblock", F.explode(F.sequence(F.lit(0), F.col("qb") - 1))).withColumn("vblock", F.pmod(F.xxhash64("rep"), "vb").cast("int"))
 
-    ranks = [1 << i for i in range(RERANKED.bit_length()) if 1 << i < RERANKED] + [RERANKED]
+    ranks = [1 << i for i in range(reranked.bit_length()) if 1 << i < reranked] + [reranked]
 
     def scored(q: pa.Table, c: pa.Table) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """For blocks of the queries: the first one's number, their scores of all codes, and the codes' vectors."""
@@ -200,7 +228,7 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         if q.num_rows and c.num_rows:
             all_ids = q.column("query_id").to_pylist()
             for a, s, _ in scored(q, c):
-                keep = min(RERANKED, s.shape[1])
+                keep = min(reranked, s.shape[1])
                 top = -np.sort(np.partition(-s, keep - 1, 1)[:, :keep], 1)
                 for k, row in enumerate(top):
                     ids.append(all_ids[a + k])
@@ -213,7 +241,9 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
         if q.num_rows and c.num_rows:
             ids, least = q.column("query_id").to_numpy(), q.column("least").to_numpy()
             for a, s, reps in scored(q, c):
-                at, place = np.nonzero(s >= least[a : a + 256, None])
+                # Sums of the two passes may round apart; equal scores must not fall below their own bound.
+                bound = least[a : a + 256] - 1e-9 * np.maximum(np.abs(least[a : a + 256]), np.abs(np.where(s > -np.inf, s, 0)).max(1))
+                at, place = np.nonzero(s >= np.maximum(bound, -1e300)[:, None])
                 out.append((ids[a : a + 256][at], reps[place], s[at, place]))
         columns = [np.concatenate(z) for z in zip(*out)] if out else [np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)]
         return pa.table([pa.array(z) for z in columns], names=["query_id", "rep", "near"])
@@ -223,11 +253,11 @@ def search(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embeddi
     points = left.select("query_id", "v", "lists", *keys).groupBy(*keys).cogroup(codes_by()).applyInArrow(report, "query_id long, points array<struct<near:double,step:long>>")
     falling = Window.partitionBy("query_id").orderBy(F.desc("near")).rowsBetween(Window.unboundedPreceding, 0)
     reached = points.select("query_id", F.explode("points").alias("p")).select("query_id", "p.near", "p.step").withColumn("_n", F.sum("step").over(falling))
-    least = reached.groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("_n") >= RERANKED, F.col("near"))), F.lit(-1e300)).alias("least"))
-    asking = left.join(staged(least, "least"), "query_id").select("query_id", "v", "lists", "least", *keys)
-    found = asking.groupBy(*keys).cogroup(codes_by()).applyInArrow(best_codes, "query_id long, rep long, near double")
+    least = reached.groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("_n") >= reranked, F.col("near"))), F.lit(-1e300)).alias("least"))
+    held_to = left.join(staged(least, "least"), "query_id").select("query_id", "v", "lists", "least", *keys)
+    found = held_to.groupBy(*keys).cogroup(codes_by()).applyInArrow(best_codes, "query_id long, rep long, near double")
     best = Window.partitionBy("query_id").orderBy(F.desc("near"), "rep")
-    short = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= RERANKED).select("query_id", "rep")
+    short = found.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= reranked).select("query_id", "rep")
     # Exact measure on the original vectors, in the order of their components.
     dot = F.aggregate(F.zip_with("q", "v", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda a, x: a + x)
     measured = short.join(queries.select("query_id", F.col("v").alias("q")), "query_id").join(distinct.select("rep", "v"), "rep").select("query_id", "rep", dot.alias("score"))
