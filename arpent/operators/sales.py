@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from arpent.plans.staging import staged
+
 LOT_KEYS = ["local_type", "built_m2", "rooms", "lot_label", "parcel_id"]
 
 
@@ -73,3 +75,18 @@ def rule_change_profile(lots: DataFrame) -> DataFrame:
     v = sale_verdicts(lots)
     former = F.when(F.col("price_eur").isNull(), "price_missing").when(F.col("parcels") > 1, "multiple_parcels").otherwise(F.col("complexity"))
     return v.groupBy(F.coalesce(former, F.lit("simple")).alias("former"), F.coalesce("complexity", F.lit("simple")).alias("present")).agg(F.count(F.lit(1)).alias("sales"))
+
+
+def shared_counts(rows: DataFrame, item: str, basket: str, held: int = 1_000_000) -> DataFrame:
+    """How many baskets each pair of items shares: ``a_id`` < ``b_id``, ``shared``. Repeated rows count once, null ones not at all.
+
+    Baskets and pairs are dealt to as many parts as hold ``held`` rows each, so a task sorts and counts a bounded number of
+    them however many there are. A basket's items are an array: a basket with very many has the square of them as pairs."""
+    c = F.col
+    given = rows.select(c(item).alias("_i"), c(basket).alias("_b")).where("_i is not null and _b is not null")
+    parts = lambda n: max(1, -(-n // held))
+    sets = given.repartition(parts(rows.count()), "_b").groupBy("_b").agg(F.sort_array(F.collect_set("_i")).alias("_s")).where(F.size("_s") > 1).select("_s")
+    sets = staged(sets, "baskets")
+    n = sets.agg(F.sum(F.size("_s").cast("long") * (F.size("_s") - 1) / 2)).first()[0]
+    pairs = sets.select("_s", F.posexplode("_s").alias("_k", "a_id")).select("a_id", F.explode(F.slice("_s", c("_k") + 2, F.size("_s"))).alias("b_id"))
+    return pairs.repartition(parts(int(n or 0)), "a_id", "b_id").groupBy("a_id", "b_id").agg(F.count(F.lit(1)).alias("shared"))
