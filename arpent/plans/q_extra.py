@@ -9,7 +9,7 @@ from arpent.operators import ranking as R, search as SE, shapes as S
 from arpent.plans import releases as RL
 from arpent.plans.catalog import query, relation, table
 from arpent.plans.q_features import _SCORED, _evidence
-from arpent.plans.q_spatial import _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes
+from arpent.plans.q_spatial import _BOX, _CROSS, _DIST, _OV, CELL, _two, boxes, ring_pairs
 
 N = lambda name="n": F.count(F.lit(1)).alias(name)
 _INSIDE = "b.xmin > a.xmin AND b.xmax < a.xmax AND b.ymin > a.ymin AND b.ymax < a.ymax"
@@ -32,11 +32,9 @@ def geo_boundary_gap(spark, sf):
 
 @query("geo_split_zones", f"WITH a AS ({_BOX}), b AS ({_BOX}) SELECT a.vec_id AS a_id, b.label AS b_label, count(*) AS pieces, round(sum({_OV}), 2) AS area FROM a JOIN b ON a.vec_id <> b.vec_id AND {_CROSS} AND {_OV} > 1e-6 GROUP BY 1, 2")
 def geo_split_zones(spark, sf):
-    """Zones cut by areas: the true pieces as rings, and their area by area code."""
-    a, b = _two(spark, sf)
-    rows = G.grid_join(a, b, "abox", "bbox", CELL).where("a_id <> b_id").where(G.overlap_area("abox", "bbox") > 1e-6).withColumns({"ra": G.box_ring("abox"), "rb": G.box_ring("bbox")})
-    parts = S.split_rings(rows, "ra", "rb", ["a_id", "b_id_label"])
-    return parts.groupBy("a_id", F.col("b_id_label").alias("b_label")).agg(N("pieces"), F.round(F.sum(G.ring_area(F.col("ring"))), 2).alias("area"))
+    """Zones cut by areas: the number of true pieces, and their area by area code. ``shapes.split_rings`` has them as rings."""
+    parts = ring_pairs(spark, sf, distance=False).where("a_id <> b_id and area > 1e-6D")
+    return parts.groupBy("a_id", F.col("b_id_label").alias("b_label")).agg(N("pieces"), F.round(F.sum("area"), 2).alias("area"))
 
 
 _ROAD = "SELECT vec_id AS r_id, embedding[6]::DOUBLE * 1000 AS rx, embedding[7]::DOUBLE * 1000 AS ry, embedding[6]::DOUBLE * 1000 + embedding[8]::DOUBLE * 200 AS sx, embedding[7]::DOUBLE * 1000 + embedding[9]::DOUBLE * 200 AS sy FROM embeddings WHERE embedding[8]::DOUBLE > 0"
